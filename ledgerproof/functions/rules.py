@@ -50,3 +50,11 @@ def failed_rules(rules: dict[str, Column]) -> Column:
     """``array<string>`` of the rule names whose predicate is not true, in the order given."""
     flagged = [F.when(two_valued(pred), F.lit(None)).otherwise(F.lit(name)) for name, pred in rules.items()]
     return F.filter(F.array(*flagged), lambda x: x.isNotNull())
+
+
+def failed_rule_list(rules: dict[str, Column]) -> Column:
+    """Comma-separated names of the rules whose predicate is not true ('' when all hold).
+
+    ``concat_ws`` skips NULLs, so this stays a plain codegen'd expression (no lambda).
+    """
+    return F.concat_ws(",", *[F.when(two_valued(pred), F.lit(None)).otherwise(F.lit(name)) for name, pred in rules.items()])

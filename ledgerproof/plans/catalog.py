@@ -563,3 +563,142 @@ SELECT * FROM lineitem WHERE l_orderkey IS NULL OR l_linenumber IS NULL""",
         ]
     ),
 }
+
+
+# ---------------------------------------------------------------- JSON lines (validation, dead letter)
+
+_GOOD_EVENT = {
+    "event_id": "EVT-90000000",
+    "account_id": "ACC-00001",
+    "amount_minor": 100,
+    "currency": "GBP",
+    "direction": "credit",
+    "transaction_type": "fee",
+    "occurred_at": "2026-09-01T12:00:00Z",
+    "source_system": "core-ledger",
+}
+
+
+def _variant(n: int, **changes: object) -> str:
+    import json
+
+    return json.dumps({**_GOOD_EVENT, "event_id": f"EVT-9{n:07d}", **changes})
+
+
+# Hand-written lines appended to the event-derived lines (one per edge case).
+HAND_LINES = (
+    ("hand-01", "{not json"),
+    ("hand-02", "[1, 2, 3]"),
+    ("hand-03", "null"),
+    ("hand-04", _variant(4, event_id=12345678)),
+    ("hand-05", _variant(5, amount_minor="100")),
+    ("hand-06", _variant(6, amount_minor=100.0)),
+    ("hand-07", _variant(7, amount_minor=100.5)),
+    ("hand-08", _variant(8, amount_minor=0)),
+    ("hand-09", _variant(9, currency="POUNDS")),
+    ("hand-10", _variant(10, currency="\tgbp ")),
+    ("hand-11", _variant(11, direction="sideways")),
+    ("hand-12", _variant(12, occurred_at="2026-09-01T12:00:00")),
+    ("hand-13", _variant(13, occurred_at="2026-09-01T23:30:00-05:00")),
+    ("hand-14", _variant(14, event_id="EVT-123")),
+)
+
+
+def event_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``(line_id, raw)``: one JSON line per clean event, plus the hand-written edge cases."""
+    from ledgerproof.sources.json_lines import event_json
+
+    records = event_records(table(spark, sf_dir, "events"))
+    derived = records.select(
+        F.concat(F.lit("evt-"), F.col("_src").cast("string")).alias("line_id"), event_json(records).alias("raw")
+    )
+    return derived.unionByName(spark.createDataFrame(list(HAND_LINES), "line_id string, raw string"))
+
+
+def q_validate_json(spark, sf_dir):
+    from ledgerproof.sources.json_lines import split_event_lines
+
+    valid, _ = split_event_lines(event_lines(spark, sf_dir), keep=("line_id",))
+    return valid
+
+
+def q_dead_letter(spark, sf_dir):
+    from ledgerproof.sources.json_lines import split_event_lines
+
+    _, dead = split_event_lines(event_lines(spark, sf_dir), keep=("line_id",))
+    return dead.select("line_id", "raw", F.array_join("failed_rules", ",").alias("failed_rules"))
+
+
+def _sql_literal(text: str) -> str:
+    return "'" + text.replace("'", "''") + "'"
+
+
+_ISO = r"^(\d{4}-\d{2}-\d{2})[T ](\d{2}:\d{2}(?::\d{2}(?:\.\d{1,6})?)?)(Z|z|[+-]\d{2}:?\d{2})?$"
+LINES_CTE = (
+    CLEAN
+    + """,
+lines AS (
+  SELECT concat('evt-', CAST(_src AS VARCHAR)) AS line_id,
+    printf('{"event_id":"%s","account_id":"%s","amount_minor":%d,"currency":"%s","direction":"%s","transaction_type":"%s","occurred_at":"%s","source_system":"%s"}',
+      event_id, account_id, amount_minor, currency, direction, transaction_type,
+      strftime(occurred_at, '%Y-%m-%dT%H:%M:%S.%fZ'), source_system) AS raw
+  FROM c_base
+  UNION ALL
+  SELECT * FROM (VALUES """
+    + ", ".join(f"({_sql_literal(i)}, {_sql_literal(r)})" for i, r in HAND_LINES)
+    + f""") v(line_id, raw)
+),
+j AS (SELECT line_id, raw, CASE WHEN json_valid(raw) AND json_type(raw) = 'OBJECT' THEN raw END AS doc FROM lines),
+f AS (
+  SELECT line_id, raw, doc,
+    CASE WHEN json_type(doc, '$.event_id') = 'VARCHAR' THEN json_extract_string(doc, '$.event_id') END AS event_id,
+    CASE WHEN json_type(doc, '$.account_id') = 'VARCHAR' THEN json_extract_string(doc, '$.account_id') END AS account_id,
+    CASE WHEN json_type(doc, '$.amount_minor') IN ('BIGINT', 'UBIGINT', 'DOUBLE', 'VARCHAR')
+         THEN TRY_CAST(json_extract_string(doc, '$.amount_minor') AS DECIMAL(38,6)) END AS amount_dec,
+    CASE WHEN json_type(doc, '$.currency') = 'VARCHAR'
+         THEN upper(regexp_replace(json_extract_string(doc, '$.currency'), '^\\s+|\\s+$', '', 'g')) END AS currency,
+    CASE WHEN json_type(doc, '$.direction') = 'VARCHAR' THEN json_extract_string(doc, '$.direction') END AS direction,
+    CASE WHEN json_type(doc, '$.transaction_type') = 'VARCHAR' THEN json_extract_string(doc, '$.transaction_type') END
+      AS transaction_type,
+    CASE WHEN json_type(doc, '$.occurred_at') = 'VARCHAR' THEN json_extract_string(doc, '$.occurred_at') END AS ts_text,
+    CASE WHEN json_type(doc, '$.source_system') = 'VARCHAR' THEN json_extract_string(doc, '$.source_system') END
+      AS source_system
+  FROM j
+),
+g AS (
+  SELECT *,
+    CASE WHEN regexp_matches(ts_text, '{_ISO}') THEN
+      TRY_CAST(concat(regexp_extract(ts_text, '{_ISO}', 1), ' ', regexp_extract(ts_text, '{_ISO}', 2)) AS TIMESTAMP)
+      - to_seconds(CASE WHEN regexp_extract(ts_text, '{_ISO}', 3) IN ('', 'Z', 'z') THEN 0
+          ELSE (CASE WHEN left(regexp_extract(ts_text, '{_ISO}', 3), 1) = '-' THEN -1 ELSE 1 END)
+             * (CAST(substr(regexp_replace(regexp_extract(ts_text, '{_ISO}', 3), '[^0-9]', '', 'g'), 1, 2) AS INTEGER) * 3600
+              + CAST(substr(regexp_replace(regexp_extract(ts_text, '{_ISO}', 3), '[^0-9]', '', 'g'), 3, 2) AS INTEGER) * 60)
+          END)
+    END AS occurred_at,
+    amount_dec IS NOT NULL AND amount_dec = floor(amount_dec) AND amount_dec <> 0
+      AND amount_dec BETWEEN -9223372036854775808 AND 9223372036854775807 AS amount_ok
+  FROM f
+),
+parsed AS (
+  SELECT *,
+    CASE WHEN doc IS NULL THEN 'json_object' ELSE array_to_string(list_filter([
+      CASE WHEN coalesce(length(event_id) >= 8, false) THEN NULL ELSE 'event_id' END,
+      CASE WHEN coalesce(length(account_id) >= 1, false) THEN NULL ELSE 'account_id' END,
+      CASE WHEN coalesce(amount_ok, false) THEN NULL ELSE 'amount_minor' END,
+      CASE WHEN coalesce(regexp_full_match(currency, '\\p{{L}}{{3}}'), false) THEN NULL ELSE 'currency' END,
+      CASE WHEN coalesce(direction IN ('debit', 'credit'), false) THEN NULL ELSE 'direction' END,
+      CASE WHEN coalesce(transaction_type IN ('transfer', 'card_payment', 'fx_conversion', 'fee', 'refund'), false)
+           THEN NULL ELSE 'transaction_type' END,
+      CASE WHEN occurred_at IS NOT NULL THEN NULL ELSE 'occurred_at' END,
+      CASE WHEN coalesce(length(source_system) >= 1, false) THEN NULL ELSE 'source_system' END
+    ], lambda x: x IS NOT NULL), ',') END AS failed_rules
+  FROM g
+)"""
+)
+
+ORACLE["validate_json"] = _with(LINES_CTE) + """SELECT line_id, event_id, account_id,
+    CAST(amount_dec AS BIGINT) AS amount_minor, currency, direction, transaction_type, occurred_at, source_system
+  FROM parsed WHERE failed_rules = ''"""
+ORACLE["dead_letter"] = _with(LINES_CTE) + "SELECT line_id, raw, failed_rules FROM parsed WHERE failed_rules <> ''"
+QUERIES["validate_json"] = q_validate_json
+QUERIES["dead_letter"] = q_dead_letter
