@@ -41,7 +41,7 @@ def control_totals(
     """``layer, partition_key, row_count, amount_minor_sum, distinct_event_ids`` for any table."""
     frame = with_business_date(df, partition_col)
     if dedupe:
-        frame = dedup_bronze(frame)
+        frame = dedup_bronze(frame, key_column=key_column)
     totals = frame.groupBy(partition_key(partition_col).alias("partition_key")).agg(
         F.count(F.lit(1)).alias("row_count"),
         F.coalesce(F.sum(F.col(amount_column).cast("bigint")), F.lit(0).cast("bigint")).alias("amount_minor_sum"),

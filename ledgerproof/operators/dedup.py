@@ -54,7 +54,11 @@ def first_arrival(
     return ranked(df.filter(~any_null)).unionByName(df.filter(any_null))
 
 
-def dedup_bronze(bronze: DataFrame, *, null_keys: str = "keep") -> DataFrame:
-    """Bronze dedup with the total order ``ingested_at, batch_id, _src`` (``_src`` only if present)."""
-    order = ["ingested_at", "batch_id"] + (["_src"] if "_src" in bronze.columns else [])
-    return first_arrival(bronze, "event_id", order, null_keys=null_keys)
+TIE_BREAKS = ("batch_id", "_src")
+
+
+def dedup_bronze(bronze: DataFrame, *, key_column: str = "event_id", order_by: str = "ingested_at",
+                 null_keys: str = "keep") -> DataFrame:
+    """Bronze dedup by first arrival, ties broken by ``batch_id`` then the ``_src`` sequence when present."""
+    order = [order_by] + [c for c in TIE_BREAKS if c in bronze.columns and c != order_by]
+    return first_arrival(bronze, key_column, order, null_keys=null_keys)
