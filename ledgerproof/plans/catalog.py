@@ -702,3 +702,177 @@ ORACLE["validate_json"] = _with(LINES_CTE) + """SELECT line_id, event_id, accoun
 ORACLE["dead_letter"] = _with(LINES_CTE) + "SELECT line_id, raw, failed_rules FROM parsed WHERE failed_rules <> ''"
 QUERIES["validate_json"] = q_validate_json
 QUERIES["dead_letter"] = q_dead_letter
+
+
+# ---------------------------------------------------------------- streaming
+
+def _fresh_dir(spark: SparkSession, label: str) -> str:
+    import uuid
+
+    from ledgerproof.session import scratch_path
+
+    return scratch_path(spark, f"ledgerproof-{label}-{uuid.uuid4().hex[:12]}")
+
+
+_STREAM_RUNS: dict[tuple[str, str], str] = {}
+
+
+def stream_run(spark: SparkSession, sf_dir: str) -> str:
+    """Land the event lines in two drops and ingest each with an ``availableNow`` run of one stream
+    (same checkpoint), so the second run takes only the new files. Built once per session and input."""
+    from ledgerproof.streaming.autoload import autoload_stream
+
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if key in _STREAM_RUNS:
+        return _STREAM_RUNS[key]
+    root = _fresh_dir(spark, "stream")
+    landing = f"{root}/landing"
+    lines = event_lines(spark, sf_dir)
+    first = lines.filter(F.col("line_id").startswith("evt-") & (F.substring_index("line_id", "-", -1).cast("bigint") % 2 == 0))
+    second = lines.subtract(first)
+    for drop in (first, second):
+        drop.select("raw").write.mode("append").text(landing)
+        q = autoload_stream(spark, landing, f"{root}/bronze", f"{root}/dead_letter", f"{root}/_checkpoint")
+        q.awaitTermination()
+    _STREAM_RUNS[key] = root
+    return root
+
+
+def q_stream_ingest(spark, sf_dir):
+    from ledgerproof.streaming.autoload import read_stream_bronze
+
+    root = stream_run(spark, sf_dir)
+    return read_stream_bronze(spark, f"{root}/bronze").drop("ingested_at", "stream_epoch")
+
+
+def q_stream_dead_letter(spark, sf_dir):
+    from ledgerproof.streaming.autoload import read_dead_letter
+
+    root = stream_run(spark, sf_dir)
+    return read_dead_letter(spark, f"{root}/dead_letter").select(
+        "raw", F.array_join("failed_rules", ",").alias("failed_rules")
+    )
+
+
+QUERIES["stream_ingest"] = q_stream_ingest
+QUERIES["stream_dead_letter"] = q_stream_dead_letter
+ORACLE["stream_ingest"] = _with(LINES_CTE) + """SELECT event_id, account_id, CAST(amount_dec AS BIGINT) AS amount_minor,
+    CASE WHEN direction = 'debit' THEN -abs(CAST(amount_dec AS BIGINT)) ELSE abs(CAST(amount_dec AS BIGINT)) END
+      AS signed_amount_minor,
+    currency, direction, transaction_type, occurred_at, CAST(occurred_at AS DATE) AS event_date, source_system,
+    'autoloader' AS batch_id
+  FROM parsed WHERE failed_rules = ''"""
+ORACLE["stream_dead_letter"] = _with(LINES_CTE) + "SELECT raw, failed_rules FROM parsed WHERE failed_rules <> ''"
+
+
+# ---------------------------------------------------------------- snapshots, layout
+
+# Fixed commit times of the registered snapshot history.
+SNAPSHOT_TIMES = (
+    "2024-03-01 00:00:00",
+    "2024-03-02 00:00:00",
+    "2024-03-03 00:00:00",
+    "2024-03-04 00:00:00",
+    "2024-03-05 00:00:00",
+)
+VACUUM_NOW = "2024-03-05 12:00:00"
+VACUUM_RETAIN_HOURS = 24
+TRAVEL_AS_OF = "2024-03-01 12:00:00"
+_SNAPSHOTS: dict[tuple[str, str], str] = {}
+
+
+def snapshot_table(spark: SparkSession, sf_dir: str):
+    """v0 = clean bronze with even ``_src``; v1 = all of it; v2 = OPTIMIZE (Z-order by account, time);
+    v3 = RESTORE v0; v4 = ADD COLUMNS note STRING. Built once per session and input."""
+    from ledgerproof.sources.snapshots import SnapshotTable
+
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if key not in _SNAPSHOTS:
+        t = SnapshotTable(spark, _fresh_dir(spark, "snapshots"))
+        bronze = bronze_fixture(table(spark, sf_dir, "events"), faulty=False)
+        t.write(bronze.filter(F.col("_src") % 2 == 0).drop("_src"), committed_at=SNAPSHOT_TIMES[0])
+        t.write(bronze.drop("_src"), committed_at=SNAPSHOT_TIMES[1])
+        t.optimize(zorder_by=["account_id", "occurred_at"], committed_at=SNAPSHOT_TIMES[2])
+        t.restore(0, committed_at=SNAPSHOT_TIMES[3])
+        t.add_column("note", "STRING", committed_at=SNAPSHOT_TIMES[4])
+        _SNAPSHOTS[key] = t.root
+    return SnapshotTable(spark, _SNAPSHOTS[key])
+
+
+def q_history(spark, sf_dir):
+    return snapshot_table(spark, sf_dir).history().select("version", "committed_at", "operation", "row_count")
+
+
+def q_latest_version(spark, sf_dir):
+    return snapshot_table(spark, sf_dir).history(limit=1).select(F.col("version").alias("latest_version"))
+
+
+def q_versions_to_vacuum(spark, sf_dir):
+    t = snapshot_table(spark, sf_dir)
+    return t.versions_to_vacuum(VACUUM_RETAIN_HOURS, now=VACUUM_NOW)
+
+
+def q_time_travel_version(spark, sf_dir):
+    return snapshot_table(spark, sf_dir).read(version=1)
+
+
+def q_time_travel_timestamp(spark, sf_dir):
+    return snapshot_table(spark, sf_dir).read(as_of=TRAVEL_AS_OF)
+
+
+def q_restored_version(spark, sf_dir):
+    return snapshot_table(spark, sf_dir).read(version=3)
+
+
+def q_add_column(spark, sf_dir):
+    return snapshot_table(spark, sf_dir).read(version=4)
+
+
+def q_compact_rows(spark, sf_dir):
+    return snapshot_table(spark, sf_dir).read(version=2)
+
+
+def q_zorder_rows(spark, sf_dir):
+    from ledgerproof.operators.layout import zordered
+
+    return zordered(table(spark, sf_dir, "events"), ["user_id", "value"])
+
+
+def q_repartition_counts(spark, sf_dir):
+    """Rows per partition after a full rebalance by key (8) and a coalesce to 4 of that."""
+    from ledgerproof.operators.layout import compact_before_write, partition_sizes, rebalance_for_wide_operation
+
+    silver = _m(spark, sf_dir).silver
+    wide = rebalance_for_wide_operation(silver, 8, by="account_id")
+    return partition_sizes(wide).withColumn("layout", F.lit("repartition_8")).unionByName(
+        partition_sizes(compact_before_write(wide, 4)).withColumn("layout", F.lit("coalesce_4"))
+    )
+
+
+for _name in (
+    "history", "latest_version", "versions_to_vacuum", "time_travel_version", "time_travel_timestamp",
+    "restored_version", "add_column", "compact_rows", "zorder_rows", "repartition_counts",
+):
+    QUERIES[_name] = globals()[f"q_{_name}"]
+
+_V0 = f"SELECT {O.BRONZE_COLS} FROM c_bronze WHERE _src % 2 = 0"
+_V1 = f"SELECT {O.BRONZE_COLS} FROM c_bronze"
+ORACLE["history"] = _with(CLEAN) + f"""SELECT * FROM (VALUES
+    (0, TIMESTAMP '{SNAPSHOT_TIMES[0]}', 'WRITE'), (1, TIMESTAMP '{SNAPSHOT_TIMES[1]}', 'WRITE'),
+    (2, TIMESTAMP '{SNAPSHOT_TIMES[2]}', 'OPTIMIZE'), (3, TIMESTAMP '{SNAPSHOT_TIMES[3]}', 'RESTORE'),
+    (4, TIMESTAMP '{SNAPSHOT_TIMES[4]}', 'ADD COLUMNS')) h(version, committed_at, operation)
+  JOIN (SELECT 0 AS v, count(*) FILTER (WHERE _src % 2 = 0) AS even_rows, count(*) AS all_rows FROM c_bronze) c ON true
+  """.replace("SELECT * FROM", "SELECT CAST(version AS BIGINT) AS version, committed_at, operation, "
+              "CAST(CASE WHEN version IN (1, 2) THEN all_rows ELSE even_rows END AS BIGINT) AS row_count FROM")
+ORACLE["latest_version"] = "SELECT CAST(4 AS BIGINT) AS latest_version"
+ORACLE["versions_to_vacuum"] = f"""SELECT CAST(version AS BIGINT) AS version, committed_at, operation,
+    CAST(data_version AS BIGINT) AS data_version, files_removable FROM (VALUES
+    (0, TIMESTAMP '{SNAPSHOT_TIMES[0]}', 'WRITE', 0, false), (1, TIMESTAMP '{SNAPSHOT_TIMES[1]}', 'WRITE', 1, true),
+    (2, TIMESTAMP '{SNAPSHOT_TIMES[2]}', 'OPTIMIZE', 2, true), (3, TIMESTAMP '{SNAPSHOT_TIMES[3]}', 'RESTORE', 0, false)
+  ) v(version, committed_at, operation, data_version, files_removable)"""
+ORACLE["time_travel_version"] = _with(CLEAN) + _V1
+ORACLE["time_travel_timestamp"] = _with(CLEAN) + _V0
+ORACLE["restored_version"] = _with(CLEAN) + _V0
+ORACLE["add_column"] = _with(CLEAN) + f"SELECT {O.BRONZE_COLS}, CAST(NULL AS VARCHAR) AS note FROM c_bronze WHERE _src % 2 = 0"
+ORACLE["compact_rows"] = _with(CLEAN) + _V1
+ORACLE["zorder_rows"] = "SELECT * FROM events"

@@ -1,0 +1,199 @@
+"""Snapshot-versioned Parquet tables: history, time travel, restore, retention, compaction, add column.
+
+Layout under ``root``::
+
+    data/snapshot_version=<n>/part-*.parquet   one folder per written data version
+    _history/part-*.parquet                     one row per commit
+
+A commit writes its data folder first and appends its history row last, and readers resolve a version
+only through history, so a half-written version is never visible. Each history row names the data
+folder it reads (``data_version``): RESTORE and ADD COLUMNS are metadata-only commits that point at an
+existing folder; WRITE and OPTIMIZE write a new one. One writer at a time is assumed.
+
+Reading a version reads exactly its folder (the partition directory is the path), so time travel
+costs the size of that version, not of the table's history.
+"""
+
+from __future__ import annotations
+
+import json
+import uuid
+from dataclasses import dataclass
+from datetime import UTC, datetime, timedelta
+
+from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, StringType, StructField, StructType, TimestampNTZType
+
+from ledgerproof.operators.layout import compacted, zordered
+
+HISTORY = StructType(
+    [
+        StructField("version", LongType()),
+        StructField("committed_at", TimestampNTZType()),
+        StructField("operation", StringType()),
+        StructField("row_count", LongType()),
+        StructField("parameters", StringType()),
+        StructField("data_version", LongType()),
+        StructField("added_columns", StringType()),
+    ]
+)
+DEFAULT_RETAIN_HOURS = 168
+
+
+def _utc_naive(ts: datetime | str | None) -> datetime:
+    if ts is None:
+        return datetime.now(UTC).replace(tzinfo=None)
+    if isinstance(ts, str):
+        ts = datetime.fromisoformat(ts)
+    return ts.astimezone(UTC).replace(tzinfo=None) if ts.tzinfo else ts
+
+
+@dataclass
+class SnapshotTable:
+    spark: SparkSession
+    root: str
+
+    @property
+    def data_root(self) -> str:
+        return f"{self.root.rstrip('/')}/data"
+
+    @property
+    def history_root(self) -> str:
+        return f"{self.root.rstrip('/')}/_history"
+
+    def _data_path(self, data_version: int) -> str:
+        return f"{self.data_root}/snapshot_version={data_version}"
+
+    # ------------------------------------------------------------------ history
+
+    def _history_frame(self) -> DataFrame:
+        try:
+            return self.spark.read.schema(HISTORY).parquet(self.history_root)
+        except Exception:  # noqa: BLE001 - no commit yet: an empty history
+            return self.spark.createDataFrame([], HISTORY)
+
+    def history(self, limit: int | None = None) -> DataFrame:
+        """Newest first; ``limit`` 0 or None means all."""
+        h = self._history_frame().orderBy(F.col("version").desc())
+        return h.limit(int(limit)) if limit else h
+
+    def latest_version(self) -> int | None:
+        return self._history_frame().agg(F.max("version")).first()[0]
+
+    def _entry(self, version: int) -> dict:
+        rows = self._history_frame().filter(F.col("version") == F.lit(version)).collect()
+        if not rows:
+            raise ValueError(f"no version {version} in {self.root}")
+        return rows[0].asDict()
+
+    def _commit(self, operation: str, data_version: int, row_count: int, parameters: dict, committed_at,
+                added_columns: str = "") -> int:
+        latest = self.latest_version()
+        version = 0 if latest is None else latest + 1
+        row = (version, _utc_naive(committed_at), operation, row_count, json.dumps(parameters, sort_keys=True),
+               data_version, added_columns)
+        self.spark.createDataFrame([row], HISTORY).coalesce(1).write.mode("append").parquet(self.history_root)
+        return version
+
+    # ------------------------------------------------------------------ writes
+
+    def _write_data(self, df: DataFrame) -> tuple[int, int]:
+        latest = self._history_frame().agg(F.max("data_version")).first()[0]
+        data_version = 0 if latest is None else latest + 1
+        observed = Observation(f"snapshot-{uuid.uuid4().hex[:8]}")
+        df.observe(observed, F.count(F.lit(1)).alias("rows")).write.mode("overwrite").parquet(
+            self._data_path(data_version)
+        )
+        return data_version, int(observed.get.get("rows", 0) or 0)
+
+    def write(self, df: DataFrame, *, committed_at=None, operation: str = "WRITE", parameters: dict | None = None) -> int:
+        """A new version holding ``df`` (overwrite semantics: the version is exactly these rows)."""
+        data_version, rows = self._write_data(df)
+        return self._commit(operation, data_version, rows, parameters or {"mode": "overwrite"}, committed_at)
+
+    def optimize(self, *, zorder_by: list[str] | None = None, target_partitions: int | None = None,
+                 committed_at=None) -> int:
+        """Compaction (and optional Z-order clustering) of the current version, published as a new one."""
+        current = self.read()
+        laid_out = zordered(current, zorder_by, target_partitions) if zorder_by else compacted(current, target_partitions)
+        params = {"zorder_by": list(zorder_by or [])}
+        return self.write(laid_out, committed_at=committed_at, operation="OPTIMIZE", parameters=params)
+
+    def restore(self, version: int, *, committed_at=None) -> int:
+        """Roll back as a new, auditable version that points at ``version``'s data (no copy)."""
+        e = self._entry(version)
+        return self._commit("RESTORE", e["data_version"], e["row_count"], {"version": version}, committed_at,
+                            e["added_columns"] or "")
+
+    def add_column(self, column: str, sql_type: str, *, committed_at=None) -> int:
+        """Schema evolution: later reads of the new version show ``column`` (NULL for existing rows)."""
+        current = self._entry(self.latest_version())
+        added = ", ".join(filter(None, [current["added_columns"] or "", f"{column} {sql_type}"]))
+        return self._commit("ADD COLUMNS", current["data_version"], current["row_count"],
+                            {"column": column, "type": sql_type}, committed_at, added)
+
+    # ------------------------------------------------------------------ reads
+
+    def resolve(self, *, version: int | None = None, as_of=None) -> int:
+        """Exactly one of ``version`` / ``as_of``; ``as_of`` picks the newest commit at or before it."""
+        if (version is None) == (as_of is None):
+            raise ValueError("pass exactly one of version or as_of")
+        if version is not None:
+            return int(version)
+        found = (
+            self._history_frame()
+            .filter(F.col("committed_at") <= F.lit(_utc_naive(as_of).isoformat(sep=" ")).cast("timestamp_ntz"))
+            .agg(F.max("version"))
+            .first()[0]
+        )
+        if found is None:
+            raise ValueError(f"no version committed at or before {as_of}")
+        return int(found)
+
+    def read(self, *, version: int | None = None, as_of=None) -> DataFrame:
+        if version is None and as_of is None:
+            version = self.latest_version()
+            if version is None:
+                raise ValueError(f"{self.root} has no versions")
+        e = self._entry(self.resolve(version=version, as_of=as_of))
+        df = self.spark.read.parquet(self._data_path(e["data_version"]))
+        for spec in filter(None, (e["added_columns"] or "").split(", ")):
+            name, sql_type = spec.split(" ", 1)
+            if name not in df.columns:
+                df = df.withColumn(name, F.lit(None).cast(sql_type))
+        return df
+
+    # ------------------------------------------------------------------ retention
+
+    def versions_to_vacuum(self, retain_hours: int = DEFAULT_RETAIN_HOURS, *, now=None) -> DataFrame:
+        """Versions older than the retention window (never the current one), and whether their data
+        folder can go: only when no retained version still reads it."""
+        if retain_hours < 0:
+            raise ValueError("retain_hours must not be negative")
+        cutoff = _utc_naive(now) - timedelta(hours=retain_hours)
+        h = self._history_frame()
+        current = h.agg(F.max("version").alias("_current"))
+        flagged = h.join(current, h["version"] == current["_current"], "left").withColumn(
+            "_expired", (F.col("committed_at") < F.lit(cutoff.isoformat(sep=" ")).cast("timestamp_ntz"))
+            & F.col("_current").isNull()
+        )
+        kept = flagged.filter(~F.col("_expired")).select(F.col("data_version").alias("_kept_dv")).distinct()
+        expired = flagged.filter(F.col("_expired"))
+        return expired.join(kept, expired["data_version"] == kept["_kept_dv"], "left").select(
+            "version", "committed_at", "operation", "data_version",
+            F.col("_kept_dv").isNull().alias("files_removable"),
+        )
+
+    def vacuum(self, retain_hours: int = DEFAULT_RETAIN_HOURS, *, now=None) -> list[int]:
+        """Delete data folders no retained version reads; returns the data versions removed."""
+        removable = sorted(
+            {r["data_version"] for r in self.versions_to_vacuum(retain_hours, now=now).filter("files_removable")
+             .select("data_version").collect()}
+        )
+        jvm = self.spark.sparkContext._jvm
+        conf = self.spark.sparkContext._jsc.hadoopConfiguration()
+        for dv in removable:
+            path = jvm.org.apache.hadoop.fs.Path(self._data_path(dv))
+            path.getFileSystem(conf).delete(path, True)
+        return removable
