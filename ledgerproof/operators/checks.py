@@ -90,7 +90,11 @@ def _break_row(
 
 
 def align(source: DataFrame, target: DataFrame, *, validate: bool = True) -> DataFrame:
-    """Union of partition keys; columns ``s_*`` / ``t_*`` plus presence flags."""
+    """Union of partition keys; columns ``s_*`` / ``t_*`` plus presence flags.
+
+    ``validate`` asserts one row per key and sane counts on both sides; pass False only for totals that
+    were validated already (the suite validates its stacked totals once).
+    """
     if validate:
         source, target = assert_valid_totals(source), assert_valid_totals(target)
 
@@ -115,9 +119,10 @@ def row_count_check(
     expect_distinct_source: bool = False,
     expect_distinct_target: bool = False,
     name: str = "row_count",
+    validate: bool = True,
 ) -> CheckResult:
     """Rows (or distinct ids, per side) must match per partition; a missing side counts as zero."""
-    aligned = align(source, target)
+    aligned = align(source, target, validate=validate)
     expected = F.coalesce(F.col("s_distinct" if expect_distinct_source else "s_rows"), F.lit(0))
     actual = F.coalesce(F.col("t_distinct" if expect_distinct_target else "t_rows"), F.lit(0))
     note = (
@@ -147,10 +152,11 @@ def amount_sum_check(
     tolerance_minor: int = 0,
     relative_tolerance: float = 0.0,
     name: str = "amount_sum",
+    validate: bool = True,
 ) -> CheckResult:
     """Break when ``|actual - expected|`` exceeds the allowance, which scales on *expected* only."""
     validate_tolerances(tolerance_minor, relative_tolerance)
-    aligned = align(source, target).select(
+    aligned = align(source, target, validate=validate).select(
         "partition_key",
         F.coalesce(F.col("s_amount"), F.lit(0).cast("bigint")).alias("_expected"),
         F.coalesce(F.col("t_amount"), F.lit(0).cast("bigint")).alias("_actual"),
@@ -241,6 +247,7 @@ def conservation_check(
     *,
     measure: str = "rows",
     name: str | None = None,
+    validate: bool = True,
 ) -> CheckResult:
     """Deduplicated bronze must equal silver plus quarantine, per partition (rows or amounts)."""
     if measure not in ("rows", "amount"):
@@ -251,7 +258,7 @@ def conservation_check(
         F.sum("amount_minor_sum").alias("amount_minor_sum"),
         F.sum("distinct_event_ids").alias("distinct_event_ids"),
     ).withColumn("layer", F.lit("silver+rejected"))
-    aligned = align(bronze_deduped, landed)
+    aligned = align(bronze_deduped, landed, validate=validate)
     column = "rows" if measure == "rows" else "amount"
     expected = F.coalesce(F.col(f"s_{column}"), F.lit(0))
     actual = F.coalesce(F.col(f"t_{column}"), F.lit(0))

@@ -37,6 +37,7 @@ from ledgerproof.operators.report import run_all
 from ledgerproof.plans import oracle as O
 from ledgerproof.plans.suite import reconciliation_suite
 from ledgerproof.schemas import BRONZE_COLUMNS
+from ledgerproof.session import materialize as cut_lineage
 from ledgerproof.sources.fixture import bronze_fixture, event_records
 from ledgerproof.sources.landing import land_batch
 
@@ -58,11 +59,16 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 class Medallion:
     """All layers of one fixture variant, built lazily from ``events``."""
 
-    def __init__(self, spark: SparkSession, sf_dir: str, *, faulty: bool = True) -> None:
+    def __init__(self, spark: SparkSession, sf_dir: str, *, faulty: bool = True, materialize: bool = False) -> None:
         self.events = table(spark, sf_dir, "events")
         self.bronze = bronze_fixture(self.events, faulty=faulty)
         self.deduped = dedup_bronze(self.bronze)
         self.classified = classify(self.deduped)
+        if materialize:
+            # As the build job does: one dedup shuffle, cut from its lineage as a table in the shared
+            # checkpoint folder, then every layer derives from it.
+            self.classified = cut_lineage(self.classified, "classified")
+            self.deduped = self.classified.drop("rejection_reason")
         self.silver = silver_of(self.classified)
         self.rejected = rejected_of(self.classified)
         self.fact = fact_transactions(self.silver)
@@ -84,8 +90,8 @@ class Medallion:
         return control_totals(df, label)
 
 
-def _m(spark: SparkSession, sf_dir: str, faulty: bool = True) -> Medallion:
-    return Medallion(spark, sf_dir, faulty=faulty)
+def _m(spark: SparkSession, sf_dir: str, faulty: bool = True, materialize: bool = False) -> Medallion:
+    return Medallion(spark, sf_dir, faulty=faulty, materialize=materialize)
 
 
 # ---------------------------------------------------------------- landing, fixture, dedup
@@ -329,10 +335,11 @@ def q_check_conservation_amount(spark, sf_dir):
 
 
 def _suite(spark, sf_dir, *, fault: bool = False, mode: str = "parity"):
-    m = _m(spark, sf_dir)
+    m = _m(spark, sf_dir, materialize=True)
     silver = m.silver_fault if fault else m.silver
     return reconciliation_suite(
-        m.bronze, m.silver, fact_transactions(silver), dim_account(silver), rejected=m.rejected, mode=mode
+        m.bronze, m.silver, fact_transactions(silver), dim_account(silver), rejected=m.rejected, mode=mode,
+        bronze_deduped=m.deduped, materialize=True,
     )
 
 

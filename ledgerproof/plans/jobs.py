@@ -2,9 +2,9 @@
 small results (a row count from an ``Observation``, the per-check summary, a capped break preview).
 
 Build writes through the catalog (three-level names) or to paths. The deduplicated, classified bronze is
-cut from its lineage with a reliable ``checkpoint()`` in the shared folder named by
-``spark.checkpoint.dir``, so silver and quarantine are written from one dedup shuffle, and a lost
-executor re-reads the checkpoint instead of re-running the shuffle.
+cut from its lineage as a Parquet table in the shared folder named by ``spark.checkpoint.dir``, so
+silver and quarantine are written from one dedup shuffle, and a lost executor re-reads that table
+instead of re-running the shuffle.
 """
 
 from __future__ import annotations
@@ -18,7 +18,7 @@ from ledgerproof.operators.layout import rebalanced
 from ledgerproof.operators.medallion import build_gold, classify, rejected_of, silver_of
 from ledgerproof.operators.report import Report
 from ledgerproof.plans.suite import reconciliation_suite
-from ledgerproof.session import ensure_checkpoint_dir
+from ledgerproof.session import materialize
 from ledgerproof.sources.landing import Tables, replace_table
 
 
@@ -44,9 +44,8 @@ def build_medallion(spark: SparkSession, tables: Tables, *, inject_break: bool =
         "fact": tables.gold_fact,
         "dim": tables.gold_dim_account,
     }
-    ensure_checkpoint_dir(spark)
     bronze = _read(spark, target["bronze"], is_path)
-    classified = classify(dedup_bronze(bronze)).checkpoint(eager=True)
+    classified = materialize(classify(dedup_bronze(bronze)), "classified")
     replace_table(rebalanced(silver_of(classified)), target["silver"], is_path=is_path)
     replace_table(rebalanced(rejected_of(classified)), target["rejected"], is_path=is_path)
     silver = _read(spark, target["silver"], is_path)

@@ -5,9 +5,12 @@ silver -> gold rows and amounts, silver dedup, fact -> dimension integrity. ``co
 the bronze -> silver pair with bronze = silver + quarantine (rows and amounts), so legitimate rejects
 are explained instead of failing the run.
 
+``bronze_deduped`` lets a caller that already holds the deduplicated bronze (the build job checkpoints
+it) reuse it instead of deduplicating bronze again.
+
 The totals of all layers are tiny (one row per partition). With ``materialize=True`` they are stacked
-and written once through ``DataFrame.checkpoint()`` (reliable, under ``spark.checkpoint.dir``), so the
-checks read each layer's scan exactly once and a lost executor cannot force the layers to be rescanned.
+and written once as a table in the shared folder named by ``spark.checkpoint.dir``, so the checks read
+each layer's scan exactly once and a lost executor cannot force the layers to be rescanned.
 """
 
 from __future__ import annotations
@@ -22,9 +25,9 @@ from ledgerproof.operators.checks import (
     referential_integrity_check,
     row_count_check,
 )
-from ledgerproof.operators.control_totals import control_totals
+from ledgerproof.operators.control_totals import assert_valid_totals, control_totals
 from ledgerproof.operators.report import Report, run_all
-from ledgerproof.session import ensure_checkpoint_dir
+from ledgerproof.session import materialize as cut_lineage
 
 MODES = ("parity", "conservation")
 
@@ -36,10 +39,16 @@ def layer_totals(
     *,
     rejected: DataFrame | None = None,
     source: DataFrame | None = None,
+    bronze_deduped: DataFrame | None = None,
     date_col: str = "business_date",
 ) -> dict[str, DataFrame]:
+    deduped_totals = (
+        control_totals(bronze_deduped, "bronze", partition_col=date_col)
+        if bronze_deduped is not None
+        else control_totals(bronze, "bronze", partition_col=date_col, dedupe=True)
+    )
     totals = {
-        "bronze": control_totals(bronze, "bronze", partition_col=date_col, dedupe=True),
+        "bronze": deduped_totals,
         "silver": control_totals(silver, "silver", partition_col=date_col),
         "gold": control_totals(fact, "gold", partition_col=date_col),
     }
@@ -58,8 +67,7 @@ def _materialized(totals: dict[str, DataFrame]) -> dict[str, DataFrame]:
     stacked = frames[0]
     for f in frames[1:]:
         stacked = stacked.unionByName(f)
-    ensure_checkpoint_dir(stacked.sparkSession)
-    stacked = stacked.checkpoint(eager=True)
+    stacked = cut_lineage(assert_valid_totals(stacked).coalesce(1), "control-totals")
     return {name: stacked.filter(F.col("_slot") == F.lit(name)).drop("_slot") for name in totals}
 
 
@@ -71,6 +79,7 @@ def reconciliation_suite(
     *,
     rejected: DataFrame | None = None,
     source: DataFrame | None = None,
+    bronze_deduped: DataFrame | None = None,
     mode: str = "parity",
     tolerance_minor: int = 0,
     relative_tolerance: float = 0.0,
@@ -81,27 +90,34 @@ def reconciliation_suite(
         raise ValueError(f"mode must be one of {MODES}")
     if mode == "conservation" and rejected is None:
         raise ValueError("conservation mode needs the rejected (quarantine) table")
-    totals = layer_totals(bronze, silver, fact, rejected=rejected, source=source, date_col=date_col)
+    totals = layer_totals(
+        bronze, silver, fact, rejected=rejected, source=source, bronze_deduped=bronze_deduped, date_col=date_col
+    )
     if materialize:
         totals = _materialized(totals)
-    tol = {"tolerance_minor": tolerance_minor, "relative_tolerance": relative_tolerance}
+    # materialized totals were validated once when written; otherwise each check validates its inputs
+    tol = {"tolerance_minor": tolerance_minor, "relative_tolerance": relative_tolerance, "validate": not materialize}
+    v = {"validate": not materialize}
     b, s, g = totals["bronze"], totals["silver"], totals["gold"]
     checks = []
     if source is not None:
         checks += [
             row_count_check(
                 totals["source"], totals["bronze_raw"], source_layer="source", target_layer="bronze",
-                expect_distinct_target=True,
+                expect_distinct_target=True, **v,
             ),
             amount_sum_check(totals["source"], b, source_layer="source", target_layer="bronze", **tol),
         ]
     if mode == "parity":
-        checks += [row_count_check(b, s), amount_sum_check(b, s, **tol)]
+        checks += [row_count_check(b, s, **v), amount_sum_check(b, s, **tol)]
     else:
         r = totals["rejected"]
-        checks += [conservation_check(b, s, r, measure="rows"), conservation_check(b, s, r, measure="amount")]
+        checks += [
+            conservation_check(b, s, r, measure="rows", **v),
+            conservation_check(b, s, r, measure="amount", **v),
+        ]
     checks += [
-        row_count_check(s, g, source_layer="silver", target_layer="gold"),
+        row_count_check(s, g, source_layer="silver", target_layer="gold", **v),
         amount_sum_check(s, g, source_layer="silver", target_layer="gold", **tol),
         dedup_check(s),
         referential_integrity_check(fact, dim, key="account_id", dimension_name="dim_account"),

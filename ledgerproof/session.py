@@ -4,8 +4,9 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Settings the library relies on; applied only in tests/bench where the caller owns the session.
 LOCAL_CONF = {
@@ -55,3 +56,15 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
 def scratch_path(spark: SparkSession, *parts: str) -> str:
     """A path under the shared checkpoint folder for written intermediate tables."""
     return os.path.join(checkpoint_root(spark), *parts)
+
+
+def materialize(df: DataFrame, label: str) -> DataFrame:
+    """Cut lineage by writing ``df`` as Parquet under the shared checkpoint folder and reading it back.
+
+    One write (no recomputation, unlike an eager RDD checkpoint of an unpersisted plan), compressed
+    columnar storage, and later reads get column pruning, filter pushdown and the vectorised reader.
+    The folder survives executor loss; the caller owns its lifetime.
+    """
+    path = scratch_path(df.sparkSession, f"{label}-{uuid.uuid4().hex}")
+    df.write.mode("error").parquet(path)
+    return df.sparkSession.read.parquet(path)
