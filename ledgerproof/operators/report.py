@@ -65,8 +65,13 @@ class Report:
     def summary(self) -> DataFrame:
         return _union([r.summary for r in self.results])
 
-    def break_descriptions(self) -> DataFrame:
-        return self.breaks.withColumn("description", description())
+    def ordered_breaks(self) -> DataFrame:
+        """Breaks in report order: by check step, then partition key (sorted union / sorted orphans)."""
+        steps = [r.breaks.withColumn("_step", F.lit(r.step)) for r in self.results]
+        return _union(steps).orderBy("_step", "partition_key").drop("_step")
+
+    def break_descriptions(self, *, ordered: bool = False) -> DataFrame:
+        return (self.ordered_breaks() if ordered else self.breaks).withColumn("description", description())
 
     def status(self) -> dict[str, object]:
         """One small action: the per-check summary plus error / warning counts."""
@@ -84,7 +89,8 @@ class Report:
             return f"reconciliation PASSED ({len(st['checks'])} checks: {names})"
         head_status = "PASSED with warnings" if st["passed"] else "FAILED"
         head = f"reconciliation {head_status}: {st['errors']} error(s), {st['warnings']} warning(s)"
-        lines = [r["description"] for r in self.break_descriptions().select("description").limit(max_lines).collect()]
+        preview = self.break_descriptions(ordered=True).select("description").limit(max_lines)
+        lines = [r["description"] for r in preview.collect()]
         total = st["errors"] + st["warnings"]
         more = [f"  ... {total - len(lines)} more"] if total > len(lines) else []
         return "\n".join([head, *(f"  {line}" for line in lines), *more])
@@ -99,6 +105,20 @@ class Report:
         self.summary.write.mode("overwrite").format(fmt).save(f"{path}/summary")
         self.breaks.write.mode("overwrite").format(fmt).save(f"{path}/breaks")
 
+    def materialize(self) -> "Report":
+        """Evaluate every check once into a table in the shared checkpoint folder; the returned report's
+        summary, breaks and text all read that table, so the layers are not scanned again per action."""
+        from ledgerproof.session import materialize as cut_lineage
+
+        stacked = cut_lineage(_union([r.evaluated.withColumn("_step", F.lit(r.step)) for r in self.results]), "report")
+        return Report(
+            [
+                CheckResult(r.check, r.source_layer, r.target_layer,
+                            stacked.filter(F.col("_step") == F.lit(r.step)).drop("_step"), r.step)
+                for r in self.results
+            ]
+        )
+
     def raise_for_status(self) -> None:
         st = self.status()
         if not st["passed"]:

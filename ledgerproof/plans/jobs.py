@@ -80,7 +80,7 @@ def run_control(spark: SparkSession, tables: Tables, *, mode: str = "parity", is
         tolerance_minor=tables.tolerance_minor,
         relative_tolerance=tables.relative_tolerance,
         materialize=True,
-    )
+    ).materialize()
     if raise_on_error:
         report.raise_for_status()
     return report

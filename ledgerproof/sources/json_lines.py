@@ -167,3 +167,15 @@ def event_json(records: DataFrame) -> Column:
             "source_system",
         )
     )
+
+
+def read_events_json(spark, path: str, *, streaming: bool = False) -> DataFrame:
+    """A plain typed read of JSON event files with the declared 8-field schema (no inference).
+
+    Fields that do not fit the schema come back NULL; use ``parse_event_lines`` over ``read.text`` when
+    bad lines must be kept with the reason they failed.
+    """
+    from ledgerproof.schemas import EVENT_JSON_SCHEMA
+
+    reader = spark.readStream if streaming else spark.read
+    return reader.schema(EVENT_JSON_SCHEMA).json(path)
