@@ -213,9 +213,18 @@ def referential_integrity_check(
     if severity not in (ERROR, WARNING):
         raise ValueError("severity must be 'error' or 'warning'")
     dim_key = dimension_key or key
+    fk, dk = F.col("_fk"), F.col("_dk")
     fact_keys = fact.select(F.col(key).alias("_fk")).distinct()
-    dim_keys = dimension.select(F.col(dim_key).alias("_dk")).distinct().withColumn("_hit", F.lit(True))
-    joined = fact_keys.join(dim_keys, fact_keys["_fk"].eqNullSafe(dim_keys["_dk"]), "left")
+    # Non-NULL keys: a plain equi-join, which reuses the hash partitioning of both distincts (a null-safe
+    # join would be planned on (coalesce(k), isnull(k)) and shuffle both sides again).
+    dim_keys = dimension.select(F.col(dim_key).alias("_dk")).filter(dk.isNotNull()).distinct()
+    keyed = fact_keys.filter(fk.isNotNull()).join(
+        dim_keys.withColumn("_hit", F.lit(True)), fk == dk, "left"
+    ).select("_fk", "_hit")
+    # The NULL key (at most one distinct row) matches when the dimension has a NULL key too.
+    dim_has_null = dimension.filter(F.col(dim_key).isNull()).exists()
+    null_key = fact_keys.filter(fk.isNull()).select("_fk", F.when(dim_has_null, F.lit(True)).alias("_hit"))
+    joined = keyed.unionByName(null_key)
     label = F.concat(F.lit(f"{dimension_name}:"), F.coalesce(F.col("_fk").cast("string"), F.lit("None")))
     evaluated = joined.select(
         *_break_row(
