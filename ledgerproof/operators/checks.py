@@ -24,6 +24,7 @@ from ledgerproof.schemas import BREAKS_SCHEMA
 BREAK_COLUMNS = [f.name for f in BREAKS_SCHEMA.fields]
 ERROR, WARNING = "error", "warning"
 
+# Break notes as the original checks emit them (reports are compared as text).
 NOTE_MISSING_TARGET = "partition missing from target layer"
 NOTE_MISSING_SOURCE = "partition present in target but absent from source"
 NOTE_DUPLICATES = "duplicate event ids survived into this layer"

@@ -26,7 +26,7 @@ class ReconciliationFailure(RuntimeError):
 
 
 def description() -> Column:
-    """``[ERROR] check @ key: src=expected vs tgt=actual (delta +n) (note)``."""
+    """``[ERROR] check @ key: src=expected vs tgt=actual (delta +n) (note)`` (fixed text format)."""
     note = F.when(F.coalesce(F.col("note"), F.lit("")) == F.lit(""), F.lit("")).otherwise(
         F.concat(F.lit(" ("), F.col("note"), F.lit(")"))
     )

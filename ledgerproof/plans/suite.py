@@ -67,7 +67,7 @@ def _materialized(totals: dict[str, DataFrame]) -> dict[str, DataFrame]:
     stacked = frames[0]
     for f in frames[1:]:
         stacked = stacked.unionByName(f)
-    stacked = cut_lineage(assert_valid_totals(stacked).coalesce(1), "control-totals")
+    stacked = cut_lineage(assert_valid_totals(stacked), "control-totals")
     return {name: stacked.filter(F.col("_slot") == F.lit(name)).drop("_slot") for name in totals}
 
 

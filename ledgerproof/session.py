@@ -68,3 +68,19 @@ def materialize(df: DataFrame, label: str) -> DataFrame:
     path = scratch_path(df.sparkSession, f"{label}-{uuid.uuid4().hex}")
     df.write.mode("error").parquet(path)
     return df.sparkSession.read.parquet(path)
+
+
+def sizing_conf(input_bytes: int, total_cores: int, *, partition_bytes: int = 256 * 1024 * 1024) -> dict[str, str]:
+    """Shuffle and scan sizing for a cluster run: partitions of ~``partition_bytes`` so a task's share
+    fits executor memory and spills rarely, never fewer than two waves of the cluster's cores. AQE then
+    coalesces small shuffles and splits skewed partitions at run time."""
+    shuffle_partitions = max(2 * total_cores, -(-input_bytes // partition_bytes))
+    size = f"{partition_bytes // (1024 * 1024)}m"
+    return {
+        "spark.sql.shuffle.partitions": str(shuffle_partitions),
+        "spark.sql.files.maxPartitionBytes": size,
+        "spark.sql.adaptive.enabled": "true",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": size,
+        "spark.sql.adaptive.coalescePartitions.enabled": "true",
+        "spark.sql.adaptive.skewJoin.enabled": "true",
+    }

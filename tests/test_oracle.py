@@ -63,3 +63,21 @@ def test_query_matches_oracle(spark, con, name):
     ocols = [d[0] for d in cur.description]
     assert sorted(df.columns) == sorted(ocols)
     assert _canon(df.columns, rows) == _canon(ocols, cur.fetchall())
+
+
+ZONE_SENSITIVE = ("land_batch", "silver_valid", "totals_silver", "validate_json", "dead_letter", "history",
+                  "time_travel_timestamp", "dim_account")
+
+
+@pytest.mark.parametrize("name", ZONE_SENSITIVE)
+def test_results_do_not_depend_on_the_session_time_zone(spark, con, name):
+    before = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "America/Los_Angeles")
+    try:
+        df = queries()[name](spark, SF_SMALL)
+        rows = [tuple(r) for r in df.collect()]
+        cols = df.columns
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", before)
+    cur = con.execute(oracle_sql()[name])
+    assert _canon(cols, rows) == _canon([d[0] for d in cur.description], cur.fetchall())
