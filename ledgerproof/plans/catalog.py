@@ -883,3 +883,51 @@ ORACLE["restored_version"] = _with(CLEAN) + _V0
 ORACLE["add_column"] = _with(CLEAN) + f"SELECT {O.BRONZE_COLS}, CAST(NULL AS VARCHAR) AS note FROM c_bronze WHERE _src % 2 = 0"
 ORACLE["compact_rows"] = _with(CLEAN) + _V1
 ORACLE["zorder_rows"] = "SELECT * FROM events"
+
+
+# ---------------------------------------------------------------- more checks and the serving export
+
+
+def q_check_dedup_fallback(spark, sf_dir):
+    """The two-argument dedup check with an empty target falls back to the source's totals."""
+    m = _m(spark, sf_dir)
+    raw = m.totals("bronze_raw")
+    empty_target = m.totals("silver").filter(F.lit(False))
+    return C.dedup_check_pair(raw, empty_target, layer="bronze").breaks
+
+
+def q_reconcile_with_source_summary(spark, sf_dir):
+    """The parity suite preceded by source -> bronze checks against the producer's manifest."""
+    m = _m(spark, sf_dir, materialize=True)
+    manifest = source_manifest(_m(spark, sf_dir, faulty=False).bronze)
+    return reconciliation_suite(
+        m.bronze, m.silver, m.fact, m.dim, rejected=m.rejected, source=manifest, bronze_deduped=m.deduped,
+        materialize=True,
+    ).summary
+
+
+def q_published_account_summary(spark, sf_dir):
+    from ledgerproof.plans.jobs import publish_account_summary
+
+    path = _fresh_dir(spark, "account-summary")
+    publish_account_summary(_m(spark, sf_dir).dim, path)
+    return spark.read.parquet(path)
+
+
+for _name in ("check_dedup_fallback", "reconcile_with_source_summary", "published_account_summary"):
+    QUERIES[_name] = globals()[f"q_{_name}"]
+
+ORACLE["check_dedup_fallback"] = ORACLE["check_dedup_bronze"]
+ORACLE["published_account_summary"] = ORACLE["account_list"]
+_MANIFEST = f"mt AS ({O.totals_sql('c_dedup', 'source', date_expr='event_date')})"
+_RAW_BY_DATE = f"brt AS ({O.totals_sql('bronze', 'bronze_raw')})"
+ORACLE["reconcile_with_source_summary"] = _with(FAULTY, CLEAN, T_BRONZE, T_SILVER, T_GOLD, T_GOLD_FAULT, _MANIFEST,
+                                                _RAW_BY_DATE) + "\nUNION ALL\n".join(
+    [
+        O.summary_sql(O.row_check_sql("mt", "brt", "source", "bronze", distinct_target=True, evaluated=True), 1,
+                      "row_count", "source", "bronze"),
+        O.summary_sql(O.amount_check_sql("mt", "bt", "source", "bronze", evaluated=True), 2, "amount_sum", "source",
+                      "bronze"),
+    ]
+    + [O.summary_sql(sql, i + 3, *rest) for i, (sql, *rest) in enumerate(_suite_evaluated("gt", "dim"))]
+)
