@@ -24,9 +24,12 @@ def normalised_currency(value: str | Column = "currency") -> Column:
     return F.upper(strip(value))
 
 
+THREE_LETTERS = r"^\p{L}{3}$"
+
+
 def is_currency_code(value: str | Column) -> Column:
     """Exactly three letters (any script, as ``str.isalpha`` accepts) after normalising."""
-    return normalised_currency(value).rlike(r"^\p{L}{3}$")
+    return normalised_currency(value).rlike(THREE_LETTERS)
 
 
 def min_length(value: str | Column, n: int) -> Column:
@@ -46,12 +49,6 @@ def two_valued(predicate: Column) -> Column:
     return F.coalesce(predicate, F.lit(False))
 
 
-def failed_rules(rules: dict[str, Column]) -> Column:
-    """``array<string>`` of the rule names whose predicate is not true, in the order given."""
-    flagged = [F.when(two_valued(pred), F.lit(None)).otherwise(F.lit(name)) for name, pred in rules.items()]
-    return F.filter(F.array(*flagged), lambda x: x.isNotNull())
-
-
 def failed_rule_list(rules: dict[str, Column]) -> Column:
     """Comma-separated names of the rules whose predicate is not true ('' when all hold).
 

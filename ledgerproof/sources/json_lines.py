@@ -21,6 +21,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ledgerproof.functions.rules import (
+    THREE_LETTERS,
     failed_rule_list,
     is_direction,
     is_transaction_type,
@@ -114,7 +115,7 @@ def parse_event_lines(lines: DataFrame, raw: str = "raw") -> DataFrame:
         "event_id": min_length("event_id", 8),
         "account_id": min_length("account_id", 1),
         "amount_minor": F.col("_amount_ok"),
-        "currency": F.col("currency").rlike(r"^\p{L}{3}$"),
+        "currency": F.col("currency").rlike(THREE_LETTERS),
         "direction": is_direction("direction"),
         "transaction_type": is_transaction_type("transaction_type"),
         "occurred_at": F.col("occurred_at").isNotNull(),
