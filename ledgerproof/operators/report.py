@@ -6,7 +6,7 @@ capped preview of break lines.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass, field
 from functools import reduce
 
@@ -126,10 +126,20 @@ class Report:
 
 
 def run_all(checks: Sequence[CheckResult]) -> Report:
-    """Several checks as one report, in order."""
+    """Several evaluated checks as one report, in order."""
     return Report().extend(list(checks))
 
 
+# A check is any callable ``(source_totals, target_totals) -> CheckResult``; parameters are bound with
+# ``functools.partial`` (e.g. ``partial(amount_sum_check, tolerance_minor=5)``).
+Check = Callable[[DataFrame, DataFrame], CheckResult]
+
+
+def reconcile(checks: Sequence[Check], source: DataFrame, target: DataFrame) -> Report:
+    """Run several checks on one pair of control totals, as one report."""
+    return run_all([check(source, target) for check in checks])
+
+
 def run_summary(summary: DataFrame) -> DataFrame:
     """The run verdict as one row: passed when every check passed."""
     return summary.agg(

@@ -147,3 +147,18 @@ def test_warnings_only_pass_with_warnings(spark):
     dim = spark.createDataFrame([("A",)], "account_id string")
     report = run_all([C.referential_integrity_check(fact, dim, severity="warning")])
     assert report.summary_text().startswith("reconciliation PASSED with warnings: 0 error(s), 1 warning(s)")
+
+
+def test_reconcile_runs_several_checks_on_one_pair(spark):
+    from functools import partial
+
+    from ledgerproof.operators.report import reconcile
+
+    src = totals(spark, [total("silver", "d", 10, 1_000_000)])
+    tgt = totals(spark, [total("gold", "d", 10, 1_000_500)])
+    amount = partial(C.amount_sum_check, source_layer="silver", target_layer="gold", relative_tolerance=0.001)
+    rows = partial(C.row_count_check, source_layer="silver", target_layer="gold")
+    report = reconcile([rows, amount], src, tgt)
+    assert [(r["step"], r["check"], r["passed"]) for r in report.summary.orderBy("step").collect()] == [
+        (1, "row_count", True), (2, "amount_sum", True)
+    ]
