@@ -23,6 +23,9 @@ from ledgerproof.sources.json_lines import parse_event_lines
 from ledgerproof.sources.landing import to_bronze
 
 STREAM_BATCH_ID = "autoloader"
+# Bounds each micro-batch (``availableNow`` splits a backlog into several batches with it), so the
+# persisted batch inside ``foreachBatch`` stays a bounded slice however much has landed.
+DEFAULT_MAX_FILES_PER_TRIGGER = 1000
 
 
 def _epoch_writer(bronze_dir: str, dead_letter_dir: str, batch_id: str):
@@ -64,7 +67,7 @@ def autoload_stream(
     checkpoint_dir: str,
     *,
     batch_id: str = STREAM_BATCH_ID,
-    max_files_per_trigger: int | None = None,
+    max_files_per_trigger: int | None = DEFAULT_MAX_FILES_PER_TRIGGER,
     available_now: bool = True,
 ) -> StreamingQuery:
     """Start the ingestion stream; with ``available_now`` it takes what has landed and stops."""
