@@ -43,7 +43,7 @@ def layer_totals(
     date_col: str = "business_date",
 ) -> dict[str, DataFrame]:
     deduped_totals = (
-        control_totals(bronze_deduped, "bronze", partition_col=date_col)
+        control_totals(bronze_deduped, "bronze", partition_col=date_col, key_unique=True)
         if bronze_deduped is not None
         else control_totals(bronze, "bronze", partition_col=date_col, dedupe=True)
     )
