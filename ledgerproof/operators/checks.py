@@ -171,11 +171,14 @@ def amount_sum_check(
     return CheckResult(name, source_layer, target_layer, evaluated)
 
 
-def dedup_check(subject: DataFrame, *, layer: str = "silver", name: str = "deduplication") -> CheckResult:
+def dedup_check(subject: DataFrame, *, layer: str = "silver", name: str = "deduplication",
+                validate: bool = True) -> CheckResult:
     """Rows must equal distinct ids per partition (a NULL id counts as a row but not as an id).
 
-    Both layer labels are the subject row's own layer.
+    Both layer labels are the subject row's own layer. Duplicate partition keys are an error here too.
     """
+    if validate:
+        subject = assert_valid_totals(subject)
     evaluated = subject.select(
         *_break_row(
             name,

@@ -119,7 +119,7 @@ def reconciliation_suite(
     checks += [
         row_count_check(s, g, source_layer="silver", target_layer="gold", **v),
         amount_sum_check(s, g, source_layer="silver", target_layer="gold", **tol),
-        dedup_check(s),
+        dedup_check(s, **v),
         referential_integrity_check(fact, dim, key="account_id", dimension_name="dim_account"),
     ]
     return run_all(checks)

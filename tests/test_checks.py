@@ -162,3 +162,9 @@ def test_reconcile_runs_several_checks_on_one_pair(spark):
     assert [(r["step"], r["check"], r["passed"]) for r in report.summary.orderBy("step").collect()] == [
         (1, "row_count", True), (2, "amount_sum", True)
     ]
+
+
+def test_dedup_check_rejects_duplicate_partition_keys(spark):
+    dup = totals(spark, [total("silver", "d", 2, 0, 2), total("silver", "d", 3, 0, 3)])
+    with pytest.raises(PySparkException, match="duplicate control total"):
+        C.dedup_check(dup).breaks.collect()
