@@ -154,3 +154,23 @@ DEAD_LETTER_SCHEMA = StructType(
         StructField("failed_rules", ArrayType(StringType())),
     ]
 )
+
+
+def _fields(*names: str) -> list[StructField]:
+    by_name = {f.name: f for f in BRONZE_SCHEMA.fields}
+    by_name["business_date"] = StructField("business_date", DateType())
+    return [by_name[n] for n in names]
+
+
+SILVER_SCHEMA = StructType(_fields(*SILVER_COLUMNS))
+REJECTED_SCHEMA = StructType([*BRONZE_SCHEMA.fields, StructField("rejection_reason", StringType())])
+FACT_SCHEMA = StructType(_fields(*FACT_COLUMNS))
+DIM_ACCOUNT_SCHEMA = StructType(
+    [
+        StructField("account_id", StringType()),
+        StructField("first_seen_at", TimestampNTZType()),
+        StructField("last_seen_at", TimestampNTZType()),
+        StructField("transaction_count", LongType()),
+        StructField("net_amount_minor", LongType()),
+    ]
+)

@@ -122,9 +122,16 @@ def ingest_batch(
     return int(observed.get.get("rows", 0) or 0)
 
 
-def replace_table(df: DataFrame, target: str, *, is_path: bool = False, partition_by: tuple[str, ...] = ()) -> None:
-    """Full replace. ``overwrite`` works on Parquet tables directly; no drop-then-create needed."""
+def replace_table(df: DataFrame, target: str, *, is_path: bool = False, partition_by: tuple[str, ...] = (),
+                  only_partitions_written: bool = False) -> None:
+    """Full replace. ``overwrite`` works on Parquet tables directly; no drop-then-create needed.
+
+    ``only_partitions_written`` replaces just the partitions present in ``df`` (dynamic overwrite), which
+    is how an incremental run republishes a few dates of a large table.
+    """
     writer = df.write.mode("overwrite")
+    if only_partitions_written:
+        writer = writer.option("partitionOverwriteMode", "dynamic")
     if partition_by:
         writer = writer.partitionBy(*partition_by)
     if is_path:
