@@ -129,6 +129,19 @@ def replace_table(df: DataFrame, target: str, *, is_path: bool = False, partitio
     ``only_partitions_written`` replaces just the partitions present in ``df`` (dynamic overwrite), which
     is how an incremental run republishes a few dates of a large table.
     """
+    spark = df.sparkSession
+    if only_partitions_written and not is_path and spark.catalog.tableExists(target):
+        # saveAsTable would replace the whole table; insertInto (by position) honours the session's
+        # dynamic partition overwrite, set for this statement only
+        ordered = df.select(*spark.read.table(target).columns)
+        key = "spark.sql.sources.partitionOverwriteMode"
+        previous = spark.conf.get(key)
+        spark.conf.set(key, "dynamic")
+        try:
+            ordered.write.insertInto(target, overwrite=True)
+        finally:
+            spark.conf.set(key, previous)
+        return
     writer = df.write.mode("overwrite")
     if only_partitions_written:
         writer = writer.option("partitionOverwriteMode", "dynamic")
