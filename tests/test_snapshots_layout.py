@@ -70,3 +70,13 @@ def test_zorder_keeps_rows_and_narrows_ranges(spark):
     assert mean_span(clustered, "user_id") < 0.6 * mean_span(scattered, "user_id")
     assert mean_span(clustered, "value") < 0.6 * mean_span(scattered, "value")
     assert sum(r["rows"] for r in partition_sizes(clustered).collect()) == events.count()
+
+
+def test_range_layout_splits_a_hot_value(spark):
+    from pyspark.sql import functions as F
+
+    hot = spark.range(30_000).select(F.when(F.col("id") % 3 == 0, F.lit(7)).otherwise(F.col("id")).alias("k"),
+                                     F.col("id").alias("v"))
+    sizes = [r["rows"] for r in partition_sizes(zordered(hot, ["k"], 8)).collect()]
+    assert sum(sizes) == 30_000
+    assert max(sizes) < 10_000  # the 10,000 rows with k = 7 do not share one partition
