@@ -27,7 +27,7 @@ from ledgerproof.schemas import (
     REJECTED_SCHEMA,
     SILVER_SCHEMA,
 )
-from ledgerproof.session import materialize
+from ledgerproof.session import materialize_at, remove_path
 from ledgerproof.sources.landing import Tables, replace_table
 
 
@@ -81,11 +81,12 @@ def build_medallion(spark: SparkSession, tables: Tables, *, inject_break: bool =
     }
     incremental = {"only_partitions_written": bool(dates), "is_path": is_path}
     bronze = _for_dates(_read(spark, target["bronze"], is_path, "bronze"), "event_date", dates)
-    classified = materialize(classify(dedup_bronze(bronze)), "classified")
+    classified, scratch = materialize_at(classify(dedup_bronze(bronze)), "classified")
     replace_table(rebalanced(silver_of(classified), "business_date"), target["silver"],
                   partition_by=("business_date",), **incremental)
     replace_table(rebalanced(rejected_of(classified), "event_date"), target["rejected"],
                   partition_by=("event_date",), **incremental)
+    remove_path(spark, scratch)  # silver and quarantine are written; the intermediate table is done
     silver = _read(spark, target["silver"], is_path, "silver")
     fact = build_gold(_for_dates(silver, "business_date", dates), inject_break=inject_break)["fct_transaction"]
     replace_table(rebalanced(fact, "business_date"), target["fact"], partition_by=("business_date",), **incremental)

@@ -65,9 +65,21 @@ def materialize(df: DataFrame, label: str) -> DataFrame:
     columnar storage, and later reads get column pruning, filter pushdown and the vectorised reader.
     The folder survives executor loss; the caller owns its lifetime.
     """
+    return materialize_at(df, label)[0]
+
+
+def materialize_at(df: DataFrame, label: str) -> tuple[DataFrame, str]:
+    """``materialize`` that also returns the folder, for callers that delete it when done."""
     path = scratch_path(df.sparkSession, f"{label}-{uuid.uuid4().hex}")
     df.write.mode("error").parquet(path)
-    return df.sparkSession.read.parquet(path)
+    return df.sparkSession.read.parquet(path), path
+
+
+def remove_path(spark: SparkSession, path: str) -> None:
+    """Delete a scratch folder through the Hadoop file system of its URI (works on any cluster store)."""
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
 
 
 def sizing_conf(input_bytes: int, total_cores: int, *, partition_bytes: int = 256 * 1024 * 1024) -> dict[str, str]:
