@@ -6,8 +6,10 @@ a filter of it, ``summary`` a one-row aggregate of it, so nothing is collected t
 
 Aligning two sides is a ``full_outer`` join on ``partition_key``: both sides hold one row per key
 (asserted), the frames are tiny, and AQE picks a broadcast from their measured size at run time.
-Referential integrity is an anti join of the *distinct* fact keys against the dimension keys with a
-null-safe equality, so it needs no key set on the driver at any size.
+Referential integrity joins the *distinct* fact keys to the distinct dimension keys on plain equality
+(the join reuses both aggregates' hash partitioning); the NULL key is settled by an uncorrelated
+``EXISTS`` over the dimension, which gives NULL-matches-NULL set semantics without re-shuffling both
+sides on ``(coalesce(k), isnull(k))``. No key set is ever held on the driver.
 """
 
 from __future__ import annotations
@@ -247,10 +249,13 @@ def referential_integrity_check(
 
 
 def orphan_keys(fact: DataFrame, dimension: DataFrame, *, key: str, dimension_key: str | None = None) -> DataFrame:
-    """Distinct fact keys with no dimension row, as a null-safe anti join."""
+    """Distinct fact keys with no dimension row (NULL matches NULL), as a distributed anti join."""
+    dim_key = F.col(dimension_key or key)
     fk = fact.select(F.col(key).alias("key")).distinct()
-    dk = dimension.select(F.col(dimension_key or key).alias("_dk"))
-    return fk.join(dk, fk["key"].eqNullSafe(dk["_dk"]), "left_anti")
+    dk = dimension.select(dim_key.alias("_dk")).filter(F.col("_dk").isNotNull())
+    keyed = fk.filter(F.col("key").isNotNull()).join(dk, F.col("key") == F.col("_dk"), "left_anti")
+    null_orphan = fk.filter(F.col("key").isNull() & ~dimension.filter(dim_key.isNull()).exists())
+    return keyed.unionByName(null_orphan)
 
 
 def conservation_check(

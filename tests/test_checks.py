@@ -168,3 +168,11 @@ def test_dedup_check_rejects_duplicate_partition_keys(spark):
     dup = totals(spark, [total("silver", "d", 2, 0, 2), total("silver", "d", 3, 0, 3)])
     with pytest.raises(PySparkException, match="duplicate control total"):
         C.dedup_check(dup).breaks.collect()
+
+
+def test_orphan_keys_null_safe(spark):
+    fact = spark.createDataFrame([("A",), ("B",), (None,)], "k string")
+    assert sorted(r["key"] or "-" for r in C.orphan_keys(fact, spark.createDataFrame([("A",)], "k string"), key="k")
+                  .collect()) == ["-", "B"]
+    with_null = spark.createDataFrame([("A",), (None,)], "k string")
+    assert [r["key"] for r in C.orphan_keys(fact, with_null, key="k").collect()] == ["B"]
