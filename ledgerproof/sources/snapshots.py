@@ -26,6 +26,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StringType, StructField, StructType, TimestampNTZType
 
 from ledgerproof.operators.layout import compacted, zordered
+from ledgerproof.session import path_exists, remove_path
 
 HISTORY = StructType(
     [
@@ -68,10 +69,9 @@ class SnapshotTable:
     # ------------------------------------------------------------------ history
 
     def _history_frame(self) -> DataFrame:
-        try:
-            return self.spark.read.schema(HISTORY).parquet(self.history_root)
-        except Exception:  # noqa: BLE001 - no commit yet: an empty history
+        if not path_exists(self.spark, self.history_root):  # no commit yet: an empty history
             return self.spark.createDataFrame([], HISTORY)
+        return self.spark.read.schema(HISTORY).parquet(self.history_root)
 
     def history(self, limit: int | None = None) -> DataFrame:
         """Newest first; ``limit`` 0 or None means all."""
@@ -191,9 +191,6 @@ class SnapshotTable:
             {r["data_version"] for r in self.versions_to_vacuum(retain_hours, now=now).filter("files_removable")
              .select("data_version").collect()}
         )
-        jvm = self.spark.sparkContext._jvm
-        conf = self.spark.sparkContext._jsc.hadoopConfiguration()
         for dv in removable:
-            path = jvm.org.apache.hadoop.fs.Path(self._data_path(dv))
-            path.getFileSystem(conf).delete(path, True)
+            remove_path(self.spark, self._data_path(dv))
         return removable
