@@ -157,7 +157,10 @@ class SnapshotTable:
             if version is None:
                 raise ValueError(f"{self.root} has no versions")
         e = self._entry(self.resolve(version=version, as_of=as_of))
-        df = self.spark.read.parquet(self._data_path(e["data_version"]))
+        path = self._data_path(e["data_version"])
+        if not path_exists(self.spark, path):
+            raise ValueError(f"version {e['version']} can no longer be read: its data was vacuumed")
+        df = self.spark.read.parquet(path)
         for spec in filter(None, (e["added_columns"] or "").split(", ")):
             name, sql_type = spec.split(" ", 1)
             if name not in df.columns:

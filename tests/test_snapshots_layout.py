@@ -47,6 +47,8 @@ def test_vacuum_never_drops_current_data(spark, tmp_path):
     assert plan == {0: False, 1: True}
     assert t.vacuum(0, now="2024-02-01 00:00:00") == [1]
     assert t.read().count() == 10
+    with pytest.raises(ValueError, match="vacuumed"):
+        t.read(version=1)
 
 
 def test_compaction_keeps_the_multiset(spark, tmp_path):
