@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerproof.operators.dedup import dedup_bronze
-from ledgerproof.operators.layout import rebalanced
+from ledgerproof.operators.layout import compacted, rebalanced, zordered
 from ledgerproof.operators.medallion import build_gold, classify, rejected_of, silver_of
 from ledgerproof.operators.report import Report
 from ledgerproof.plans.suite import reconciliation_suite
@@ -138,3 +138,18 @@ def publish_account_summary(dim: DataFrame, path: str, *, fmt: str = "parquet")
     summary.repartitionByRange("account_id").sortWithinPartitions("account_id").write.mode("overwrite").format(
         fmt
     ).save(path)
+
+
+def compact_table(spark: SparkSession, table: str, *, zorder_by: Sequence[str] | None = None,
+                  target_partitions: int | None = None, partition_by: tuple[str, ...] = ()) -> int:
+    """Maintenance for a plain (unversioned) table: rewrite it as fewer, larger files, optionally
+    Z-ordered. The rows are staged once in the shared checkpoint folder (a table cannot be overwritten
+    while it is being read), then written back; returns the row count (unchanged by construction)."""
+    staged, scratch = materialize_at(spark.read.table(table), "compact")
+    laid_out = zordered(staged, list(zorder_by), target_partitions) if zorder_by else compacted(
+        staged, target_partitions
+    )
+    replace_table(laid_out.select(*spark.read.table(table).columns), table, partition_by=partition_by)
+    rows = spark.read.table(table).count()
+    remove_path(spark, scratch)
+    return rows

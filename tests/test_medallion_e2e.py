@@ -11,7 +11,7 @@ from ledgerproof.operators.control_totals import control_totals
 from ledgerproof.operators.medallion import build_silver, classify, status_counts
 from ledgerproof.operators.dedup import dedup_bronze
 from ledgerproof.operators.report import ReconciliationFailure
-from ledgerproof.plans.jobs import build_medallion, publish_account_summary, run_control
+from ledgerproof.plans.jobs import build_medallion, compact_table, publish_account_summary, run_control
 from ledgerproof.schemas import BRONZE_COLUMNS
 from ledgerproof.sources.fixture import bronze_fixture, event_records
 from ledgerproof.sources.landing import Tables, bootstrap, ingest_batch, land_batch, read_bronze
@@ -173,3 +173,7 @@ def test_catalog_tables_end_to_end_with_incremental_rebuild(spark, events, tmp_p
     build_medallion(spark, tables, dates=["2024-01-05"])
     assert spark.read.table(tables.silver_transactions).count() == before
     run_control(spark, tables, dates=["2024-01-05"])
+    fact_before = sorted(map(repr, spark.read.table(tables.gold_fact).collect()))
+    assert compact_table(spark, tables.gold_fact, zorder_by=["account_id", "occurred_at"], target_partitions=2,
+                         partition_by=("business_date",)) == len(fact_before)
+    assert sorted(map(repr, spark.read.table(tables.gold_fact).collect())) == fact_before
