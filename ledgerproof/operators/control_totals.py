@@ -37,6 +37,7 @@ def control_totals(
     key_column: str = "event_id",
     dedupe: bool = False,
     key_unique: bool = False,
+    with_distinct: bool = True,
     ordered: bool = False,
 ) -> DataFrame:
     """``layer, partition_key, row_count, amount_minor_sum, distinct_event_ids`` for any table.
@@ -44,13 +45,19 @@ def control_totals(
     ``key_unique`` declares that each non-NULL key occurs once in ``df`` (true by construction right
     after a dedup in the same plan); the distinct count is then a plain non-NULL count, which saves the
     shuffle of every (partition, key) pair. Never set it for a stored layer whose uniqueness is what a
-    check is meant to prove.
+    check is meant to prove. ``with_distinct=False`` leaves ``distinct_event_ids`` NULL for layers whose
+    distinct count no check reads (it would cost that same shuffle for nothing).
     """
     frame = with_business_date(df, partition_col)
     if dedupe:
         frame = dedup_bronze(frame, key_column=key_column)
         key_unique = True
-    distinct = F.count(F.col(key_column)) if key_unique else F.count_distinct(F.col(key_column))
+    if not with_distinct:
+        distinct = F.lit(None).cast("bigint")
+    elif key_unique:
+        distinct = F.count(F.col(key_column))
+    else:
+        distinct = F.count_distinct(F.col(key_column))
     totals = frame.groupBy(partition_key(partition_col).alias("partition_key")).agg(
         F.count(F.lit(1)).alias("row_count"),
         F.coalesce(F.sum(F.col(amount_column).cast("bigint")), F.lit(0).cast("bigint")).alias("amount_minor_sum"),
