@@ -75,3 +75,34 @@ def test_landing_zone_aware_timestamps_become_utc_wall_clock(spark):
         spark.conf.set("spark.sql.session.timeZone", before)
     assert row["occurred_at"] == datetime(2026, 9, 2, 3, 30)
     assert str(row["event_date"]) == "2026-09-02"
+
+
+delivery = st.tuples(
+    st.sampled_from(["E1", "E2", "E3", None]),      # event id (NULL ids must never merge)
+    st.integers(0, 3),                               # ingested minute (ties are common)
+    st.sampled_from(["b1", "b2", "b3"]),             # batch
+    st.integers(0, 5),                               # source sequence
+)
+
+
+def _model_first_arrival(rows):
+    kept, best = [], {}
+    for r in rows:
+        if r[0] is None:
+            kept.append(r)
+        elif r[0] not in best or r[1:] < best[r[0]][1:]:
+            best[r[0]] = r
+    return sorted(kept + list(best.values()), key=repr)
+
+
+@settings(max_examples=12, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(rows=st.lists(delivery, max_size=12, unique=True))
+def test_first_arrival_matches_model(spark, rows):
+    from ledgerproof.operators.dedup import dedup_bronze
+
+    df = spark.createDataFrame(
+        [(k, datetime(2026, 9, 1, 10, m), b, s) for k, m, b, s in rows],
+        "event_id string, ingested_at timestamp_ntz, batch_id string, _src bigint",
+    )
+    got = sorted(((r[0], r[1].minute, r[2], r[3]) for r in dedup_bronze(df).collect()), key=repr)
+    assert got == _model_first_arrival(rows)
