@@ -932,3 +932,48 @@ ORACLE["reconcile_with_source_summary"] = _with(FAULTY, CLEAN, T_BRONZE, T_SILVE
     ]
     + [O.summary_sql(sql, i + 3, *rest) for i, (sql, *rest) in enumerate(_suite_evaluated("gt", "dim"))]
 )
+
+
+# ---------------------------------------------------------------- the build and control jobs on written tables
+
+_BUILDS: dict[tuple[str, str], dict[str, str]] = {}
+REBUILD_DATES = ("2024-01-03", "2024-01-17")
+
+
+def built_layers(spark: SparkSession, sf_dir: str) -> dict[str, str]:
+    """Land the faulty fixture as a date-partitioned bronze table, run the full build, then an
+    incremental rebuild of two dates (which must leave every layer unchanged). Once per session."""
+    from ledgerproof.plans.jobs import build_medallion
+    from ledgerproof.sources.landing import Tables
+
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if key not in _BUILDS:
+        root = _fresh_dir(spark, "build")
+        paths = {k: f"{root}/{k}" for k in ("bronze", "silver", "rejected", "fact", "dim")}
+        bronze_fixture(table(spark, sf_dir, "events"), faulty=True, keep_src=False).write.partitionBy(
+            "event_date"
+        ).parquet(paths["bronze"])
+        build_medallion(spark, Tables(), is_path=True, paths=paths)
+        build_medallion(spark, Tables(), is_path=True, paths=paths, dates=list(REBUILD_DATES))
+        _BUILDS[key] = paths
+    return _BUILDS[key]
+
+
+def q_build_job_silver(spark, sf_dir):
+    from ledgerproof.schemas import SILVER_SCHEMA
+
+    return spark.read.schema(SILVER_SCHEMA).parquet(built_layers(spark, sf_dir)["silver"])
+
+
+def q_build_job_control_summary(spark, sf_dir):
+    from ledgerproof.plans.jobs import run_control
+    from ledgerproof.sources.landing import Tables
+
+    paths = built_layers(spark, sf_dir)
+    return run_control(spark, Tables(), is_path=True, paths=paths, mode="conservation").summary
+
+
+QUERIES["build_job_silver"] = q_build_job_silver
+QUERIES["build_job_control_summary"] = q_build_job_control_summary
+ORACLE["build_job_silver"] = ORACLE["silver_valid"]
+ORACLE["build_job_control_summary"] = ORACLE["reconcile_conservation_summary"]
