@@ -176,3 +176,17 @@ def test_orphan_keys_null_safe(spark):
                   .collect()) == ["-", "B"]
     with_null = spark.createDataFrame([("A",), (None,)], "k string")
     assert [r["key"] for r in C.orphan_keys(fact, with_null, key="k").collect()] == ["B"]
+
+
+def test_report_write_and_run_verdict(spark, tmp_path):
+    from ledgerproof.operators.report import run_summary
+
+    src = totals(spark, [total("bronze", "d", 10, 1), total("bronze", "e", 5, 1)])
+    tgt = totals(spark, [total("silver", "d", 9, 1), total("silver", "e", 5, 1)])
+    report = run_all([C.row_count_check(src, tgt), C.amount_sum_check(src, tgt)])
+    report.write(str(tmp_path / "report"))
+    written = spark.read.json(str(tmp_path / "report" / "breaks")).collect()
+    assert [(r["check"], r["partition_key"], r["delta"]) for r in written] == [("row_count", "d", -1)]
+    verdict = run_summary(report.summary).first()
+    assert (verdict["passed"], verdict["checks"], verdict["breaks"]) == (False, 2, 1)
+    assert report.materialize().summary_text() == report.summary_text()

@@ -119,3 +119,23 @@ def test_replayed_epoch_replaces_its_own_output(spark, tmp_path):
     assert read_dead_letter(spark, dead).count() == 1
     write(batch, 8)
     assert read_stream_bronze(spark, bronze).count() == 2
+
+
+def test_typed_json_read_with_declared_schema(spark, tmp_path):
+    from ledgerproof.sources.json_lines import read_events_json
+
+    path = str(tmp_path / "events")
+    spark.createDataFrame([(json.dumps(GOOD),), (json.dumps({**GOOD, "amount_minor": "x"}),)], "v string") \
+        .coalesce(1).write.text(path)
+    rows = read_events_json(spark, path).collect()
+    assert len(rows) == 2 and sorted(str(r["amount_minor"]) for r in rows) == ["100", "None"]
+
+
+def test_sizing_conf_scales_with_input():
+    from ledgerproof.session import sizing_conf
+
+    small = sizing_conf(10 * 1024**2, 8)
+    big = sizing_conf(100 * 1024**4, 8000)
+    assert small["spark.sql.shuffle.partitions"] == "16"
+    assert int(big["spark.sql.shuffle.partitions"]) == 409600
+    assert big["spark.sql.adaptive.skewJoin.enabled"] == "true"
