@@ -113,6 +113,30 @@ def align(source: DataFrame, target: DataFrame, *, validate: bool = True) -> Dat
     return side(source, "s_").join(side(target, "t_"), "partition_key", "full_outer")
 
 
+def align_slices(wide: DataFrame, source: str | list[str], target: str | list[str]) -> DataFrame:
+    """The aligned frame of ``align`` built from one wide ``sliced_totals_wide`` row per partition.
+
+    A side may name several slices, which are added (e.g. silver + rejected); a side is present on a
+    date when it has rows there, as a per-layer total would be.
+    """
+
+    def side(names: str | list[str], p: str) -> list[Column]:
+        names = [names] if isinstance(names, str) else names
+        rows = sum((F.col(f"{n}__rows") for n in names[1:]), F.col(f"{names[0]}__rows"))
+        amount = sum((F.col(f"{n}__amount") for n in names[1:]), F.col(f"{names[0]}__amount"))
+        distinct = sum((F.col(f"{n}__distinct") for n in names[1:]), F.col(f"{names[0]}__distinct"))
+        present = rows > 0
+        return [
+            F.when(present, F.lit(True)).alias(f"{p}present"),
+            F.when(present, rows).alias(f"{p}rows"),
+            F.when(present, amount).alias(f"{p}amount"),
+            F.when(present, distinct).alias(f"{p}distinct"),
+        ]
+
+    aligned = wide.select("partition_key", *side(source, "s_"), *side(target, "t_"))
+    return aligned.filter(F.col("s_present").isNotNull() | F.col("t_present").isNotNull())
+
+
 def row_count_check(
     source: DataFrame,
     target: DataFrame,
@@ -123,9 +147,13 @@ def row_count_check(
     expect_distinct_target: bool = False,
     name: str = "row_count",
     validate: bool = True,
+    aligned: DataFrame | None = None,
 ) -> CheckResult:
-    """Rows (or distinct ids, per side) must match per partition; a missing side counts as zero."""
-    aligned = align(source, target, validate=validate)
+    """Rows (or distinct ids, per side) must match per partition; a missing side counts as zero.
+
+    ``aligned`` (from ``align_slices``) replaces ``source``/``target`` when both are slices of one frame.
+    """
+    aligned = align(source, target, validate=validate) if aligned is None else aligned
     expected = F.coalesce(F.col("s_distinct" if expect_distinct_source else "s_rows"), F.lit(0))
     actual = F.coalesce(F.col("t_distinct" if expect_distinct_target else "t_rows"), F.lit(0))
     note = (
@@ -156,10 +184,11 @@ def amount_sum_check(
     relative_tolerance: float = 0.0,
     name: str = "amount_sum",
     validate: bool = True,
+    aligned: DataFrame | None = None,
 ) -> CheckResult:
     """Break when ``|actual - expected|`` exceeds the allowance, which scales on *expected* only."""
     validate_tolerances(tolerance_minor, relative_tolerance)
-    aligned = align(source, target, validate=validate).select(
+    aligned = (align(source, target, validate=validate) if aligned is None else aligned).select(
         "partition_key",
         F.coalesce(F.col("s_amount"), F.lit(0).cast("bigint")).alias("_expected"),
         F.coalesce(F.col("t_amount"), F.lit(0).cast("bigint")).alias("_actual"),
@@ -266,17 +295,22 @@ def conservation_check(
     measure: str = "rows",
     name: str | None = None,
     validate: bool = True,
+    aligned: DataFrame | None = None,
 ) -> CheckResult:
-    """Deduplicated bronze must equal silver plus quarantine, per partition (rows or amounts)."""
+    """Deduplicated bronze must equal silver plus quarantine, per partition (rows or amounts).
+
+    ``aligned`` (``align_slices(wide, "bronze", ["silver", "rejected"])``) replaces the three frames.
+    """
     if measure not in ("rows", "amount"):
         raise ValueError("measure must be 'rows' or 'amount'")
     check = name or ("conservation" if measure == "rows" else "conservation_amount")
-    landed = silver.unionByName(rejected.select(*silver.columns)).groupBy("partition_key").agg(
-        F.sum("row_count").alias("row_count"),
-        F.sum("amount_minor_sum").alias("amount_minor_sum"),
-        F.sum("distinct_event_ids").alias("distinct_event_ids"),
-    ).withColumn("layer", F.lit("silver+rejected"))
-    aligned = align(bronze_deduped, landed, validate=validate)
+    if aligned is None:
+        landed = silver.unionByName(rejected.select(*silver.columns)).groupBy("partition_key").agg(
+            F.sum("row_count").alias("row_count"),
+            F.sum("amount_minor_sum").alias("amount_minor_sum"),
+            F.sum("distinct_event_ids").alias("distinct_event_ids"),
+        ).withColumn("layer", F.lit("silver+rejected"))
+        aligned = align(bronze_deduped, landed, validate=validate)
     column = "rows" if measure == "rows" else "amount"
     expected = F.coalesce(F.col(f"s_{column}"), F.lit(0))
     actual = F.coalesce(F.col(f"t_{column}"), F.lit(0))

@@ -16,6 +16,9 @@ from ledgerproof.functions.money import amount_major, minor_units
 from ledgerproof.operators import checks as C
 from ledgerproof.operators.control_totals import (
     control_totals,
+    slice_totals,
+    sliced_totals_wide,
+    stacked_slice_totals,
     duplicate_keys,
     invariant_violations,
     manifest_totals,
@@ -78,17 +81,28 @@ class Medallion:
         self.dim_fault = dim_account(self.silver_fault)
 
     def totals(self, layer: str) -> DataFrame:
-        frames = {
-            "bronze": (self.deduped, "bronze"),
-            "bronze_raw": (self.bronze, "bronze"),
-            "silver": (self.silver, "silver"),
-            "gold": (self.fact, "gold"),
-            "gold_fault": (self.fact_fault, "gold"),
-            "rejected": (self.rejected, "rejected"),
-        }
-        df, label = frames[layer]
-        # the deduplicated bronze is unique on event_id by construction (same plan)
-        return control_totals(df, label, key_unique=(layer == "bronze"))
+        """Control totals of one layer. Deduplicated bronze, silver, quarantine and gold are row filters
+        of the classified frame, so they all come from one aggregation (``sliced_totals_wide``)."""
+        if layer == "bronze_raw":
+            return control_totals(self.bronze, "bronze")
+        return slice_totals(self.wide, layer, {"gold_fault": "gold"}.get(layer, layer))
+
+    @property
+    def wide(self) -> DataFrame:
+        """Per date: rows / amount / distinct ids of every layer side by side, from one pass."""
+        valid = F.col("rejection_reason").isNull()
+        return sliced_totals_wide(
+            self.classified,
+            {
+                "bronze": None,
+                "silver": valid,
+                "gold": valid,
+                "gold_fault": valid & (F.col("transaction_type") != F.lit("fx_conversion")),
+                "rejected": ~valid,
+            },
+            # deduplicated rows are unique on event_id by construction (same plan)
+            unique_key=True,
+        )
 
 
 def _m(spark: SparkSession, sf_dir: str, faulty: bool = True, materialize: bool = False) -> Medallion:
@@ -190,11 +204,8 @@ def q_source_manifest_totals(spark, sf_dir):
 
 
 def _all_layer_totals(m: Medallion) -> DataFrame:
-    frames = [m.totals(n) for n in ("bronze", "silver", "gold", "rejected")]
-    out = frames[0]
-    for f in frames[1:]:
-        out = out.unionByName(f)
-    return out
+    """The four layers' totals stacked from one wide aggregation (one dedup, one branch)."""
+    return stacked_slice_totals(m.wide, {n: n for n in ("bronze", "silver", "gold", "rejected")})
 
 
 def q_totals_invariants(spark, sf_dir):
@@ -250,12 +261,13 @@ def q_check_orders_vs_lineitem(spark, sf_dir):
 
 def q_check_row_count_bronze_silver(spark, sf_dir):
     m = _m(spark, sf_dir)
-    return C.row_count_check(m.totals("bronze"), m.totals("silver")).breaks
+    return C.row_count_check(None, None, aligned=C.align_slices(m.wide, "bronze", "silver")).breaks
 
 
 def q_check_row_count_silver_gold(spark, sf_dir):
     m = _m(spark, sf_dir)
-    return C.row_count_check(m.totals("silver"), m.totals("gold_fault"), source_layer="silver", target_layer="gold").breaks
+    aligned = C.align_slices(m.wide, "silver", "gold_fault")
+    return C.row_count_check(None, None, source_layer="silver", target_layer="gold", aligned=aligned).breaks
 
 
 def q_check_row_count_distinct_modes(spark, sf_dir):
@@ -268,7 +280,7 @@ def q_check_row_count_distinct_modes(spark, sf_dir):
 
 def _amount(spark, sf_dir, **tol):
     m = _m(spark, sf_dir)
-    return C.amount_sum_check(m.totals("bronze"), m.totals("silver"), **tol).breaks
+    return C.amount_sum_check(None, None, aligned=C.align_slices(m.wide, "bronze", "silver"), **tol).breaks
 
 
 def q_check_amount_exact(spark, sf_dir):
@@ -324,12 +336,14 @@ def q_check_ref_integrity_null_key(spark, sf_dir):
 
 def q_check_conservation(spark, sf_dir):
     m = _m(spark, sf_dir)
-    return C.conservation_check(m.totals("bronze"), m.totals("silver"), m.totals("rejected")).breaks
+    aligned = C.align_slices(m.wide, "bronze", ["silver", "rejected"])
+    return C.conservation_check(None, None, None, aligned=aligned).breaks
 
 
 def q_check_conservation_amount(spark, sf_dir):
     m = _m(spark, sf_dir)
-    return C.conservation_check(m.totals("bronze"), m.totals("silver"), m.totals("rejected"), measure="amount").breaks
+    aligned = C.align_slices(m.wide, "bronze", ["silver", "rejected"])
+    return C.conservation_check(None, None, None, measure="amount", aligned=aligned).breaks
 
 
 # ---------------------------------------------------------------- suites
@@ -371,8 +385,8 @@ def q_break_descriptions(spark, sf_dir):
 def q_reconcile_checks(spark, sf_dir):
     """Several checks on one pair of totals as one report (row count and amount, bronze -> silver)."""
     m = _m(spark, sf_dir)
-    b, s = m.totals("bronze"), m.totals("silver")
-    return run_all([C.row_count_check(b, s), C.amount_sum_check(b, s)]).summary
+    aligned = C.align_slices(m.wide, "bronze", "silver")
+    return run_all([C.row_count_check(None, None, aligned=aligned), C.amount_sum_check(None, None, aligned=aligned)]).summary
 
 
 QUERIES: dict[str, Query] = {
