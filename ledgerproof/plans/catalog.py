@@ -38,7 +38,7 @@ from ledgerproof.operators.medallion import (
 )
 from ledgerproof.operators.report import run_all
 from ledgerproof.plans import oracle as O
-from ledgerproof.plans.suite import reconciliation_suite
+from ledgerproof.plans.suite import reconciliation_suite, sliced_reconciliation_suite
 from ledgerproof.schemas import BRONZE_COLUMNS
 from ledgerproof.session import materialize as cut_lineage
 from ledgerproof.sources.fixture import bronze_fixture, event_records
@@ -350,11 +350,11 @@ def q_check_conservation_amount(spark, sf_dir):
 
 
 def _suite(spark, sf_dir, *, fault: bool = False, mode: str = "parity"):
+    """The six checks over layers that are slices of one (written-once) classified frame."""
     m = _m(spark, sf_dir, materialize=True)
     silver = m.silver_fault if fault else m.silver
-    return reconciliation_suite(
-        m.bronze, m.silver, fact_transactions(silver), dim_account(silver), rejected=m.rejected, mode=mode,
-        bronze_deduped=m.deduped, materialize=True,
+    return sliced_reconciliation_suite(
+        m.wide, fact_transactions(silver), dim_account(silver), gold_slice="gold_fault" if fault else "gold", mode=mode
     )
 
 

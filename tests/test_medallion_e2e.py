@@ -177,3 +177,15 @@ def test_catalog_tables_end_to_end_with_incremental_rebuild(spark, events, tmp_p
     assert compact_table(spark, tables.gold_fact, zorder_by=["account_id", "occurred_at"], target_partitions=2,
                          partition_by=("business_date",)) == len(fact_before)
     assert sorted(map(repr, spark.read.table(tables.gold_fact).collect())) == fact_before
+
+
+@pytest.mark.parametrize("mode", ["parity", "conservation"])
+def test_sliced_suite_equals_general_suite(spark, mode):
+    from ledgerproof.plans.catalog import Medallion
+    from ledgerproof.plans.suite import reconciliation_suite, sliced_reconciliation_suite
+
+    m = Medallion(spark, SF_SMALL)
+    general = reconciliation_suite(m.bronze, m.silver, m.fact, m.dim, rejected=m.rejected, mode=mode)
+    sliced = sliced_reconciliation_suite(m.wide, m.fact, m.dim, mode=mode)
+    assert sorted(map(repr, general.summary.collect())) == sorted(map(repr, sliced.summary.collect()))
+    assert sorted(map(repr, general.breaks.collect())) == sorted(map(repr, sliced.breaks.collect()))
