@@ -6,15 +6,17 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import mixing, packing, simhash
+from . import langid, mixing, packing, simhash
 from .common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_simhash_components": lambda s, d: simhash.digest(table(s, d, "documents")),
     "op7_pack_sum_of_squares": lambda s, d: packing.digest(table(s, d, "documents")),
+    "op8_language_id": lambda s, d: langid.digest(table(s, d, "documents")),
     "op10_mix_sources": lambda s, d: mixing.mix_sizes(table(s, d, "documents")),
 }
 
 ORACLE: dict[str, str] = {
+    "op8_language_id": lambda s, d: langid.digest(table(s, d, "documents")),
     "op10_mix_sources": mixing.ORACLE,
 }
