@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import os
 from collections.abc import Callable, Iterator
+from pathlib import Path
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -24,13 +26,19 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def bounded_batches(spark: SparkSession) -> None:
-    """Lower the Arrow batch limits of the session to what long texts need; a user's own lower limit stays."""
+    """Ready the session for Python workers: Arrow batch limits that suit long texts (a user's own lower limit
+    stays) and, in a local session, this package on the workers' path."""
     for key, most in (("spark.sql.execution.arrow.maxRecordsPerBatch", BATCH_ROWS),
                       ("spark.sql.execution.arrow.maxBytesPerBatch", BATCH_BYTES)):
         now = spark.conf.get(key, None)
         now = int(now.rstrip("b")) if now and now.rstrip("b").isdigit() else None
         if now is None or now <= 0 or now > most:
             spark.conf.set(key, str(most))
+    context = spark.sparkContext
+    if context.master.startswith("local"):  # on a cluster the package is installed or shipped with --py-files
+        root, now = str(Path(__file__).resolve().parents[2]), context.environment.get("PYTHONPATH", "")
+        if root not in now.split(os.pathsep):
+            context.environment["PYTHONPATH"] = os.pathsep.join(filter(None, [now, root]))
 
 
 def map_batches(df: DataFrame, fn: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]],

@@ -6,11 +6,13 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import langid, mixing, packing, simhash
+from . import langid, mixing, packing, pii, quality, simhash
 from .common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op2_quality_cascade": lambda s, d: quality.digest(table(s, d, "documents")),
     "op3_simhash_components": lambda s, d: simhash.digest(table(s, d, "documents")),
+    "op5_pii_disclosure": lambda s, d: pii.digest(table(s, d, "documents")),
     "op7_pack_sum_of_squares": lambda s, d: packing.digest(table(s, d, "documents")),
     "op8_language_id": lambda s, d: langid.digest(table(s, d, "documents")),
     "op10_mix_sources": lambda s, d: mixing.mix_sizes(table(s, d, "documents")),
@@ -18,5 +20,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 
 ORACLE: dict[str, str] = {
     "op8_language_id": lambda s, d: langid.digest(table(s, d, "documents")),
+    "op2_quality_cascade": quality.ORACLE,
     "op10_mix_sources": mixing.ORACLE,
 }
