@@ -237,25 +237,30 @@ def nearest_classes(of: DataFrame, *, best: int = BEST, tables: int = TABLES, pr
             yield pa.RecordBatch.from_arrays([pa.array([float(np.sqrt((v**2).sum())) for v in vs], pa.float64()),
                                               pa.array([len(v) for v in vs], pa.int32())], names=["norm", "d"])
 
-    n, largest, d = map_batches(of.select("v"), norms, "norm double, d int").agg(
+    n, largest, widest = map_batches(of.select("v"), norms, "norm double, d int").agg(
         F.count("*"), F.max("norm"), F.max("d")).first()
     projections = projections or projections_for(n)
     rows, queries = filed(of, largest or 1.0, tables=tables, projections=projections,
                           probes=probes or probes_for(projections))
     rows, queries = written(rows, "ann-index"), written(queries, "ann-probes")
-    room = max(256, GROUP_FLOATS // (d or 1))
+    room = max(256, GROUP_FLOATS // (widest or 1))
     parts = max(1, math.ceil(n / room))
-    large = rows.groupBy("bucket").agg(F.count("*").alias("n")).where(F.col("n") > room).select(
-        F.col("bucket").alias("_b"), F.ceil(F.col("n") / room).cast("int").alias("cuts"))
-    # small buckets of one table share a group, so a class is at most once in a group
-    shared = F.pmod(F.col("bucket"), F.lit(256)) * parts + F.pmod(F.xxhash64(F.lit(5), "bucket"), F.lit(parts))
-    own = F.xxhash64("bucket", F.lit(6))
-    rows = rows.join(large, F.col("bucket") == F.col("_b"), "left").withColumn("g", F.when(
-        F.col("cuts").isNull(), shared).otherwise(own + F.pmod(F.xxhash64("class"), F.col("cuts"))))
-    asked = queries.select("class", F.explode("buckets").alias("bucket")).join(
-        large, F.col("bucket") == F.col("_b"), "left").withColumn("g", F.explode(F.when(
+    d = F.octet_length("v").alias("d")
+    rows = rows.select("*", d)
+    large = rows.groupBy("bucket", "d").agg(F.count("*").alias("n")).where(F.col("n") > room).select(
+        "bucket", "d", F.ceil(F.col("n") / room).cast("int").alias("cuts"))
+    # small buckets of one table and dimension share a group, so a class is at most once in a group
+    shared = F.xxhash64("d", F.pmod(F.col("bucket"), F.lit(256)), F.pmod(F.xxhash64("bucket"), F.lit(parts)))
+    def own(cut):
+        return F.xxhash64("bucket", "d", cut)
+
+    rows = rows.join(large, ["bucket", "d"], "left").withColumn("g", F.when(
+        F.col("cuts").isNull(), shared).otherwise(
+            own(F.pmod(F.xxhash64("class"), F.col("cuts")).cast("int"))))
+    asked = queries.select("class", d, F.explode("buckets").alias("bucket")).join(
+        large, ["bucket", "d"], "left").withColumn("g", F.explode(F.when(
             F.col("cuts").isNull(), F.array(shared)).otherwise(F.transform(
-                F.sequence(F.lit(0), F.col("cuts") - 1), lambda i: own + i))))
+                F.sequence(F.lit(0), F.col("cuts") - 1), own))))
     asked = asked.groupBy("class", "g").agg(F.collect_list("bucket").alias("buckets"))  # at most the probes
     asked = asked.join(queries.select("class", "v"), "class")
     both = rows.select("g", F.lit(False).alias("is_query"), "bucket", "class", "v",

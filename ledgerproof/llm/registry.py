@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import langid, mixing, neighbours, packing, pii, quality, simhash
+from . import langid, mixing, neighbours, packing, pii, quality, simhash, toxicity
 from .common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
@@ -16,6 +16,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_pii_disclosure": lambda s, d: pii.digest(table(s, d, "documents")),
     "op7_pack_sum_of_squares": lambda s, d: packing.digest(table(s, d, "documents")),
     "op8_language_id": lambda s, d: langid.digest(table(s, d, "documents")),
+    "op9_toxicity_trees": lambda s, d: toxicity.digest(table(s, d, "documents"), table(s, d, "labels")),
     "op10_mix_sources": lambda s, d: mixing.mix_sizes(table(s, d, "documents")),
 }
 

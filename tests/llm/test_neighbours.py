@@ -41,7 +41,7 @@ def test_all_probes_give_the_exact_answer(spark, room, monkeypatch):
     monkeypatch.setattr(neighbours, "GROUP_FLOATS", room)
     rng = np.random.default_rng(4)
     rows = [(k, rng.normal(size=6).tolist()) for k in range(300)] + [(1000 + k, [0.5] * 6) for k in range(45)]
-    rows += [(2000, None), (2020, [0.0] * 6), (2040, [1.0, None, 1, 1, 1, 1]), (2060, [float("nan")] + [1.0] * 5),
+    rows += [(2000, None), (2020, [0.0] * 6), (2040, [1.0, None, 1.0, 1.0, 1.0, 1.0]), (2060, [float("nan")] + [1.0] * 5),
              (2080, [float("inf")] + [1.0] * 5), (None, [0.4] * 6), (20, [3.0] * 6), (3000, [1.0, 2.0]), (3001, [2.0, 1.0]),
              (3002, []), (40, rows[40][1])]
     vectors = spark.createDataFrame([(*r, 1) for r in rows], "vec_id long, embedding array<double>, class int")
