@@ -6,13 +6,14 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import langid, mixing, neighbours, packing, pii, quality, simhash, toxicity
+from . import langid, mixing, neighbours, packing, pii, quality, secrets, simhash, toxicity
 from .common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_neighbours_multiprobe": lambda s, d: neighbours.digest(table(s, d, "embeddings")),
     "op2_quality_cascade": lambda s, d: quality.digest(table(s, d, "documents")),
     "op3_simhash_components": lambda s, d: simhash.digest(table(s, d, "documents")),
+    "op4_secret_forest": lambda s, d: secrets.digest(table(s, d, "documents")),
     "op5_pii_disclosure": lambda s, d: pii.digest(table(s, d, "documents")),
     "op7_pack_sum_of_squares": lambda s, d: packing.digest(table(s, d, "documents")),
     "op8_language_id": lambda s, d: langid.digest(table(s, d, "documents")),
