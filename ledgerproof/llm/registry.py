@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import langid, mixing, neighbours, packing, pii, quality, secrets, simhash, toxicity
+from . import langid, mixing, neighbours, packing, pii, quality, secrets, simhash, suffixes, toxicity
 from .common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
@@ -15,6 +15,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_simhash_components": lambda s, d: simhash.digest(table(s, d, "documents")),
     "op4_secret_forest": lambda s, d: secrets.digest(table(s, d, "documents")),
     "op5_pii_disclosure": lambda s, d: pii.digest(table(s, d, "documents")),
+    "op6_suffix_dedup": lambda s, d: suffixes.digest(table(s, d, "documents")),
     "op7_pack_sum_of_squares": lambda s, d: packing.digest(table(s, d, "documents")),
     "op8_language_id": lambda s, d: langid.digest(table(s, d, "documents")),
     "op9_toxicity_trees": lambda s, d: toxicity.digest(table(s, d, "documents"), table(s, d, "labels")),
