@@ -56,3 +56,15 @@ def written(df: DataFrame, label: str) -> DataFrame:
 def word_count(text: Column) -> Column:
     """Number of words; NULL text counts 0."""
     return F.coalesce(F.regexp_count(text, F.lit(WORD)), F.lit(0)).cast("long")
+
+
+_HELD: dict[str, Callable[[], None]] = {}
+
+
+def hold_cache(owner: str, release: Callable[[], None]) -> None:
+    """A worker process outlives its tasks, and caches speed up the next one; only one operator's cache stays.
+
+    The cache of another ``owner`` is released first."""
+    for other in [o for o in _HELD if o != owner]:
+        _HELD.pop(other)()
+    _HELD[owner] = release

@@ -28,15 +28,16 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import map_batches
+from .common import hold_cache, map_batches
 
 FOLDS, HELD_OUT = 4, 2
 RUN = 40
 MARK = "▁"
 UNKNOWN = 1e-7  # probability of a letter no piece covers, alike in every language
 SMOOTHING = 1000.0  # expected pieces of the pool added to each language
-WORDS = 200_000  # distinct words per training block
-CACHE = 400_000  # distinct words kept per worker when scoring
+WORDS = 200_000  # distinct words counted before a training task solves them
+BLOCK = 40_000  # words whose lattices are solved at a time
+CACHE = 300_000  # distinct words kept per worker when scoring
 
 _RUNS = re.compile(r"[^\W\d_]+")
 _BASE = np.uint64(0x9E3779B97F4A7C15)
@@ -167,6 +168,7 @@ def learn(docs: DataFrame, *, path: str | None = None, text: str = "text", lang:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         v = vocabulary(path)
+        hold_cache("language counts", lambda: None)
         even = np.full(v.size + 1, 1.0 / v.size)
         even[v.size] = UNKNOWN
         index: dict[str, int] = {}
@@ -177,8 +179,11 @@ def learn(docs: DataFrame, *, path: str | None = None, text: str = "text", lang:
             langs = list(counts)
             if index:
                 weights = np.stack([np.pad(counts[x], (0, len(index) - len(counts[x]))) for x in langs], 1)
-                for x, n in zip(langs, v.lattice(list(index)).expected(even, weights)):
-                    totals[x] = totals.get(x, 0) + n
+                words = list(index)
+                for i in range(0, len(words), BLOCK):
+                    found = v.lattice(words[i:i + BLOCK]).expected(even, weights[i:i + BLOCK])
+                    for x, n in zip(langs, found):
+                        totals[x] = totals.get(x, 0) + n
             index.clear()
             counts.clear()
 
@@ -236,7 +241,8 @@ def predict(docs: DataFrame, model: tuple[list[str], np.ndarray], *, path: str |
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         v, by_piece = vocabulary(path), np.ascontiguousarray(p.T)
         mark = hashlib.sha1(by_piece.tobytes() + repr(langs).encode()).digest()
-        block = max(1000, WORDS * 4 // max(4, len(langs)))
+        block = max(1000, BLOCK * 4 // max(4, len(langs)))
+        hold_cache("language scores", _SCORED.clear)
         known, table = _SCORED.get(mark) or ({}, np.zeros((0, len(langs))))
         for batch in batches:
             found = [words_of(x.as_py()) for x in batch.column(at)]

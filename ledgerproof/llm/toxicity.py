@@ -37,7 +37,7 @@ LEXICON = 300
 SUPPORT = 3
 NEAR = 5
 TREES, DEPTH = 20, 4
-_CACHE = 300_000
+_CACHE = 200_000
 
 INSULTS = frozenset("clown creep disgusting dumb fool garbage hate idiot idiots jerk kill loser losers moron morons pathetic "
                     "pig scum shut stupid trash ugly useless vermin worthless".split())

@@ -14,8 +14,10 @@ import threading
 
 import regex
 
+from .common import hold_cache
+
 #: Entries kept per worker before the cache starts anew (bounds memory; results do not depend on it).
-CACHE_ENTRIES = 600_000
+CACHE_ENTRIES = 500_000
 
 _SPECIAL = re.compile(r"<\|(?:startoftext|endoftext)\|>")
 #: str.split() also splits at these four, the vocabulary's white space does not hold them.
@@ -47,7 +49,14 @@ class WordTokenizer:
         with cls._lock:
             if path not in cls._made:
                 cls._made[path] = cls(path)
-            return cls._made[path]
+            made = cls._made[path]
+        hold_cache("word tokenizer", made.forget)
+        return made
+
+    def forget(self) -> None:
+        self.chunks.clear()
+        self.pieces.clear()
+        gc.collect()
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
@@ -87,9 +96,7 @@ class WordTokenizer:
         found = list(map(known.get, words))
         if None in found:
             if len(known) > CACHE_ENTRIES:
-                known.clear()
-                self.pieces.clear()
-                gc.collect()
+                self.forget()
             for i, ids in enumerate(found):
                 if ids is None:
                     word = words[i]
