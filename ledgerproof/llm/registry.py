@@ -23,7 +23,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 }
 
 ORACLE: dict[str, str] = {
-    "op8_language_id": lambda s, d: langid.digest(table(s, d, "documents")),
     "op2_quality_cascade": quality.ORACLE,
     "op10_mix_sources": mixing.ORACLE,
 }
