@@ -36,8 +36,8 @@ BEST = 20
 TABLES = 8
 WIDTH = 2.0
 SEED = 11
-GROUP_FLOATS = 1 << 20  # vector components buffered per group
-_BLOCK = 256  # queries scored at a time
+GROUP_FLOATS = 1 << 22  # vector components buffered per group
+_BLOCK = 128  # queries scored at a time
 
 
 def projections_for(n: int) -> int:
@@ -134,7 +134,7 @@ def classes(points: DataFrame, is_query, *, best: int = BEST) -> DataFrame:
 
 
 def filed(of: DataFrame, largest: float, *, tables: int, projections: int, probes: int) -> tuple[DataFrame, DataFrame]:
-    """(rows: bucket, class, v) and (queries: class, v, buckets) of the classes."""
+    """(rows: bucket, class, first, v) and (queries: class, v, buckets) of the classes; first is the smallest id."""
     def lifted(v: np.ndarray) -> np.ndarray:
         scaled = v / largest
         return np.concatenate([scaled, np.sqrt(np.maximum(0.0, 1 - (scaled**2).sum(1, keepdims=True)))], 1)
@@ -151,8 +151,9 @@ def filed(of: DataFrame, largest: float, *, tables: int, projections: int, probe
             for at, v, table in by_dimension(batch):
                 names = table.names(np.floor(table.places(lifted(v))).astype(np.int64))
                 part = batch.take(pa.array(np.repeat(at, tables)))
-                yield pa.RecordBatch.from_arrays([pa.array(names.ravel()), part.column("class"), part.column("v")],
-                                                 names=["bucket", "class", "v"])
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(names.ravel()), part.column("class"), part.column("first"), part.column("v")],
+                    names=["bucket", "class", "first", "v"])
 
     def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -165,23 +166,24 @@ def filed(of: DataFrame, largest: float, *, tables: int, projections: int, probe
                      pa.array([table.probed(p, probes) for p in places], pa.list_(pa.int64()))],
                     names=["class", "v", "buckets"])
 
-    slim = of.select("class", "v")
-    return (map_batches(slim, index, "bucket long, class long, v binary"),
+    slim = of.select("class", F.coalesce(F.get("ids", F.lit(0)), F.lit(2**63 - 1)).alias("first"), "v")
+    return (map_batches(slim, index, "bucket long, class long, first long, v binary"),
             map_batches(of.where("asked").select("class", "v"), ask, "class long, v binary, buckets array<long>"))
 
 
 def _score(batches: Iterator[pa.RecordBatch], best: int) -> Iterator[pa.RecordBatch]:
-    """Batches sorted by group, rows before queries -> query, class, score: each query's best classes per group."""
-    group, held, x, bucket, ids, names = None, [], None, None, None, {}
+    """Batches sorted by group, rows before queries -> query, class, first, score: each query's ``best`` + 1 nearest
+    classes per group, ties to smaller first ids."""
+    group, held, x, bucket, ids, first, names = None, [], None, None, None, None, {}
 
     def ready():
-        nonlocal x, bucket, ids, names
+        nonlocal x, bucket, ids, first, names
         if x is None and held:
-            x = np.stack([np.frombuffer(v, "<f8") for _, _, v in held])
-            ids = np.array([c for _, c, _ in held])
-            keys, bucket = np.unique([b for b, _, _ in held], return_inverse=True)
+            x = np.stack([np.frombuffer(v, "<f8") for *_, v in held])
+            ids, first = np.array([h[1] for h in held]), np.array([h[2] for h in held])
+            keys, bucket = np.unique([h[0] for h in held], return_inverse=True)
             order = np.argsort(bucket, kind="stable")
-            x, ids, bucket = x[order], ids[order], bucket[order]
+            x, ids, first, bucket = x[order], ids[order], first[order], bucket[order]
             names = {int(k): i for i, k in enumerate(keys)}
 
     def scored(queries: list) -> pa.RecordBatch | None:
@@ -203,15 +205,19 @@ def _score(batches: Iterator[pa.RecordBatch], best: int) -> Iterator[pa.RecordBa
             s[who, edge[b]:edge[b + 1]] = q[who] @ x[edge[b]:edge[b + 1]].T
         k = min(best + 1, s.shape[1])
         least = -np.partition(-s, k - 1, axis=1)[:, k - 1]
-        who, what = np.nonzero((s >= least[:, None] - 1e-9) & (s > -np.inf))  # ties with the last stay in
+        who, what = np.nonzero((s >= least[:, None] - 1e-9) & (s > -np.inf))
         exact = np.einsum("ij,ij->i", q[who], x[what])  # the same sum for a pair wherever it is met
+        order = np.lexsort((first[what], -exact, who))
+        who, what, exact = who[order], what[order], exact[order]
+        near = np.arange(len(who)) - np.searchsorted(who, who) < k
+        who, what, exact = who[near], what[near], exact[near]
         return pa.RecordBatch.from_arrays(
             [pa.array(np.array([c for c, _, _ in queries])[who], pa.int64()), pa.array(ids[what], pa.int64()),
-             pa.array(exact)], names=["query", "class", "score"])
+             pa.array(first[what], pa.int64()), pa.array(exact)], names=["query", "class", "first", "score"])
 
     waiting: list = []
     for batch in batches:
-        for g, is_query, b, c, v, buckets in zip(*(col.to_pylist() for col in batch.columns)):
+        for g, is_query, b, c, f, v, buckets in zip(*(col.to_pylist() for col in batch.columns)):
             if g != group or len(waiting) == _BLOCK:
                 out = scored(waiting) if waiting else None
                 waiting = []
@@ -222,7 +228,7 @@ def _score(batches: Iterator[pa.RecordBatch], best: int) -> Iterator[pa.RecordBa
             if is_query:
                 waiting.append((c, v, buckets))
             else:
-                held.append((b, c, v))
+                held.append((b, c, f, v))
     out = scored(waiting) if waiting else None
     if out is not None:
         yield out
@@ -230,7 +236,7 @@ def _score(batches: Iterator[pa.RecordBatch], best: int) -> Iterator[pa.RecordBa
 
 def nearest_classes(of: DataFrame, *, best: int = BEST, tables: int = TABLES, projections: int | None = None,
                     probes: int | None = None) -> DataFrame:
-    """query, class, score: per asked class at least its ``best`` + 1 nearest classes among those visited."""
+    """query, class, score: per asked class its ``best`` + 1 nearest classes among those visited."""
     def norms(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             vs = _vectors(b.column(0))
@@ -263,12 +269,14 @@ def nearest_classes(of: DataFrame, *, best: int = BEST, tables: int = TABLES, pr
                 F.sequence(F.lit(0), F.col("cuts") - 1), own))))
     asked = asked.groupBy("class", "g").agg(F.collect_list("bucket").alias("buckets"))  # at most the probes
     asked = asked.join(queries.select("class", "v"), "class")
-    both = rows.select("g", F.lit(False).alias("is_query"), "bucket", "class", "v",
+    both = rows.select("g", F.lit(False).alias("is_query"), "bucket", "class", "first", "v",
                        F.lit(None).cast("array<long>").alias("buckets")).union(
-        asked.select("g", F.lit(True), F.lit(None).cast("long"), "class", "v", "buckets"))
+        asked.select("g", F.lit(True), F.lit(None).cast("long"), "class", F.lit(None).cast("long"), "v", "buckets"))
     bounded_batches(of.sparkSession)
-    return both.repartition("g").sortWithinPartitions("g", "is_query").mapInArrow(
-        lambda batches: _score(batches, best), "query long, class long, score double").distinct()
+    near = both.repartition("g").sortWithinPartitions("g", "is_query").mapInArrow(
+        lambda batches: _score(batches, best), "query long, class long, first long, score double").distinct()
+    order = Window.partitionBy("query").orderBy(F.col("score").desc(), "first", "class")
+    return near.withColumn("_n", F.row_number().over(order)).where(F.col("_n") <= best + 1).select("query", "class", "score")
 
 
 def search(vectors: DataFrame, is_query, *, id: str = "vec_id", vector: str = "embedding", best: int = BEST,
