@@ -32,7 +32,7 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .common import bounded_batches, map_batches, written
@@ -210,16 +210,40 @@ def induced(group: np.ndarray, right: list[bytes], left: list[bytes], nearest: n
 # ---- the distributed part
 
 _CLASS = ["gram", "name"]
+#: Bits of the filter that keeps texts nothing is wanted from out of a shuffle (1 MB at any size; where it fills up,
+#: more texts are shuffled and the result is the same).
+FILTER_BITS = 1 << 23
 
 
 def _keyed(docs: DataFrame) -> DataFrame:
+    """doc_id, mark, text: the mark (31 bits of the text's hash) tells texts under one id apart."""
     text = F.coalesce(F.col("text").cast("string"), F.lit("")).cast("binary")
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), text.alias("text")).select(
-        "doc_id", F.xxhash64("text").alias("mark"), "text")
+        "doc_id", F.pmod(F.xxhash64("text"), F.lit(1 << 31)).cast("int").alias("mark"), "text")
+
+
+def _slot() -> Column:
+    return F.pmod(F.xxhash64("doc_id", "mark"), F.lit(FILTER_BITS)) + 1
+
+
+def _flagged(keyed: DataFrame, wanted: DataFrame) -> DataFrame:
+    """``keyed`` with ``flag``, false only where (doc_id, mark) is not in ``wanted``; the filter is broadcast."""
+    bits = wanted.select(_slot().alias("b")).groupBy(F.bitmap_bucket_number("b").alias("_bucket")).agg(
+        F.bitmap_construct_agg(F.bitmap_bit_position("b")).alias("_bits"))
+    at = F.bitmap_bit_position(_slot())
+    byte = F.conv(F.hex(F.expr("substring(_bits, cast(_at div 8 + 1 as int), 1)")), 16, 10).cast("int")
+    found = keyed.withColumn("_at", at).join(F.broadcast(bits), F.bitmap_bucket_number(_slot()) == F.col("_bucket"), "left")
+    flag = F.coalesce(F.getbit(byte, F.pmod("_at", F.lit(8)).cast("int")) == 1, F.lit(False))
+    return found.select(*keyed.columns, flag.alias("flag"))
+
+
+def _part(shift: int, width: int) -> Column:
+    """A field of ``place``."""
+    return F.shiftrightunsigned("place", shift).bitwiseAND(F.lit((1 << width) - 1))
 
 
 def anchors(docs: DataFrame) -> DataFrame:
-    """doc_id, mark, gram, name, anchor, nearest, farthest: one row per anchor, written."""
+    """doc_id, mark, gram, name, place (anchor, nearest and farthest in one number): a row per anchor, written."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             texts = [x.as_py() for x in batch.column(2)]
@@ -243,12 +267,15 @@ def anchors(docs: DataFrame) -> DataFrame:
                 doc, a, near, far, g, name = parse_long(texts[job[0]]) if long else parse([texts[i] for i in job])
                 of = pa.array(np.array(job)[doc])
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column(0).take(of), batch.column(1).take(of), pa.array(g), pa.array(name), pa.array(a),
-                     pa.array(near, pa.int32()), pa.array(far, pa.int32())],
-                    names=["doc_id", "mark", "gram", "name", "anchor", "nearest", "farthest"])
+                    [batch.column(0).take(of), batch.column(1).take(of), pa.array(g), pa.array(name),
+                     pa.array(a << 20 | near << 10 | far)], names=["doc_id", "mark", "gram", "name", "place"])
 
-    return written(map_batches(_keyed(docs), run, "doc_id long, mark long, gram long, name long, anchor long, "
-                               "nearest int, farthest int"), "suffix-anchors")
+    rows = written(map_batches(_keyed(docs), run, "doc_id long, mark int, gram long, name long, place long"), "suffix-anchors")
+    # a gram that occurs once matches nothing; most are dropped here, before anything else is shuffled
+    often = rows.groupBy("gram").agg(F.count("*").alias("n")).where("n > 1").select("gram")
+    kept = written(rows.join(often, "gram", "left_semi"), "suffix-shared")
+    return kept.select("doc_id", "mark", *_CLASS, _part(20, 43).alias("anchor"), _part(10, 10).cast("int").alias("nearest"),
+                       _part(0, 10).cast("int").alias("farthest"))
 
 
 def _fetched(docs: DataFrame, wanted: DataFrame, hot: DataFrame) -> DataFrame:
@@ -257,7 +284,7 @@ def _fetched(docs: DataFrame, wanted: DataFrame, hot: DataFrame) -> DataFrame:
     parts = wanted.join(hot.select("gram", F.lit(True).alias("hot")), "gram", "left").groupBy("doc_id", "mark").agg(
         F.collect_list(F.struct("gram", "name", "anchor", "nearest", "farthest", F.coalesce("hot", F.lit(False)).alias(
             "hot"))).alias("parts")).withColumnsRenamed({"doc_id": "_d", "mark": "_m"})
-    keyed = _keyed(docs)
+    keyed = _flagged(_keyed(docs), wanted.select("doc_id", "mark")).where("flag")
     both = keyed.join(parts, keyed["doc_id"].eqNullSafe(F.col("_d")) & (keyed["mark"] == F.col("_m"))).select("text", "parts")
     names = ["gram", "name", "nearest", "farthest", "left", "right", "distance", "string"]
     kinds = [pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.binary(), pa.binary(), pa.int32(), pa.int64()]
@@ -359,10 +386,13 @@ def merged(spans: list[dict]) -> list[tuple[int, int]]:
 
 def deduplicated(docs: DataFrame, *, with_bytes: bool = True) -> DataFrame:
     """doc_id, n_bytes, n_removed, n_spans, kept_sha256 and, ``with_bytes``, the remaining bytes ``kept``."""
-    keyed = _keyed(docs)
-    cut = removed(docs).withColumnsRenamed({"doc_id": "_d", "mark": "_m"})
-    both = keyed.join(cut, keyed["doc_id"].eqNullSafe(F.col("_d")) & (keyed["mark"] == F.col("_m")), "left").select(
-        "doc_id", "text", "spans")
+    cut = written(removed(docs), "suffix-spans")
+    keyed = _flagged(_keyed(docs), cut)
+    named = cut.withColumnsRenamed({"doc_id": "_d", "mark": "_m"})
+    concerned = keyed.where("flag").join(
+        named, keyed["doc_id"].eqNullSafe(F.col("_d")) & (keyed["mark"] == F.col("_m")), "left")
+    whole = keyed.where("not flag").select("doc_id", "text", F.lit(None).cast(cut.schema["spans"].dataType).alias("spans"))
+    both = concerned.select("doc_id", "text", "spans").union(whole)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
