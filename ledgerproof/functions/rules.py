@@ -27,11 +27,6 @@ def normalised_currency(value: str | Column = "currency") -> Column:
 THREE_LETTERS = r"^\p{L}{3}$"
 
 
-def is_currency_code(value: str | Column) -> Column:
-    """Exactly three letters (any script, as ``str.isalpha`` accepts) after normalising."""
-    return normalised_currency(value).rlike(THREE_LETTERS)
-
-
 def min_length(value: str | Column, n: int) -> Column:
     return F.length(_col(value)) >= F.lit(n)
 

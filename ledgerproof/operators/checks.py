@@ -6,10 +6,8 @@ a filter of it, ``summary`` a one-row aggregate of it, so nothing is collected t
 
 Aligning two sides is a ``full_outer`` join on ``partition_key``: both sides hold one row per key
 (asserted), the frames are tiny, and AQE picks a broadcast from their measured size at run time.
-Referential integrity joins the *distinct* fact keys to the distinct dimension keys on plain equality
-(the join reuses both aggregates' hash partitioning); the NULL key is settled by an uncorrelated
-``EXISTS`` over the dimension, which gives NULL-matches-NULL set semantics without re-shuffling both
-sides on ``(coalesce(k), isnull(k))``. No key set is ever held on the driver.
+Referential integrity reads each side once, cuts it to distinct keys and joins those null-safely, so NULL
+matches NULL. No key set is ever held on the driver.
 """
 
 from __future__ import annotations
@@ -48,18 +46,24 @@ class CheckResult:
         return self.evaluated.filter(F.col("is_break")).select(*BREAK_COLUMNS)
 
     @property
-    def summary(self) -> DataFrame:
-        is_error = F.col("is_break") & (F.col("severity") == F.lit(ERROR))
+    def tally(self) -> DataFrame:
+        """One row: the summary columns and the number of breaks of either severity."""
+        errors = F.count_if(F.col("is_break") & (F.col("severity") == F.lit(ERROR)))
         return self.evaluated.agg(
             F.lit(self.step).alias("step"),
             F.lit(self.check).alias("check"),
             F.lit(self.source_layer).alias("source_layer"),
             F.lit(self.target_layer).alias("target_layer"),
-            (F.count_if(is_error) == 0).alias("passed"),
+            (errors == 0).alias("passed"),
             F.count(F.lit(1)).alias("partitions_compared"),
             F.count_if(F.col("is_break")).alias("breaks"),
+            errors.alias("errors"),
         )
 
+    @property
+    def summary(self) -> DataFrame:
+        return self.tally.drop("errors")
+
     def at_step(self, step: int) -> "CheckResult":
         return CheckResult(self.check, self.source_layer, self.target_layer, self.evaluated, step)
 
@@ -113,30 +117,6 @@ def align(source: DataFrame, target: DataFrame, *, validate: bool = True) -> Dat
     return side(source, "s_").join(side(target, "t_"), "partition_key", "full_outer")
 
 
-def align_slices(wide: DataFrame, source: str | list[str], target: str | list[str]) -> DataFrame:
-    """The aligned frame of ``align`` built from one wide ``sliced_totals_wide`` row per partition.
-
-    A side may name several slices, which are added (e.g. silver + rejected); a side is present on a
-    date when it has rows there, as a per-layer total would be.
-    """
-
-    def side(names: str | list[str], p: str) -> list[Column]:
-        names = [names] if isinstance(names, str) else names
-        rows = sum((F.col(f"{n}__rows") for n in names[1:]), F.col(f"{names[0]}__rows"))
-        amount = sum((F.col(f"{n}__amount") for n in names[1:]), F.col(f"{names[0]}__amount"))
-        distinct = sum((F.col(f"{n}__distinct") for n in names[1:]), F.col(f"{names[0]}__distinct"))
-        present = rows > 0
-        return [
-            F.when(present, F.lit(True)).alias(f"{p}present"),
-            F.when(present, rows).alias(f"{p}rows"),
-            F.when(present, amount).alias(f"{p}amount"),
-            F.when(present, distinct).alias(f"{p}distinct"),
-        ]
-
-    aligned = wide.select("partition_key", *side(source, "s_"), *side(target, "t_"))
-    return aligned.filter(F.col("s_present").isNotNull() | F.col("t_present").isNotNull())
-
-
 def row_count_check(
     source: DataFrame,
     target: DataFrame,
@@ -147,13 +127,9 @@ def row_count_check(
     expect_distinct_target: bool = False,
     name: str = "row_count",
     validate: bool = True,
-    aligned: DataFrame | None = None,
 ) -> CheckResult:
-    """Rows (or distinct ids, per side) must match per partition; a missing side counts as zero.
-
-    ``aligned`` (from ``align_slices``) replaces ``source``/``target`` when both are slices of one frame.
-    """
-    aligned = align(source, target, validate=validate) if aligned is None else aligned
+    """Rows (or distinct ids, per side) must match per partition; a missing side counts as zero."""
+    aligned = align(source, target, validate=validate)
     expected = F.coalesce(F.col("s_distinct" if expect_distinct_source else "s_rows"), F.lit(0))
     actual = F.coalesce(F.col("t_distinct" if expect_distinct_target else "t_rows"), F.lit(0))
     note = (
@@ -169,9 +145,9 @@ def row_count_check(
 
 def validate_tolerances(tolerance_minor: int, relative_tolerance: float) -> None:
     if tolerance_minor < 0:
-        raise ValueError("tolerance_minor must not be negative")
+        raise ValueError(f"an absolute tolerance cannot be below zero, got {tolerance_minor}")
     if not 0.0 <= relative_tolerance <= 0.01:
-        raise ValueError("relative_tolerance must be between 0 and 0.01")
+        raise ValueError(f"a relative tolerance lies between 0 and 0.01, got {relative_tolerance}")
 
 
 def amount_sum_check(
@@ -184,11 +160,10 @@ def amount_sum_check(
     relative_tolerance: float = 0.0,
     name: str = "amount_sum",
     validate: bool = True,
-    aligned: DataFrame | None = None,
 ) -> CheckResult:
     """Break when ``|actual - expected|`` exceeds the allowance, which scales on *expected* only."""
     validate_tolerances(tolerance_minor, relative_tolerance)
-    aligned = (align(source, target, validate=validate) if aligned is None else aligned).select(
+    aligned = align(source, target, validate=validate).select(
         "partition_key",
         F.coalesce(F.col("s_amount"), F.lit(0).cast("bigint")).alias("_expected"),
         F.coalesce(F.col("t_amount"), F.lit(0).cast("bigint")).alias("_actual"),
@@ -248,18 +223,10 @@ def referential_integrity_check(
     if severity not in (ERROR, WARNING):
         raise ValueError("severity must be 'error' or 'warning'")
     dim_key = dimension_key or key
-    fk, dk = F.col("_fk"), F.col("_dk")
+    # Both sides are read once and cut to distinct keys; the null-safe join moves only those.
     fact_keys = fact.select(F.col(key).alias("_fk")).distinct()
-    # Non-NULL keys: a plain equi-join, which reuses the hash partitioning of both distincts (a null-safe
-    # join would be planned on (coalesce(k), isnull(k)) and shuffle both sides again).
-    dim_keys = dimension.select(F.col(dim_key).alias("_dk")).filter(dk.isNotNull()).distinct()
-    keyed = fact_keys.filter(fk.isNotNull()).join(
-        dim_keys.withColumn("_hit", F.lit(True)), fk == dk, "left"
-    ).select("_fk", "_hit")
-    # The NULL key (at most one distinct row) matches when the dimension has a NULL key too.
-    dim_has_null = dimension.filter(F.col(dim_key).isNull()).exists()
-    null_key = fact_keys.filter(fk.isNull()).select("_fk", F.when(dim_has_null, F.lit(True)).alias("_hit"))
-    joined = keyed.unionByName(null_key)
+    dim_keys = dimension.select(F.col(dim_key).alias("_dk"), F.lit(True).alias("_hit")).distinct()
+    joined = fact_keys.join(dim_keys, F.col("_fk").eqNullSafe(F.col("_dk")), "left")
     label = F.concat(F.lit(f"{dimension_name}:"), F.coalesce(F.col("_fk").cast("string"), F.lit("None")))
     evaluated = joined.select(
         *_break_row(
@@ -277,16 +244,6 @@ def referential_integrity_check(
     return CheckResult(name, "gold", "gold", evaluated)
 
 
-def orphan_keys(fact: DataFrame, dimension: DataFrame, *, key: str, dimension_key: str | None = None) -> DataFrame:
-    """Distinct fact keys with no dimension row (NULL matches NULL), as a distributed anti join."""
-    dim_key = F.col(dimension_key or key)
-    fk = fact.select(F.col(key).alias("key")).distinct()
-    dk = dimension.select(dim_key.alias("_dk")).filter(F.col("_dk").isNotNull())
-    keyed = fk.filter(F.col("key").isNotNull()).join(dk, F.col("key") == F.col("_dk"), "left_anti")
-    null_orphan = fk.filter(F.col("key").isNull() & ~dimension.filter(dim_key.isNull()).exists())
-    return keyed.unionByName(null_orphan)
-
-
 def conservation_check(
     bronze_deduped: DataFrame,
     silver: DataFrame,
@@ -295,22 +252,19 @@ def conservation_check(
     measure: str = "rows",
     name: str | None = None,
     validate: bool = True,
-    aligned: DataFrame | None = None,
 ) -> CheckResult:
-    """Deduplicated bronze must equal silver plus quarantine, per partition (rows or amounts).
-
-    ``aligned`` (``align_slices(wide, "bronze", ["silver", "rejected"])``) replaces the three frames.
-    """
+    """Deduplicated bronze must equal silver plus quarantine, per partition (rows or amounts)."""
     if measure not in ("rows", "amount"):
         raise ValueError("measure must be 'rows' or 'amount'")
     check = name or ("conservation" if measure == "rows" else "conservation_amount")
-    if aligned is None:
-        landed = silver.unionByName(rejected.select(*silver.columns)).groupBy("partition_key").agg(
-            F.sum("row_count").alias("row_count"),
-            F.sum("amount_minor_sum").alias("amount_minor_sum"),
-            F.sum("distinct_event_ids").alias("distinct_event_ids"),
-        ).withColumn("layer", F.lit("silver+rejected"))
-        aligned = align(bronze_deduped, landed, validate=validate)
+    if validate:
+        silver, rejected = assert_valid_totals(silver), assert_valid_totals(rejected)
+    landed = silver.unionByName(rejected.select(*silver.columns)).groupBy("partition_key").agg(
+        F.sum("row_count").alias("row_count"),
+        F.sum("amount_minor_sum").alias("amount_minor_sum"),
+        F.sum("distinct_event_ids").alias("distinct_event_ids"),
+    ).withColumn("layer", F.lit("silver+rejected"))
+    aligned = align(bronze_deduped, landed, validate=validate)
     column = "rows" if measure == "rows" else "amount"
     expected = F.coalesce(F.col(f"s_{column}"), F.lit(0))
     actual = F.coalesce(F.col(f"t_{column}"), F.lit(0))

@@ -128,68 +128,3 @@ def assert_valid_totals(totals: DataFrame) -> DataFrame:
         .cast("boolean")
     )
     return guarded.drop("_n")
-
-
-def sliced_totals_wide(
-    df: DataFrame,
-    slices: dict[str, "F.Column | None"],
-    *,
-    partition_col: str = "business_date",
-    amount_column: str = "signed_amount_minor",
-    key_column: str = "event_id",
-    unique_key: bool = False,
-    without_distinct: tuple[str, ...] = (),
-) -> DataFrame:
-    """Control totals of several named slices of one frame (``None`` = all rows) in ONE aggregation,
-    one row per partition with columns ``<slice>__rows``, ``<slice>__amount``, ``<slice>__distinct``.
-
-    For layers that are row filters of one frame (deduplicated bronze, silver, quarantine, gold) this
-    replaces one scan, dedup and aggregation per layer with a single pass, and a check between two
-    slices is a projection of this row (``checks.align_slices``): no join, no second branch.
-    """
-    frame = with_business_date(df, partition_col)
-    key, amount = F.col(key_column), F.col(amount_column).cast("bigint")
-    aggs = []
-    for name, pred in slices.items():
-        p = F.lit(True) if pred is None else F.coalesce(pred, F.lit(False))
-        if name in without_distinct:
-            distinct = F.lit(None).cast("bigint")
-        elif unique_key:
-            distinct = F.count(F.when(p, key))
-        else:
-            distinct = F.count_distinct(F.when(p, key))
-        aggs += [
-            F.count_if(p).alias(f"{name}__rows"),
-            F.coalesce(F.sum(F.when(p, amount)), F.lit(0).cast("bigint")).alias(f"{name}__amount"),
-            distinct.alias(f"{name}__distinct"),
-        ]
-    return frame.groupBy(partition_key(partition_col).alias("partition_key")).agg(*aggs)
-
-
-def slice_totals(wide: DataFrame, name: str, layer: str | None = None) -> DataFrame:
-    """One slice of a wide frame as ordinary control totals (dates where the slice has rows)."""
-    return wide.filter(F.col(f"{name}__rows") > 0).select(
-        F.lit(layer or name).alias("layer"),
-        "partition_key",
-        F.col(f"{name}__rows").alias("row_count"),
-        F.col(f"{name}__amount").alias("amount_minor_sum"),
-        F.col(f"{name}__distinct").alias("distinct_event_ids"),
-    )
-
-
-def stacked_slice_totals(wide: DataFrame, names: dict[str, str]) -> DataFrame:
-    """Several slices of one wide frame as stacked control totals in a single branch
-    (``names`` maps slice -> layer label); dates where a slice has no rows are omitted."""
-    rows = F.array(
-        *[
-            F.struct(
-                F.lit(label).alias("layer"),
-                F.col(f"{name}__rows").alias("row_count"),
-                F.col(f"{name}__amount").alias("amount_minor_sum"),
-                F.col(f"{name}__distinct").alias("distinct_event_ids"),
-            )
-            for name, label in names.items()
-        ]
-    )
-    stacked = wide.select("partition_key", F.inline(rows))
-    return stacked.filter(F.col("row_count") > 0).select(*_TOTAL_COLUMNS)

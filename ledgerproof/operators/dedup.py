@@ -5,16 +5,14 @@ Plan shape: ``row_number() = 1`` over the key, which Catalyst turns into a *part
 sends at most one row per map task across the network: the hot-key case is pre-aggregated before it
 is shuffled.
 
-Rows with a NULL key are never merged (they are distinct events whose id is missing). They stay in the
-same single pass: the window partitions by the key plus a surrogate that is NULL for real keys and a
-row identity (``monotonically_increasing_id``) for NULL keys, so each NULL-key row is its own group,
-ranks 1 and is kept, and NULL keys never pile into one skewed partition. The row identity is stable
-when a lost task is recomputed from the same input split, which holds for file scans.
+Rows with a NULL key are never merged (they are distinct events whose id is missing). They go round the
+window: a filter on NULL keys, which file statistics answer almost for free, is united with the ranked rows.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -45,13 +43,15 @@ def first_arrival(
         raise ValueError("null_keys must be 'keep' or 'collapse'")
     keys = _cols(key)
     order = [c.asc_nulls_last() for c in _cols(order_by)]
-    if null_keys == "keep":
-        any_null = keys[0].isNull()
-        for k in keys[1:]:
-            any_null = any_null | k.isNull()
-        keys = [*keys, F.when(any_null, F.monotonically_increasing_id())]
     window = Window.partitionBy(*keys).orderBy(*order)
-    return df.withColumn(_RN, F.row_number().over(window)).filter(F.col(_RN) == 1).drop(_RN)
+
+    def ranked(rows: DataFrame) -> DataFrame:
+        return rows.withColumn(_RN, F.row_number().over(window)).filter(F.col(_RN) == 1).drop(_RN)
+
+    if null_keys == "collapse":
+        return ranked(df)
+    any_null = reduce(lambda a, b: a | b, [k.isNull() for k in keys])
+    return ranked(df.filter(~any_null)).unionByName(df.filter(any_null))
 
 
 TIE_BREAKS = ("batch_id", "_src")

@@ -6,6 +6,7 @@ derives from them; the matching DuckDB SQL lives in ``ORACLE``.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 from datetime import UTC, datetime
 
@@ -16,9 +17,6 @@ from ledgerproof.functions.money import amount_major, minor_units
 from ledgerproof.operators import checks as C
 from ledgerproof.operators.control_totals import (
     control_totals,
-    slice_totals,
-    sliced_totals_wide,
-    stacked_slice_totals,
     duplicate_keys,
     invariant_violations,
     manifest_totals,
@@ -36,13 +34,14 @@ from ledgerproof.operators.medallion import (
     silver_of,
     status_counts,
 )
-from ledgerproof.operators.report import run_all
+from ledgerproof.operators.report import Report, run_all
 from ledgerproof.plans import oracle as O
-from ledgerproof.plans.suite import reconciliation_suite, sliced_reconciliation_suite
+from ledgerproof.plans.jobs import add_column, build_medallion, compact_table, publish_account_summary, run_control
 from ledgerproof.schemas import BRONZE_COLUMNS
-from ledgerproof.session import materialize as cut_lineage
+from ledgerproof.session import materialize_at, remove_path, scratch_path
 from ledgerproof.sources.fixture import bronze_fixture, event_records
-from ledgerproof.sources.landing import land_batch
+from ledgerproof.sources.landing import land_batch, path_layers, to_bronze
+from ledgerproof.streaming.autoload import autoload_stream, read_dead_letter, read_stream_bronze
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -52,7 +51,12 @@ LAND_BATCH_ID = "batch-20240201000000"
 LOOKUP_ACCOUNT = "ACC-00042"
 ABS_TOLERANCE = 5000
 REL_TOLERANCE = 0.001
-THIN_CUSTOMER_MOD, THIN_CUSTOMER_REM = 10, 3
+#: Faults that the checks must find, by the number in an event's or account's id (SQL that both engines read).
+EVENT_NUMBER = "CAST(substr(event_id, 5) AS BIGINT)"
+LOST_ROW = f"{EVENT_NUMBER} % 251 = 9"
+COPIED_ROW = f"{EVENT_NUMBER} % 211 = 4"
+LOST_ACCOUNT = "CAST(substr(account_id, 5) AS BIGINT) % 7 = 2"
+LOST_REASON = "missing_currency"
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -62,51 +66,28 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 class Medallion:
     """All layers of one fixture variant, built lazily from ``events``."""
 
-    def __init__(self, spark: SparkSession, sf_dir: str, *, faulty: bool = True, materialize: bool = False) -> None:
+    def __init__(self, spark: SparkSession, sf_dir: str, *, faulty: bool = True) -> None:
         self.events = table(spark, sf_dir, "events")
         self.bronze = bronze_fixture(self.events, faulty=faulty)
         self.deduped = dedup_bronze(self.bronze)
         self.classified = classify(self.deduped)
-        if materialize:
-            # As the build job does: one dedup shuffle, cut from its lineage as a table in the shared
-            # checkpoint folder, then every layer derives from it.
-            self.classified = cut_lineage(self.classified, "classified")
-            self.deduped = self.classified.drop("rejection_reason")
         self.silver = silver_of(self.classified)
         self.rejected = rejected_of(self.classified)
         self.fact = fact_transactions(self.silver)
         self.dim = dim_account(self.silver)
-        self.silver_fault = drop_fx_conversions(self.silver)
-        self.fact_fault = fact_transactions(self.silver_fault)
-        self.dim_fault = dim_account(self.silver_fault)
+        self.fact_fault = fact_transactions(drop_fx_conversions(self.silver))
 
     def totals(self, layer: str) -> DataFrame:
-        """Control totals of one layer. Deduplicated bronze, silver, quarantine and gold are row filters
-        of the classified frame, so they all come from one aggregation (``sliced_totals_wide``)."""
-        if layer == "bronze_raw":
-            return control_totals(self.bronze, "bronze")
-        return slice_totals(self.wide, layer, {"gold_fault": "gold"}.get(layer, layer))
-
-    @property
-    def wide(self) -> DataFrame:
-        """Per date: rows / amount / distinct ids of every layer side by side, from one pass."""
-        valid = F.col("rejection_reason").isNull()
-        return sliced_totals_wide(
-            self.classified,
-            {
-                "bronze": None,
-                "silver": valid,
-                "gold": valid,
-                "gold_fault": valid & (F.col("transaction_type") != F.lit("fx_conversion")),
-                "rejected": ~valid,
-            },
-            # deduplicated rows are unique on event_id by construction (same plan)
-            unique_key=True,
-        )
-
-
-def _m(spark: SparkSession, sf_dir: str, faulty: bool = True, materialize: bool = False) -> Medallion:
-    return Medallion(spark, sf_dir, faulty=faulty, materialize=materialize)
+        """Control totals of one layer, its distinct ids counted from its own rows."""
+        frame, label = {
+            "bronze_raw": (self.bronze, "bronze"), "bronze": (self.deduped, "bronze"), "silver": (self.silver, "silver"),
+            "rejected": (self.rejected, "rejected"), "gold": (self.fact, "gold"), "gold_fault": (self.fact_fault, "gold"),
+        }[layer]
+        return control_totals(frame, label)
+
+
+def _m(spark: SparkSession, sf_dir: str, faulty: bool = True) -> Medallion:
+    return Medallion(spark, sf_dir, faulty=faulty)
 
 
 # ---------------------------------------------------------------- landing, fixture, dedup
@@ -204,8 +185,7 @@ def q_source_manifest_totals(spark, sf_dir):
 
 
 def _all_layer_totals(m: Medallion) -> DataFrame:
-    """The four layers' totals stacked from one wide aggregation (one dedup, one branch)."""
-    return stacked_slice_totals(m.wide, {n: n for n in ("bronze", "silver", "gold", "rejected")})
+    return m.totals("bronze").unionByName(m.totals("silver")).unionByName(m.totals("gold")).unionByName(m.totals("rejected"))
 
 
 def q_totals_invariants(spark, sf_dir):
@@ -216,6 +196,25 @@ def q_totals_duplicate_keys(spark, sf_dir):
     return duplicate_keys(_all_layer_totals(_m(spark, sf_dir)))
 
 
+def external_totals(m: Medallion) -> DataFrame:
+    """Totals as another system might send them, broken: dates with an odd row count claim more distinct ids than
+    rows, dates before the 5th of a month a negative count, and dates of the 17th come twice."""
+    t = m.totals("silver")
+    odd = (F.col("row_count") % 2 == 1)
+    early = F.substring("partition_key", 9, 2) < "05"
+    sent = t.withColumn("distinct_event_ids", F.when(odd, F.col("row_count") + 1).otherwise(F.col("distinct_event_ids")))
+    sent = sent.withColumn("row_count", F.when(early, -F.col("row_count")).otherwise(F.col("row_count")))
+    return sent.unionByName(sent.filter(F.col("partition_key").endswith("17")))
+
+
+def q_totals_invariants_broken(spark, sf_dir):
+    return invariant_violations(external_totals(_m(spark, sf_dir)))
+
+
+def q_totals_duplicate_keys_broken(spark, sf_dir):
+    return duplicate_keys(external_totals(_m(spark, sf_dir)))
+
+
 def order_totals(orders: DataFrame) -> DataFrame:
     return control_totals(
         orders.withColumn("_amount", minor_units("o_totalprice")).withColumn("_date", F.to_date("o_orderdate")),
@@ -233,7 +232,8 @@ def lineitem_totals_by_order_date(lineitem: DataFrame, orders: DataFrame) -> Dat
         F.count(F.lit(1)).alias("_lines"),
         F.sum(minor_units("l_extendedprice")).alias("_amount"),
     )
-    dated = per_order.join(orders.select("o_orderkey", "o_orderdate"), "o_orderkey")
+    # lines whose order is missing stay, under 'None': the totals exist to find such rows
+    dated = per_order.join(orders.select("o_orderkey", "o_orderdate"), "o_orderkey", "left")
     return dated.groupBy(
         F.coalesce(F.to_date("o_orderdate").cast("string"), F.lit("None")).alias("partition_key")
     ).agg(
@@ -261,13 +261,12 @@ def q_check_orders_vs_lineitem(spark, sf_dir):
 
 def q_check_row_count_bronze_silver(spark, sf_dir):
     m = _m(spark, sf_dir)
-    return C.row_count_check(None, None, aligned=C.align_slices(m.wide, "bronze", "silver")).breaks
+    return C.row_count_check(m.totals("bronze"), m.totals("silver")).breaks
 
 
 def q_check_row_count_silver_gold(spark, sf_dir):
     m = _m(spark, sf_dir)
-    aligned = C.align_slices(m.wide, "silver", "gold_fault")
-    return C.row_count_check(None, None, source_layer="silver", target_layer="gold", aligned=aligned).breaks
+    return C.row_count_check(m.totals("silver"), m.totals("gold_fault"), source_layer="silver", target_layer="gold").breaks
 
 
 def q_check_row_count_distinct_modes(spark, sf_dir):
@@ -280,7 +279,7 @@ def q_check_row_count_distinct_modes(spark, sf_dir):
 
 def _amount(spark, sf_dir, **tol):
     m = _m(spark, sf_dir)
-    return C.amount_sum_check(None, None, aligned=C.align_slices(m.wide, "bronze", "silver"), **tol).breaks
+    return C.amount_sum_check(m.totals("bronze"), m.totals("silver"), **tol).breaks
 
 
 def q_check_amount_exact(spark, sf_dir):
@@ -303,90 +302,161 @@ def q_check_dedup_silver(spark, sf_dir):
     return C.dedup_check(_m(spark, sf_dir).totals("silver")).breaks
 
 
+def q_check_dedup_silver_copies(spark, sf_dir):
+    silver = _m(spark, sf_dir).silver
+    return C.dedup_check(control_totals(silver.unionByName(silver.filter(COPIED_ROW)), "silver")).breaks
+
+
 def q_check_ref_integrity_ok(spark, sf_dir):
     m = _m(spark, sf_dir)
     return C.referential_integrity_check(m.fact, m.dim).breaks
 
 
-def _thinned_customers(spark, sf_dir) -> DataFrame:
-    cust = table(spark, sf_dir, "customer")
-    return cust.filter((F.col("c_custkey") % THIN_CUSTOMER_MOD) != THIN_CUSTOMER_REM)
+def q_check_ref_integrity_lost_accounts(spark, sf_dir):
+    m = _m(spark, sf_dir)
+    return C.referential_integrity_check(m.fact, m.dim.filter(f"NOT ({LOST_ACCOUNT})")).breaks
 
 
-def _orphans(spark, sf_dir, severity: str = "error", with_null: bool = False):
-    fact = table(spark, sf_dir, "events").select(F.col("user_id").alias("k"))
-    dim = _thinned_customers(spark, sf_dir).select(F.col("c_custkey").alias("k"))
+def _orphans(spark, sf_dir, dimension: str, column: str, severity: str = "error", with_null: bool = False):
+    """Customers that a table never names: natural orphans, over whole tables."""
+    fact = table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("k"))
+    dim = table(spark, sf_dir, dimension).select(F.col(column).alias("k"))
     if with_null:
         null_row = spark.range(1).select(F.lit(None).cast("bigint").alias("k"))
         fact, dim = fact.unionByName(null_row), dim.unionByName(null_row)
-    return C.referential_integrity_check(fact, dim, key="k", dimension_name="customer", severity=severity).breaks
+    return C.referential_integrity_check(fact, dim, key="k", dimension_name=dimension, severity=severity).breaks
 
 
 def q_check_ref_integrity_orphans(spark, sf_dir):
-    return _orphans(spark, sf_dir)
+    return _orphans(spark, sf_dir, "events", "user_id")
 
 
 def q_check_ref_integrity_warning(spark, sf_dir):
-    return _orphans(spark, sf_dir, severity="warning")
+    return _orphans(spark, sf_dir, "orders", "o_custkey", severity="warning")
 
 
 def q_check_ref_integrity_null_key(spark, sf_dir):
-    return _orphans(spark, sf_dir, with_null=True)
+    return _orphans(spark, sf_dir, "events", "user_id", with_null=True)
 
 
-def q_check_conservation(spark, sf_dir):
+def _conservation(spark, sf_dir, measure: str, *, lost_silver: bool = False, lost_quarantine: bool = False):
     m = _m(spark, sf_dir)
-    aligned = C.align_slices(m.wide, "bronze", ["silver", "rejected"])
-    return C.conservation_check(None, None, None, aligned=aligned).breaks
+    silver = m.silver.filter(f"NOT ({LOST_ROW})") if lost_silver else m.silver
+    rejected = m.rejected.filter(F.col("rejection_reason") != LOST_REASON) if lost_quarantine else m.rejected
+    return C.conservation_check(m.totals("bronze"), control_totals(silver, "silver"), control_totals(rejected, "rejected"),
+                                measure=measure).breaks
+
+
+def q_check_conservation(spark, sf_dir):
+    return _conservation(spark, sf_dir, "rows")
 
 
 def q_check_conservation_amount(spark, sf_dir):
-    m = _m(spark, sf_dir)
-    aligned = C.align_slices(m.wide, "bronze", ["silver", "rejected"])
-    return C.conservation_check(None, None, None, measure="amount", aligned=aligned).breaks
+    return _conservation(spark, sf_dir, "amount")
 
 
-# ---------------------------------------------------------------- suites
+def q_check_conservation_lost_silver(spark, sf_dir):
+    return _conservation(spark, sf_dir, "rows", lost_silver=True)
 
 
-def _suite(spark, sf_dir, *, fault: bool = False, mode: str = "parity"):
-    """The six checks over layers that are slices of one (written-once) classified frame."""
-    m = _m(spark, sf_dir, materialize=True)
-    silver = m.silver_fault if fault else m.silver
-    return sliced_reconciliation_suite(
-        m.wide, fact_transactions(silver), dim_account(silver), gold_slice="gold_fault" if fault else "gold", mode=mode
-    )
+def q_check_conservation_lost_quarantine(spark, sf_dir):
+    return _conservation(spark, sf_dir, "amount", lost_quarantine=True)
+
+
+# ---------------------------------------------------------------- suites over written layers
+
+
+def _fresh_dir(spark: SparkSession, label: str) -> str:
+    return scratch_path(spark, f"ledgerproof-{label}-{uuid.uuid4().hex[:12]}")
+
+
+def _settled(spark: SparkSession, result: DataFrame, *used: str) -> DataFrame:
+    """``result`` written by itself, so that the folders it was made from can go."""
+    kept, _ = materialize_at(result, "result")
+    for path in used:
+        remove_path(spark, path)
+    return kept
+
+
+def written_layers(spark: SparkSession, sf_dir: str, **build) -> tuple[dict[str, str], str]:
+    """The faulty fixture landed as a date-partitioned bronze table, and the build job run on it."""
+    root = _fresh_dir(spark, "build")
+    layers = path_layers(root)
+    bronze_fixture(table(spark, sf_dir, "events"), faulty=True, keep_src=False).write.partitionBy("event_date").parquet(
+        layers["bronze"])
+    build_medallion(spark, layers, **build)
+    return layers, root
+
+
+def _suite(spark, sf_dir, take: Callable[[Report], DataFrame], *, fault: bool = False, mode: str = "parity",
+           damage: Callable[[SparkSession, dict[str, str]], None] | None = None, source: DataFrame | None = None):
+    """What ``take`` makes of the control job's report over written layers, ``damage`` done to them in between."""
+    layers, root = written_layers(spark, sf_dir, inject_break=fault)
+    if damage:
+        damage(spark, layers)
+    report = run_control(spark, layers, mode=mode, raise_on_error=False, source=source)
+    return _settled(spark, take(report), root, *report.scratch)
+
+
+def _rewritten(spark: SparkSession, path: str, column: str, change: Callable[[DataFrame], DataFrame]) -> None:
+    staged, scratch = materialize_at(spark.read.parquet(path), "damage")
+    change(staged).write.mode("overwrite").partitionBy(column).parquet(path)
+    remove_path(spark, scratch)
+
+
+def damaged_silver(spark: SparkSession, layers: dict[str, str]) -> None:
+    """Silver after the build: some rows lost, some twice."""
+    _rewritten(spark, layers["silver"], "business_date",
+               lambda df: df.filter(f"NOT ({LOST_ROW})").unionByName(df.filter(COPIED_ROW)))
 
 
 def q_reconcile_suite_breaks(spark, sf_dir):
-    return _suite(spark, sf_dir).breaks
+    return _suite(spark, sf_dir, lambda r: r.breaks)
 
 
 def q_reconcile_suite_summary(spark, sf_dir):
-    return _suite(spark, sf_dir).summary
+    return _suite(spark, sf_dir, lambda r: r.summary)
 
 
 def q_reconcile_suite_fault_breaks(spark, sf_dir):
-    return _suite(spark, sf_dir, fault=True).breaks
+    return _suite(spark, sf_dir, lambda r: r.breaks, fault=True)
 
 
 def q_reconcile_suite_fault_summary(spark, sf_dir):
-    return _suite(spark, sf_dir, fault=True).summary
+    return _suite(spark, sf_dir, lambda r: r.summary, fault=True)
+
+
+def q_reconcile_suite_damaged_summary(spark, sf_dir):
+    return _suite(spark, sf_dir, lambda r: r.summary, damage=damaged_silver)
+
+
+def q_reconcile_suite_damaged_breaks(spark, sf_dir):
+    return _suite(spark, sf_dir, lambda r: r.breaks, damage=damaged_silver, mode="conservation")
 
 
 def q_reconcile_conservation_summary(spark, sf_dir):
-    return _suite(spark, sf_dir, mode="conservation").summary
+    return _suite(spark, sf_dir, lambda r: r.summary, mode="conservation")
 
 
 def q_break_descriptions(spark, sf_dir):
-    return _suite(spark, sf_dir, fault=True).break_descriptions()
+    return _suite(spark, sf_dir, lambda r: r.break_descriptions(), fault=True)
+
+
+def q_report_lines(spark, sf_dir):
+    """The report's whole text, a row per line."""
+    return _suite(spark, sf_dir, lambda r: r.lines().select("line"), fault=True)
+
+
+def q_report_records(spark, sf_dir):
+    """The machine-readable report, whole."""
+    return _suite(spark, sf_dir, lambda r: r.records(), fault=True)
 
 
 def q_reconcile_checks(spark, sf_dir):
     """Several checks on one pair of totals as one report (row count and amount, bronze -> silver)."""
     m = _m(spark, sf_dir)
-    aligned = C.align_slices(m.wide, "bronze", "silver")
-    return run_all([C.row_count_check(None, None, aligned=aligned), C.amount_sum_check(None, None, aligned=aligned)]).summary
+    b, s = m.totals("bronze"), m.totals("silver")
+    return run_all([C.row_count_check(b, s), C.amount_sum_check(b, s)]).summary
 
 
 QUERIES: dict[str, Query] = {
@@ -419,7 +489,7 @@ LINE_TOTALS = """lt AS (
   SELECT 'lineitem' AS layer, coalesce(CAST(CAST(o.o_orderdate AS DATE) AS VARCHAR), 'None') AS partition_key,
     count(*) AS row_count, CAST(coalesce(sum(CAST(round(l.l_extendedprice * 100) AS BIGINT)), 0) AS BIGINT) AS amount_minor_sum,
     count(DISTINCT l.l_orderkey) AS distinct_event_ids
-  FROM lineitem l JOIN orders o ON l.l_orderkey = o.o_orderkey GROUP BY 2)"""
+  FROM lineitem l LEFT JOIN orders o ON l.l_orderkey = o.o_orderkey GROUP BY 2)"""
 CONS_TARGET = """srt AS (
   SELECT partition_key, CAST(sum(row_count) AS BIGINT) AS row_count,
          CAST(sum(amount_minor_sum) AS BIGINT) AS amount_minor_sum,
@@ -427,7 +497,14 @@ CONS_TARGET = """srt AS (
   FROM (SELECT * FROM st UNION ALL SELECT * FROM rt) u GROUP BY partition_key)"""
 
 
-def _conservation_sql(measure: str) -> str:
+EXTERNAL_TOTALS = """sent AS (
+  SELECT layer, partition_key,
+    CASE WHEN substr(partition_key, 9, 2) < '05' THEN -row_count ELSE row_count END AS row_count, amount_minor_sum,
+    CASE WHEN row_count % 2 = 1 THEN row_count + 1 ELSE distinct_event_ids END AS distinct_event_ids FROM st),
+ext AS (SELECT * FROM sent UNION ALL SELECT * FROM sent WHERE partition_key LIKE '%17')"""
+
+
+def _conservation_sql(measure: str, every: bool = False) -> str:
     col = "row_count" if measure == "rows" else "amount_minor_sum"
     check = "conservation" if measure == "rows" else "conservation_amount"
     return f"""SELECT '{check}' AS "check", coalesce(s.partition_key, t.partition_key) AS partition_key,
@@ -436,7 +513,7 @@ def _conservation_sql(measure: str) -> str:
     CAST(coalesce(t.{col}, 0) - coalesce(s.{col}, 0) AS BIGINT) AS delta, 'error' AS severity,
     'rows neither in the target layer nor in quarantine' AS note
   FROM bt s FULL OUTER JOIN srt t ON s.partition_key = t.partition_key
-  WHERE coalesce(s.{col}, 0) <> coalesce(t.{col}, 0)"""
+  {"" if every else f"WHERE coalesce(s.{col}, 0) <> coalesce(t.{col}, 0)"}"""
 
 
 def _suite_evaluated(gold: str, dim: str) -> list[tuple[str, str, str, str]]:
@@ -471,29 +548,43 @@ def _suite_summary_sql(fault: bool) -> str:
     return _with(FAULTY, T_BRONZE, T_SILVER, T_GOLD, T_GOLD_FAULT) + "\nUNION ALL\n".join(parts)
 
 
+T_DAMAGED = (f"damaged AS (SELECT * FROM silver WHERE NOT ({LOST_ROW}) UNION ALL SELECT * FROM silver WHERE {COPIED_ROW}),\n"
+             f"st AS ({O.totals_sql('damaged', 'silver')})")
+
+
+def _conservation_evaluated() -> list[tuple[str, str, str, str]]:
+    """The suite in conservation mode: (evaluated SQL, check, source layer, target layer)."""
+    cons = [(f"SELECT *, coalesce(expected, 0) <> coalesce(actual, 0) AS is_break FROM ({_conservation_sql(m, every=True)}) c",
+             check, "bronze", "silver+rejected")
+            for m, check in (("rows", "conservation"), ("amount", "conservation_amount"))]
+    return cons + _suite_evaluated("gt", "dim")[2:]
+
+
+def _breaks_of(evaluated: list[tuple[str, str, str, str]]) -> str:
+    return "\nUNION ALL\n".join(f"SELECT * EXCLUDE (is_break) FROM ({sql}) e WHERE is_break" for sql, *_ in evaluated)
+
+
+def _summaries_of(evaluated: list[tuple[str, str, str, str]]) -> str:
+    return "\nUNION ALL\n".join(O.summary_sql(sql, i + 1, *rest) for i, (sql, *rest) in enumerate(evaluated))
+
+
 def _conservation_summary_sql() -> str:
-    ev = _suite_evaluated("gt", "dim")
-    cons = []
-    for measure, check in (("rows", "conservation"), ("amount", "conservation_amount")):
-        col = "row_count" if measure == "rows" else "amount_minor_sum"
-        cons.append(
-            (
-                f"""SELECT 'error' AS severity, coalesce(s.{col}, 0) <> coalesce(t.{col}, 0) AS is_break
-  FROM bt s FULL OUTER JOIN srt t ON s.partition_key = t.partition_key""",
-                check, "bronze", "silver+rejected",
-            )
-        )
-    ordered = cons + ev[2:]
-    parts = [O.summary_sql(sql, i + 1, *rest) for i, (sql, *rest) in enumerate(ordered)]
-    return _with(FAULTY, T_BRONZE, T_SILVER, T_GOLD, T_REJECTED, CONS_TARGET) + "\nUNION ALL\n".join(parts)
-
-
-def _orphans_sql(severity: str = "error", with_null: bool = False) -> str:
-    fact = "(SELECT user_id AS k FROM events" + (" UNION ALL SELECT NULL)" if with_null else ")")
-    dim = f"(SELECT c_custkey AS k FROM customer WHERE c_custkey % {THIN_CUSTOMER_MOD} <> {THIN_CUSTOMER_REM}" + (
-        " UNION ALL SELECT NULL)" if with_null else ")"
-    )
-    return O.integrity_sql(fact, dim, dimension="customer", severity=severity)
+    return _with(FAULTY, T_BRONZE, T_SILVER, T_GOLD, T_REJECTED, CONS_TARGET) + _summaries_of(_conservation_evaluated())
+
+
+def _orphans_sql(dimension: str, column: str, severity: str = "error", with_null: bool = False) -> str:
+    null = " UNION ALL SELECT NULL" if with_null else ""
+    return O.integrity_sql(f"(SELECT c_custkey AS k FROM customer{null})", f"(SELECT {column} AS k FROM {dimension}{null})",
+                           dimension=dimension, severity=severity)
+
+
+def _records_sql() -> str:
+    evaluated = _suite_evaluated("gft", "dim_fault")
+    checks = f"""SELECT 'check' AS record, *, NULL AS partition_key, NULL AS expected, NULL AS actual, NULL AS delta,
+    NULL AS severity, NULL AS note FROM ({_summaries_of(evaluated)}) c"""
+    breaks = "\nUNION ALL\n".join(f"""SELECT 'break', {i + 1}, "check", source_layer, target_layer, NULL, NULL, NULL, partition_key,
+    expected, actual, delta, severity, note FROM ({sql}) e WHERE is_break""" for i, (sql, *_) in enumerate(evaluated))
+    return f"{checks}\nUNION ALL\n{breaks}"
 
 
 _DESCRIPTION = """printf('[%s] %s @ %s: %s=%d vs %s=%d (delta %+d)%s', upper(severity), "check", partition_key,
@@ -563,9 +654,25 @@ SELECT * FROM lineitem WHERE l_orderkey IS NULL OR l_linenumber IS NULL""",
     "check_dedup_silver": _with(FAULTY, T_SILVER) + O.dedup_check_sql("st"),
     "check_ref_integrity_ok": _with(FAULTY)
     + O.integrity_sql("(SELECT account_id AS k FROM gold)", "(SELECT account_id AS k FROM dim)", dimension="dim_account"),
-    "check_ref_integrity_orphans": _orphans_sql(),
-    "check_ref_integrity_warning": _orphans_sql("warning"),
-    "check_ref_integrity_null_key": _orphans_sql(with_null=True),
+    "check_ref_integrity_lost_accounts": _with(FAULTY)
+    + O.integrity_sql("(SELECT account_id AS k FROM gold)", f"(SELECT account_id AS k FROM dim WHERE NOT ({LOST_ACCOUNT}))",
+                      dimension="dim_account"),
+    "check_ref_integrity_orphans": _orphans_sql("events", "user_id"),
+    "check_ref_integrity_warning": _orphans_sql("orders", "o_custkey", "warning"),
+    "check_ref_integrity_null_key": _orphans_sql("events", "user_id", with_null=True),
+    "check_dedup_silver_copies": _with(FAULTY, f"copies AS (SELECT * FROM silver UNION ALL SELECT * FROM silver WHERE {COPIED_ROW})",
+                                       f"st AS ({O.totals_sql('copies', 'silver')})") + O.dedup_check_sql("st"),
+    "check_conservation_lost_silver": _with(FAULTY, T_BRONZE, f"less AS (SELECT * FROM silver WHERE NOT ({LOST_ROW}))",
+                                            f"st AS ({O.totals_sql('less', 'silver')})", T_REJECTED, CONS_TARGET)
+    + _conservation_sql("rows"),
+    "check_conservation_lost_quarantine": _with(
+        FAULTY, T_BRONZE, T_SILVER, f"less AS (SELECT * FROM rejected WHERE rejection_reason <> '{LOST_REASON}')",
+        f"rt AS ({O.totals_sql('less', 'rejected')})", CONS_TARGET) + _conservation_sql("amount"),
+    "totals_invariants_broken": _with(FAULTY, T_SILVER, EXTERNAL_TOTALS)
+    + """SELECT *, CASE WHEN row_count < 0 OR distinct_event_ids < 0 THEN 'negative count' ELSE 'distinct exceeds rows' END
+      AS violation FROM ext WHERE row_count < 0 OR distinct_event_ids < 0 OR distinct_event_ids > row_count""",
+    "totals_duplicate_keys_broken": _with(FAULTY, T_SILVER, EXTERNAL_TOTALS)
+    + "SELECT layer, partition_key, count(*) AS occurrences FROM ext GROUP BY layer, partition_key HAVING count(*) > 1",
     "check_conservation": _with(FAULTY, T_BRONZE, T_SILVER, T_REJECTED, CONS_TARGET) + _conservation_sql("rows"),
     "check_conservation_amount": _with(FAULTY, T_BRONZE, T_SILVER, T_REJECTED, CONS_TARGET)
     + _conservation_sql("amount"),
@@ -573,6 +680,14 @@ SELECT * FROM lineitem WHERE l_orderkey IS NULL OR l_linenumber IS NULL""",
     "reconcile_suite_summary": _suite_summary_sql(False),
     "reconcile_suite_fault_breaks": _suite_breaks_sql(True),
     "reconcile_suite_fault_summary": _suite_summary_sql(True),
+    "reconcile_suite_damaged_summary": _with(FAULTY, T_BRONZE, T_DAMAGED, T_GOLD) + _summaries_of(_suite_evaluated("gt", "dim")),
+    "reconcile_suite_damaged_breaks": _with(FAULTY, T_BRONZE, T_DAMAGED, T_GOLD, T_REJECTED, CONS_TARGET)
+    + _breaks_of(_conservation_evaluated()),
+    "report_lines": _with(FAULTY, T_BRONZE, T_SILVER, T_GOLD_FAULT, f"b AS ({_breaks_of(_suite_evaluated('gft', 'dim_fault'))})")
+    + f"""SELECT printf('reconciliation FAILED: %d error(s), %d warning(s)', count(*) FILTER (WHERE severity = 'error'),
+    count(*) FILTER (WHERE severity = 'warning')) AS line FROM b
+  UNION ALL SELECT concat('  ', description) FROM (SELECT {_DESCRIPTION} FROM b) d""",
+    "report_records": _with(FAULTY, T_BRONZE, T_SILVER, T_GOLD_FAULT) + _records_sql(),
     "reconcile_conservation_summary": _conservation_summary_sql(),
     "break_descriptions": f"SELECT *, {_DESCRIPTION} FROM (" + _suite_breaks_sql(True) + ") b",
     "reconcile_checks": _with(FAULTY, T_BRONZE, T_SILVER)
@@ -623,6 +738,23 @@ HAND_LINES = (
     ("hand-12", _variant(12, occurred_at="2026-09-01T12:00:00")),
     ("hand-13", _variant(13, occurred_at="2026-09-01T23:30:00-05:00")),
     ("hand-14", _variant(14, event_id="EVT-123")),
+    ("hand-15", _variant(15) + _variant(16)),
+    ("hand-16", _variant(17) + " garbage"),
+    ("hand-17", _variant(18).replace('"', "'")),
+    ("hand-18", _variant(19).replace("100", "100.0000001")),
+    ("hand-19", _variant(20, amount_minor="1e2")),
+    ("hand-20", "\t" + _variant(21) + " "),
+    ("hand-21", _variant(22, amount_minor=True)),
+    ("hand-22", _variant(23, occurred_at="2026-09-01")),
+    ("hand-23", _variant(24, occurred_at=1788264000)),
+    ("hand-24", _variant(25, occurred_at="1788264000")),
+    ("hand-25", _variant(26, occurred_at="2026-09-01t12:00:00Z")),
+    ("hand-26", _variant(27) + "], [" + _variant(28)),
+    ("hand-27", _variant(29) + ', "b": 1'),
+    ("hand-28", _variant(30, amount_minor=False)),
+    ("hand-29", _variant(31, amount_minor="1_000")),
+    ("hand-30", _variant(32, occurred_at=1788264000123)),
+    ("hand-31", _variant(33, amount_minor=2**63)),
 )
 
 
@@ -655,7 +787,7 @@ def _sql_literal(text: str) -> str:
     return "'" + text.replace("'", "''") + "'"
 
 
-_ISO = r"^(\d{4}-\d{2}-\d{2})[T ](\d{2}:\d{2}(?::\d{2}(?:\.\d{1,6})?)?)(Z|z|[+-]\d{2}:?\d{2})?$"
+_ISO = r"^(\d{4}-\d{2}-\d{2})[Tt ](\d{2}:\d{2}(?::\d{2}(?:\.\d{1,6})?)?)(Z|z|[+-]\d{2}:?\d{2})?$"
 LINES_CTE = (
     CLEAN
     + """,
@@ -675,14 +807,25 @@ f AS (
   SELECT line_id, raw, doc,
     CASE WHEN json_type(doc, '$.event_id') = 'VARCHAR' THEN json_extract_string(doc, '$.event_id') END AS event_id,
     CASE WHEN json_type(doc, '$.account_id') = 'VARCHAR' THEN json_extract_string(doc, '$.account_id') END AS account_id,
-    CASE WHEN json_type(doc, '$.amount_minor') IN ('BIGINT', 'UBIGINT', 'DOUBLE', 'VARCHAR')
-         THEN TRY_CAST(json_extract_string(doc, '$.amount_minor') AS DECIMAL(38,6)) END AS amount_dec,
+    CASE json_type(doc, '$.amount_minor')
+      WHEN 'BOOLEAN' THEN CASE WHEN json_extract_string(doc, '$.amount_minor') = 'true' THEN 1 ELSE 0 END
+      WHEN 'DOUBLE' THEN CASE WHEN CAST(json_extract_string(doc, '$.amount_minor') AS DOUBLE)
+                                   = floor(CAST(json_extract_string(doc, '$.amount_minor') AS DOUBLE))
+                              THEN TRY_CAST(CAST(json_extract_string(doc, '$.amount_minor') AS DOUBLE) AS BIGINT) END
+      WHEN 'VARCHAR' THEN CASE WHEN regexp_full_match(json_extract_string(doc, '$.amount_minor'), '\\s*[+-]?\\d+(_\\d+)*(\\.0+)?\\s*')
+                               THEN TRY_CAST(regexp_replace(regexp_replace(json_extract_string(doc, '$.amount_minor'),
+                                      '(\\.0+)?\\s*$', ''), '[\\s_]', '', 'g') AS BIGINT) END
+      ELSE CASE WHEN json_type(doc, '$.amount_minor') IN ('BIGINT', 'UBIGINT')
+                THEN TRY_CAST(json_extract_string(doc, '$.amount_minor') AS BIGINT) END END AS amount_dec,
     CASE WHEN json_type(doc, '$.currency') = 'VARCHAR'
          THEN upper(regexp_replace(json_extract_string(doc, '$.currency'), '^\\s+|\\s+$', '', 'g')) END AS currency,
     CASE WHEN json_type(doc, '$.direction') = 'VARCHAR' THEN json_extract_string(doc, '$.direction') END AS direction,
     CASE WHEN json_type(doc, '$.transaction_type') = 'VARCHAR' THEN json_extract_string(doc, '$.transaction_type') END
       AS transaction_type,
-    CASE WHEN json_type(doc, '$.occurred_at') = 'VARCHAR' THEN json_extract_string(doc, '$.occurred_at') END AS ts_text,
+    CASE WHEN json_type(doc, '$.occurred_at') = 'VARCHAR' THEN regexp_replace(json_extract_string(doc, '$.occurred_at'),
+         '^(\\d{{4}}-\\d{{2}}-\\d{{2}})$', '\\1 00:00:00') END AS ts_text,
+    CASE WHEN json_type(doc, '$.occurred_at') IN ('VARCHAR', 'BIGINT', 'UBIGINT', 'DOUBLE')
+         THEN TRY_CAST(json_extract_string(doc, '$.occurred_at') AS DOUBLE) END AS ts_number,
     CASE WHEN json_type(doc, '$.source_system') = 'VARCHAR' THEN json_extract_string(doc, '$.source_system') END
       AS source_system
   FROM j
@@ -696,9 +839,10 @@ g AS (
              * (CAST(substr(regexp_replace(regexp_extract(ts_text, '{_ISO}', 3), '[^0-9]', '', 'g'), 1, 2) AS INTEGER) * 3600
               + CAST(substr(regexp_replace(regexp_extract(ts_text, '{_ISO}', 3), '[^0-9]', '', 'g'), 3, 2) AS INTEGER) * 60)
           END)
+      WHEN ts_number IS NOT NULL THEN make_timestamp(CAST(round(ts_number * CASE WHEN abs(ts_number) > 20000000000 THEN 1000
+          ELSE 1000000 END) AS BIGINT))
     END AS occurred_at,
-    amount_dec IS NOT NULL AND amount_dec = floor(amount_dec) AND amount_dec <> 0
-      AND amount_dec BETWEEN -9223372036854775808 AND 9223372036854775807 AS amount_ok
+    amount_dec IS NOT NULL AND amount_dec <> 0 AS amount_ok
   FROM f
 ),
 parsed AS (
@@ -728,56 +872,45 @@ QUERIES["dead_letter"] = q_dead_letter
 
 # ---------------------------------------------------------------- streaming
 
-def _fresh_dir(spark: SparkSession, label: str) -> str:
-    import uuid
-
-    from ledgerproof.session import scratch_path
-
-    return scratch_path(spark, f"ledgerproof-{label}-{uuid.uuid4().hex[:12]}")
-
-
-_STREAM_RUNS: dict[tuple[str, str], str] = {}
-
-
-def stream_run(spark: SparkSession, sf_dir: str) -> str:
-    """Land the event lines in two drops and ingest each with an ``availableNow`` run of one stream
-    (same checkpoint), so the second run takes only the new files. Built once per session and input."""
-    from ledgerproof.streaming.autoload import autoload_stream
-
-    key = (spark.sparkContext.applicationId, sf_dir)
-    if key in _STREAM_RUNS:
-        return _STREAM_RUNS[key]
+def stream_run(spark: SparkSession, lines: DataFrame) -> str:
+    """Land ``lines`` (line_id, raw) in two drops and ingest each with an ``availableNow`` run of one stream (same
+    checkpoint), so the second run takes only the new files. Returns the folder that holds it all."""
     root = _fresh_dir(spark, "stream")
     landing = f"{root}/landing"
-    lines = event_lines(spark, sf_dir)
-    first = lines.filter(F.col("line_id").startswith("evt-") & (F.substring_index("line_id", "-", -1).cast("bigint") % 2 == 0))
-    second = lines.subtract(first)
-    for drop in (first, second):
+    even = F.col("line_id").startswith("evt-") & (F.substring_index("line_id", "-", -1).cast("bigint") % 2 == 0)
+    for drop in (lines.filter(even), lines.filter(~even)):
         drop.select("raw").write.mode("append").text(landing)
-        q = autoload_stream(spark, landing, f"{root}/bronze", f"{root}/dead_letter", f"{root}/_checkpoint")
-        q.awaitTermination()
-    _STREAM_RUNS[key] = root
+        autoload_stream(spark, landing, f"{root}/bronze", f"{root}/dead_letter", f"{root}/_checkpoint").awaitTermination()
     return root
 
 
 def q_stream_ingest(spark, sf_dir):
-    from ledgerproof.streaming.autoload import read_stream_bronze
-
-    root = stream_run(spark, sf_dir)
-    return read_stream_bronze(spark, f"{root}/bronze").drop("ingested_at", "stream_epoch")
+    root = stream_run(spark, event_lines(spark, sf_dir))
+    return _settled(spark, read_stream_bronze(spark, f"{root}/bronze").drop("ingested_at", "stream_epoch"), root)
 
 
 def q_stream_dead_letter(spark, sf_dir):
-    from ledgerproof.streaming.autoload import read_dead_letter
+    root = stream_run(spark, event_lines(spark, sf_dir))
+    dead = read_dead_letter(spark, f"{root}/dead_letter")
+    return _settled(spark, dead.select("raw", F.array_join("failed_rules", ",").alias("failed_rules")), root)
 
-    root = stream_run(spark, sf_dir)
-    return read_dead_letter(spark, f"{root}/dead_letter").select(
-        "raw", F.array_join("failed_rules", ",").alias("failed_rules")
-    )
+
+def q_streamed_silver(spark, sf_dir):
+    """Silver of a build whose bronze is both landings: a batch of the events with an even id, and the stream's whole
+    intake. An event of both arrived first with the batch, whose stamp lies in the past."""
+    root = stream_run(spark, event_lines(spark, sf_dir))
+    layers = {**path_layers(f"{root}/layers"), "stream": f"{root}/bronze"}
+    even = event_records(table(spark, sf_dir, "events")).filter("_src % 2 = 0").drop("_src")
+    land_batch(even, batch_id=LAND_BATCH_ID, ingested_at=LAND_STAMP).write.partitionBy("event_date").parquet(layers["bronze"])
+    silver = build_medallion(spark, layers)["silver"]
+    stamped = silver.withColumn("stamped", F.col("ingested_at") >= F.lit(LAND_STAMP.replace(tzinfo=None)).cast("timestamp_ntz"))
+    out = _settled(spark, stamped.drop("ingested_at"), root)
+    return out
 
 
 QUERIES["stream_ingest"] = q_stream_ingest
 QUERIES["stream_dead_letter"] = q_stream_dead_letter
+QUERIES["streamed_silver"] = q_streamed_silver
 ORACLE["stream_ingest"] = _with(LINES_CTE) + """SELECT event_id, account_id, CAST(amount_dec AS BIGINT) AS amount_minor,
     CASE WHEN direction = 'debit' THEN -abs(CAST(amount_dec AS BIGINT)) ELSE abs(CAST(amount_dec AS BIGINT)) END
       AS signed_amount_minor,
@@ -787,71 +920,44 @@ ORACLE["stream_ingest"] = _with(LINES_CTE) + """SELECT event_id, account_id, CAS
 ORACLE["stream_dead_letter"] = _with(LINES_CTE) + "SELECT raw, failed_rules FROM parsed WHERE failed_rules <> ''"
 
 
-# ---------------------------------------------------------------- snapshots, layout
-
-# Fixed commit times of the registered snapshot history.
-SNAPSHOT_TIMES = (
-    "2024-03-01 00:00:00",
-    "2024-03-02 00:00:00",
-    "2024-03-03 00:00:00",
-    "2024-03-04 00:00:00",
-    "2024-03-05 00:00:00",
-)
-VACUUM_NOW = "2024-03-05 12:00:00"
-VACUUM_RETAIN_HOURS = 24
-TRAVEL_AS_OF = "2024-03-01 12:00:00"
-_SNAPSHOTS: dict[tuple[str, str], str] = {}
-
-
-def snapshot_table(spark: SparkSession, sf_dir: str):
-    """v0 = clean bronze with even ``_src``; v1 = all of it; v2 = OPTIMIZE (Z-order by account, time);
-    v3 = RESTORE v0; v4 = ADD COLUMNS note STRING. Built once per session and input."""
-    from ledgerproof.sources.snapshots import SnapshotTable
-
-    key = (spark.sparkContext.applicationId, sf_dir)
-    if key not in _SNAPSHOTS:
-        t = SnapshotTable(spark, _fresh_dir(spark, "snapshots"))
-        bronze = bronze_fixture(table(spark, sf_dir, "events"), faulty=False)
-        t.write(bronze.filter(F.col("_src") % 2 == 0).drop("_src"), committed_at=SNAPSHOT_TIMES[0])
-        t.write(bronze.drop("_src"), committed_at=SNAPSHOT_TIMES[1])
-        t.optimize(zorder_by=["account_id", "occurred_at"], committed_at=SNAPSHOT_TIMES[2])
-        t.restore(0, committed_at=SNAPSHOT_TIMES[3])
-        t.add_column("note", "STRING", committed_at=SNAPSHOT_TIMES[4])
-        _SNAPSHOTS[key] = t.root
-    return SnapshotTable(spark, _SNAPSHOTS[key])
-
-
-def q_history(spark, sf_dir):
-    return snapshot_table(spark, sf_dir).history().select("version", "committed_at", "operation", "row_count")
-
-
-def q_latest_version(spark, sf_dir):
-    return snapshot_table(spark, sf_dir).history(limit=1).select(F.col("version").alias("latest_version"))
+ORACLE["streamed_silver"] = _with(LINES_CTE) + f"""SELECT event_id, account_id, CAST(amount_dec AS BIGINT) AS amount_minor,
+    CASE WHEN direction = 'debit' THEN -abs(CAST(amount_dec AS BIGINT)) ELSE abs(CAST(amount_dec AS BIGINT)) END
+      AS signed_amount_minor,
+    currency, direction, transaction_type, occurred_at, CAST(occurred_at AS DATE) AS business_date, source_system,
+    CASE WHEN line_id LIKE 'evt-%' AND CAST(substr(line_id, 5) AS BIGINT) % 2 = 0 THEN '{LAND_BATCH_ID}' ELSE 'autoloader' END
+      AS batch_id, true AS stamped
+  FROM parsed WHERE failed_rules = ''"""
 
 
-def q_versions_to_vacuum(spark, sf_dir):
-    t = snapshot_table(spark, sf_dir)
-    return t.versions_to_vacuum(VACUUM_RETAIN_HOURS, now=VACUUM_NOW)
+# ---------------------------------------------------------------- layout and table maintenance
 
 
-def q_time_travel_version(spark, sf_dir):
-    return snapshot_table(spark, sf_dir).read(version=1)
+def _catalog_bronze(spark: SparkSession, sf_dir: str) -> tuple[str, str, str]:
+    """Clean bronze as a date-partitioned catalog table in a database of its own: (database, table, folder)."""
+    root, database = _fresh_dir(spark, "catalog"), f"ledgerproof_{uuid.uuid4().hex[:12]}"
+    spark.sql(f"CREATE DATABASE {database} LOCATION '{root}'")
+    name = f"{database}.bronze"
+    bronze = bronze_fixture(table(spark, sf_dir, "events"), faulty=False, keep_src=False)
+    bronze.write.format("parquet").partitionBy("event_date").saveAsTable(name)
+    return database, name, root
 
 
-def q_time_travel_timestamp(spark, sf_dir):
-    return snapshot_table(spark, sf_dir).read(as_of=TRAVEL_AS_OF)
+def _maintained(spark: SparkSession, sf_dir: str, job: Callable[[str], object]) -> DataFrame:
+    database, name, root = _catalog_bronze(spark, sf_dir)
+    try:
+        job(name)
+        return _settled(spark, spark.read.table(name))
+    finally:
+        spark.sql(f"DROP DATABASE {database} CASCADE")
+        remove_path(spark, root)
 
 
-def q_restored_version(spark, sf_dir):
-    return snapshot_table(spark, sf_dir).read(version=3)
+def q_compact_rows(spark, sf_dir):
+    return _maintained(spark, sf_dir, lambda t: compact_table(spark, t, zorder_by=["account_id", "occurred_at"]))
 
 
 def q_add_column(spark, sf_dir):
-    return snapshot_table(spark, sf_dir).read(version=4)
-
-
-def q_compact_rows(spark, sf_dir):
-    return snapshot_table(spark, sf_dir).read(version=2)
+    return _maintained(spark, sf_dir, lambda t: add_column(spark, t, "note", "STRING"))
 
 
 def q_zorder_rows(spark, sf_dir):
@@ -860,44 +966,25 @@ def q_zorder_rows(spark, sf_dir):
     return zordered(table(spark, sf_dir, "events"), ["user_id", "value"])
 
 
-def q_repartition_counts(spark, sf_dir):
-    """Rows per partition after a full rebalance by key (8) and a coalesce to 4 of that."""
-    from ledgerproof.operators.layout import compact_before_write, partition_sizes, rebalance_for_wide_operation
+def q_redistributed_rows(spark, sf_dir):
+    """Partitions and rows after silver is dealt to 8 partitions, and after those are merged to 4 without a shuffle."""
+    from ledgerproof.operators.layout import partition_sizes, redistributed
 
-    silver = _m(spark, sf_dir).silver
-    wide = rebalance_for_wide_operation(silver, 8, by="account_id")
-    return partition_sizes(wide).withColumn("layout", F.lit("repartition_8")).unionByName(
-        partition_sizes(compact_before_write(wide, 4)).withColumn("layout", F.lit("coalesce_4"))
-    )
+    wide = redistributed(_m(spark, sf_dir).silver, 8)
+    narrow = redistributed(wide, 4, shuffle=False)
+    counts = [partition_sizes(df).agg(F.count("*").alias("partitions"), F.sum("rows").alias("rows")).select(
+        F.lit(name).alias("layout"), "partitions", "rows") for name, df in (("dealt", wide), ("merged", narrow))]
+    return counts[0].unionByName(counts[1])
 
 
-for _name in (
-    "history", "latest_version", "versions_to_vacuum", "time_travel_version", "time_travel_timestamp",
-    "restored_version", "add_column", "compact_rows", "zorder_rows", "repartition_counts",
-):
+for _name in ("compact_rows", "add_column", "zorder_rows", "redistributed_rows"):
     QUERIES[_name] = globals()[f"q_{_name}"]
 
-_V0 = f"SELECT {O.BRONZE_COLS} FROM c_bronze WHERE _src % 2 = 0"
-_V1 = f"SELECT {O.BRONZE_COLS} FROM c_bronze"
-ORACLE["history"] = _with(CLEAN) + f"""SELECT * FROM (VALUES
-    (0, TIMESTAMP '{SNAPSHOT_TIMES[0]}', 'WRITE'), (1, TIMESTAMP '{SNAPSHOT_TIMES[1]}', 'WRITE'),
-    (2, TIMESTAMP '{SNAPSHOT_TIMES[2]}', 'OPTIMIZE'), (3, TIMESTAMP '{SNAPSHOT_TIMES[3]}', 'RESTORE'),
-    (4, TIMESTAMP '{SNAPSHOT_TIMES[4]}', 'ADD COLUMNS')) h(version, committed_at, operation)
-  JOIN (SELECT 0 AS v, count(*) FILTER (WHERE _src % 2 = 0) AS even_rows, count(*) AS all_rows FROM c_bronze) c ON true
-  """.replace("SELECT * FROM", "SELECT CAST(version AS BIGINT) AS version, committed_at, operation, "
-              "CAST(CASE WHEN version IN (1, 2) THEN all_rows ELSE even_rows END AS BIGINT) AS row_count FROM")
-ORACLE["latest_version"] = "SELECT CAST(4 AS BIGINT) AS latest_version"
-ORACLE["versions_to_vacuum"] = f"""SELECT CAST(version AS BIGINT) AS version, committed_at, operation,
-    CAST(data_version AS BIGINT) AS data_version, files_removable FROM (VALUES
-    (0, TIMESTAMP '{SNAPSHOT_TIMES[0]}', 'WRITE', 0, false), (1, TIMESTAMP '{SNAPSHOT_TIMES[1]}', 'WRITE', 1, true),
-    (2, TIMESTAMP '{SNAPSHOT_TIMES[2]}', 'OPTIMIZE', 2, true), (3, TIMESTAMP '{SNAPSHOT_TIMES[3]}', 'RESTORE', 0, false)
-  ) v(version, committed_at, operation, data_version, files_removable)"""
-ORACLE["time_travel_version"] = _with(CLEAN) + _V1
-ORACLE["time_travel_timestamp"] = _with(CLEAN) + _V0
-ORACLE["restored_version"] = _with(CLEAN) + _V0
-ORACLE["add_column"] = _with(CLEAN) + f"SELECT {O.BRONZE_COLS}, CAST(NULL AS VARCHAR) AS note FROM c_bronze WHERE _src % 2 = 0"
-ORACLE["compact_rows"] = _with(CLEAN) + _V1
+ORACLE["compact_rows"] = _with(CLEAN) + f"SELECT {O.BRONZE_COLS} FROM c_bronze"
+ORACLE["add_column"] = _with(CLEAN) + f"SELECT {O.BRONZE_COLS}, CAST(NULL AS VARCHAR) AS note FROM c_bronze"
 ORACLE["zorder_rows"] = "SELECT * FROM events"
+ORACLE["redistributed_rows"] = _with(FAULTY) + """SELECT layout, partitions, CAST(count(*) AS BIGINT) AS rows
+  FROM silver, (VALUES ('dealt', CAST(8 AS BIGINT)), ('merged', CAST(4 AS BIGINT))) l(layout, partitions) GROUP BY ALL"""
 
 
 # ---------------------------------------------------------------- more checks and the serving export
@@ -913,20 +1000,14 @@ def q_check_dedup_fallback(spark, sf_dir):
 
 def q_reconcile_with_source_summary(spark, sf_dir):
     """The parity suite preceded by source -> bronze checks against the producer's manifest."""
-    m = _m(spark, sf_dir, materialize=True)
     manifest = source_manifest(_m(spark, sf_dir, faulty=False).bronze)
-    return reconciliation_suite(
-        m.bronze, m.silver, m.fact, m.dim, rejected=m.rejected, source=manifest, bronze_deduped=m.deduped,
-        materialize=True,
-    ).summary
+    return _suite(spark, sf_dir, lambda r: r.summary, source=manifest)
 
 
 def q_published_account_summary(spark, sf_dir):
-    from ledgerproof.plans.jobs import publish_account_summary
-
     path = _fresh_dir(spark, "account-summary")
     publish_account_summary(_m(spark, sf_dir).dim, path)
-    return spark.read.parquet(path)
+    return _settled(spark, spark.read.parquet(path), path)
 
 
 for _name in ("check_dedup_fallback", "reconcile_with_source_summary", "published_account_summary"):
@@ -950,44 +1031,63 @@ ORACLE["reconcile_with_source_summary"] = _with(FAULTY, CLEAN, T_BRONZE, T_SILVE
 
 # ---------------------------------------------------------------- the build and control jobs on written tables
 
-_BUILDS: dict[tuple[str, str], dict[str, str]] = {}
-REBUILD_DATES = ("2024-01-03", "2024-01-17")
+# The corrections: rows of this date without a currency get one, and events of the next one are delivered again with an
+# earlier stamp and a date two days later.
+CORRECTED_DATE, MOVED_DATE, ARRIVAL_DATE = "2024-01-03", "2024-01-17", "2024-01-19"
+
 
+def q_build_job_silver(spark, sf_dir):
+    layers, root = written_layers(spark, sf_dir)
+    return _settled(spark, spark.read.parquet(layers["silver"]), root)
 
-def built_layers(spark: SparkSession, sf_dir: str) -> dict[str, str]:
-    """Land the faulty fixture as a date-partitioned bronze table, run the full build, then an
-    incremental rebuild of two dates (which must leave every layer unchanged). Once per session."""
-    from ledgerproof.plans.jobs import build_medallion
-    from ledgerproof.sources.landing import Tables
 
-    key = (spark.sparkContext.applicationId, sf_dir)
-    if key not in _BUILDS:
-        root = _fresh_dir(spark, "build")
-        paths = {k: f"{root}/{k}" for k in ("bronze", "silver", "rejected", "fact", "dim")}
-        bronze_fixture(table(spark, sf_dir, "events"), faulty=True, keep_src=False).write.partitionBy(
-            "event_date"
-        ).parquet(paths["bronze"])
-        build_medallion(spark, Tables(), is_path=True, paths=paths)
-        build_medallion(spark, Tables(), is_path=True, paths=paths, dates=list(REBUILD_DATES))
-        _BUILDS[key] = paths
-    return _BUILDS[key]
+def q_build_job_control_summary(spark, sf_dir):
+    return _suite(spark, sf_dir, lambda r: r.summary, mode="conservation")
 
 
-def q_build_job_silver(spark, sf_dir):
-    from ledgerproof.schemas import SILVER_SCHEMA
+def corrected_bronze(bronze: DataFrame) -> DataFrame:
+    mended = bronze.withColumn("currency", F.when(
+        F.col("event_date") == F.lit(CORRECTED_DATE).cast("date"), F.coalesce("currency", F.lit("GBP"))).otherwise(F.col("currency")))
+    again = bronze.filter((F.col("event_date") == F.lit(MOVED_DATE).cast("date")) & (F.col("batch_id") == "b1")).filter(
+        f"{EVENT_NUMBER} % 3 = 1")
+    two_days = F.make_dt_interval(days=F.lit(2))
+    moved = again.withColumn("ingested_at", F.col("occurred_at")).withColumn("batch_id", F.lit("b0")).withColumn(
+        "occurred_at", F.col("occurred_at") + two_days).withColumn("event_date", F.to_date("occurred_at"))
+    return mended.unionByName(moved)
 
-    return spark.read.schema(SILVER_SCHEMA).parquet(built_layers(spark, sf_dir)["silver"])
 
+def _incremental(spark, sf_dir, layer: str):
+    """``layer`` after a full build, a correction of bronze and a build of the dates on which bronze changed."""
+    layers, root = written_layers(spark, sf_dir)
+    _rewritten(spark, layers["bronze"], "event_date", corrected_bronze)
+    built = build_medallion(spark, layers, dates=[CORRECTED_DATE, ARRIVAL_DATE])
+    return _settled(spark, built[layer], root)
 
-def q_build_job_control_summary(spark, sf_dir):
-    from ledgerproof.plans.jobs import run_control
-    from ledgerproof.sources.landing import Tables
 
-    paths = built_layers(spark, sf_dir)
-    return run_control(spark, Tables(), is_path=True, paths=paths, mode="conservation").summary
+def q_incremental_silver(spark, sf_dir):
+    return _incremental(spark, sf_dir, "silver")
 
 
-QUERIES["build_job_silver"] = q_build_job_silver
-QUERIES["build_job_control_summary"] = q_build_job_control_summary
+def q_incremental_rejected(spark, sf_dir):
+    return _incremental(spark, sf_dir, "rejected")
+
+
+def q_incremental_dim(spark, sf_dir):
+    return _incremental(spark, sf_dir, "dim")
+
+
+for _name in ("build_job_silver", "build_job_control_summary", "incremental_silver", "incremental_rejected", "incremental_dim"):
+    QUERIES[_name] = globals()[f"q_{_name}"]
 ORACLE["build_job_silver"] = ORACLE["silver_valid"]
 ORACLE["build_job_control_summary"] = ORACLE["reconcile_conservation_summary"]
+_CORRECTED = f"""fixed AS (
+  SELECT * REPLACE (CASE WHEN event_date = DATE '{CORRECTED_DATE}' THEN coalesce(currency, 'GBP') ELSE currency END AS currency)
+  FROM bronze
+  UNION ALL
+  SELECT * REPLACE (occurred_at + INTERVAL 2 DAY AS occurred_at, CAST(occurred_at + INTERVAL 2 DAY AS DATE) AS event_date,
+    occurred_at AS ingested_at, 'b0' AS batch_id)
+  FROM bronze WHERE event_date = DATE '{MOVED_DATE}' AND batch_id = 'b1' AND event_id IS NOT NULL AND {EVENT_NUMBER} % 3 = 1)"""
+_AFTER = O.after_bronze_ctes("fixed", "n_")
+ORACLE["incremental_silver"] = _with(FAULTY, _CORRECTED, _AFTER) + "SELECT * FROM n_silver"
+ORACLE["incremental_rejected"] = _with(FAULTY, _CORRECTED, _AFTER) + "SELECT * FROM n_rejected"
+ORACLE["incremental_dim"] = _with(FAULTY, _CORRECTED, _AFTER) + "SELECT * FROM n_dim"

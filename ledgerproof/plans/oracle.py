@@ -60,14 +60,20 @@ def fixture_ctes(faulty: bool = True, prefix: str = "") -> str:
   UNION ALL
   SELECT {BRONZE_COLS.replace('ingested_at, batch_id', "occurred_at + INTERVAL 1 MINUTE, 'b3'")}, _src FROM {p}base WHERE _src % 101 = 5
 ),
-{p}dedup AS (
+{after_bronze_ctes(f"{p}bronze", p)}"""
+
+
+def after_bronze_ctes(bronze: str, prefix: str = "") -> str:
+    """The layers built from a bronze relation."""
+    p = prefix
+    return f"""{p}dedup AS (
   SELECT {BRONZE_COLS}, _src FROM (
     SELECT *, row_number() OVER (PARTITION BY event_id
         ORDER BY ingested_at ASC NULLS LAST, batch_id ASC NULLS LAST, _src ASC NULLS LAST) AS _rn
-    FROM {p}bronze WHERE event_id IS NOT NULL) ranked
+    FROM {bronze} WHERE event_id IS NOT NULL) ranked
   WHERE _rn = 1
   UNION ALL
-  SELECT {BRONZE_COLS}, _src FROM {p}bronze WHERE event_id IS NULL
+  SELECT {BRONZE_COLS}, _src FROM {bronze} WHERE event_id IS NULL
 ),
 {p}classified AS (
   SELECT *, CASE

@@ -19,16 +19,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ledgerproof.operators.checks import (
-    align_slices,
     amount_sum_check,
     conservation_check,
     dedup_check,
     referential_integrity_check,
     row_count_check,
 )
-from ledgerproof.operators.control_totals import assert_valid_totals, control_totals, slice_totals
+from ledgerproof.operators.control_totals import assert_valid_totals, control_totals
 from ledgerproof.operators.report import Report, run_all
-from ledgerproof.session import materialize as cut_lineage
+from ledgerproof.session import materialize_at
 
 MODES = ("parity", "conservation")
 
@@ -64,13 +63,14 @@ def layer_totals(
     return totals
 
 
-def _materialized(totals: dict[str, DataFrame]) -> dict[str, DataFrame]:
+def _materialized(totals: dict[str, DataFrame]) -> tuple[dict[str, DataFrame], str]:
+    """The stacked totals, validated and written; and their folder."""
     frames = [df.withColumn("_slot", F.lit(name)) for name, df in totals.items()]
     stacked = frames[0]
     for f in frames[1:]:
         stacked = stacked.unionByName(f)
-    stacked = cut_lineage(assert_valid_totals(stacked), "control-totals")
-    return {name: stacked.filter(F.col("_slot") == F.lit(name)).drop("_slot") for name in totals}
+    stacked, path = materialize_at(assert_valid_totals(stacked), "control-totals")
+    return {name: stacked.filter(F.col("_slot") == F.lit(name)).drop("_slot") for name in totals}, path
 
 
 def reconciliation_suite(
@@ -95,8 +95,10 @@ def reconciliation_suite(
     totals = layer_totals(
         bronze, silver, fact, rejected=rejected, source=source, bronze_deduped=bronze_deduped, date_col=date_col
     )
+    scratch = []
     if materialize:
-        totals = _materialized(totals)
+        totals, path = _materialized(totals)
+        scratch = [path]
     # materialized totals were validated once when written; otherwise each check validates its inputs
     tol = {"tolerance_minor": tolerance_minor, "relative_tolerance": relative_tolerance, "validate": not materialize}
     v = {"validate": not materialize}
@@ -124,39 +126,6 @@ def reconciliation_suite(
         dedup_check(s, **v),
         referential_integrity_check(fact, dim, key="account_id", dimension_name="dim_account"),
     ]
-    return run_all(checks)
-
-
-def sliced_reconciliation_suite(
-    wide: DataFrame,
-    fact: DataFrame,
-    dim: DataFrame,
-    *,
-    gold_slice: str = "gold",
-    mode: str = "parity",
-    tolerance_minor: int = 0,
-    relative_tolerance: float = 0.0,
-) -> Report:
-    """The same suite when bronze (deduplicated), silver, gold and quarantine are slices of one frame
-    whose totals sit side by side in ``wide`` (``sliced_totals_wide`` with slices ``bronze``, ``silver``,
-    ``rejected`` and ``gold_slice``): every per-date check is a projection of that one aggregation."""
-    if mode not in MODES:
-        raise ValueError(f"mode must be one of {MODES}")
-    tol = {"tolerance_minor": tolerance_minor, "relative_tolerance": relative_tolerance}
-    bs = align_slices(wide, "bronze", "silver")
-    sg = align_slices(wide, "silver", gold_slice)
-    if mode == "parity":
-        checks = [row_count_check(None, None, aligned=bs), amount_sum_check(None, None, aligned=bs, **tol)]
-    else:
-        landed = align_slices(wide, "bronze", ["silver", "rejected"])
-        checks = [
-            conservation_check(None, None, None, measure="rows", aligned=landed),
-            conservation_check(None, None, None, measure="amount", aligned=landed),
-        ]
-    checks += [
-        row_count_check(None, None, source_layer="silver", target_layer="gold", aligned=sg),
-        amount_sum_check(None, None, source_layer="silver", target_layer="gold", aligned=sg, **tol),
-        dedup_check(slice_totals(wide, "silver"), validate=False),
-        referential_integrity_check(fact, dim, key="account_id", dimension_name="dim_account"),
-    ]
-    return run_all(checks)
+    report = run_all(checks)
+    report.scratch = scratch
+    return report

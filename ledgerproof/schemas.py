@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from pyspark.sql.types import (
-    ArrayType,
     BooleanType,
     DateType,
     LongType,
@@ -137,25 +136,6 @@ SUMMARY_SCHEMA = StructType(
     ]
 )
 
-HISTORY_SCHEMA = StructType(
-    [
-        StructField("version", LongType()),
-        StructField("committed_at", TimestampNTZType()),
-        StructField("operation", StringType()),
-        StructField("row_count", LongType()),
-        StructField("parameters", StringType()),
-    ]
-)
-
-DEAD_LETTER_SCHEMA = StructType(
-    [
-        StructField("line_id", StringType()),
-        StructField("raw", StringType()),
-        StructField("failed_rules", ArrayType(StringType())),
-    ]
-)
-
-
 def _fields(*names: str) -> list[StructField]:
     by_name = {f.name: f for f in BRONZE_SCHEMA.fields}
     by_name["business_date"] = StructField("business_date", DateType())
@@ -174,3 +154,4 @@ DIM_ACCOUNT_SCHEMA = StructType(
         StructField("net_amount_minor", LongType()),
     ]
 )
+ACCOUNT_DAYS_SCHEMA = StructType([StructField("business_date", DateType()), *DIM_ACCOUNT_SCHEMA.fields])

@@ -33,13 +33,16 @@ def local_session(cores: int | str = "*", app_name: str = "ledgerproof", **extra
 def checkpoint_root(spark: SparkSession) -> str:
     """The shared folder the cluster names in ``spark.checkpoint.dir``.
 
-    Only when the setting is absent (a test session) is a private folder chosen and recorded.
+    Only a local session (tests) may go without: it gets a private folder, which is recorded. On a cluster a folder
+    of the driver's machine would be out of the executors' reach, so the missing setting is an error.
     """
     configured = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get(
         "spark.checkpoint.dir", None
     )
     if configured:
         return configured.rstrip("/")
+    if not spark.sparkContext.master.startswith("local"):
+        raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
     path = tempfile.mkdtemp(prefix="ledgerproof-ckpt-")
     spark.conf.set("spark.checkpoint.dir", path)
     return path

@@ -1,17 +1,21 @@
 """Raw JSON event lines -> typed valid rows + a dead letter with the names of the failed rules.
 
 A malformed or wrongly typed message is data to inspect, not an exception: each line is parsed with
-``try_parse_json`` into a VARIANT, each field is checked by one column expression, and the failed rule
-names are collected into ``array<string>``. Everything stays JVM-side (no UDF), so it runs inside
-whole-stage codegen at scan speed.
+``try_parse_json`` into a VARIANT, each field is checked by one column expression, and the failed rule names are
+collected into ``array<string>``. Everything stays JVM-side (no UDF).
+
+A line must be one JSON object and nothing else. Spark's parser stops after the first value, so the line is parsed
+twice, as the only element of an array and as the only member of an object: what could follow the value in the one
+(``]`` or another element) is an error in the other, and both parse only if nothing follows.
 
 Typing follows lax model validation:
 
 * text fields (ids, codes, enums) must be JSON strings; a number is not an id;
-* ``amount_minor`` may be a JSON number or a numeric string, and must be integral and non-zero
-  (``"100"`` and ``100.0`` pass, ``100.5`` fails), within BIGINT;
+* ``amount_minor`` may be a JSON number, a numeric string or ``true`` (1), and must be integral, exactly, and
+  non-zero (``"100"``, ``"1_000"`` and ``100.0`` pass, ``100.5``, ``100.0000001`` and ``"1e2"`` fail), within BIGINT;
 * ``currency`` is stripped of edge whitespace (tabs included) and upper-cased, then must be 3 letters;
-* ``occurred_at`` is ISO-8601 text; no zone means UTC, an offset is converted to UTC;
+* ``occurred_at`` is ISO-8601 text (no zone means UTC, an offset is converted to UTC, a date alone is its midnight),
+  or a number, as text or not, of seconds since 1970 (milliseconds beyond 2e10);
 * extra keys are ignored; a missing or NULL field fails its rule.
 """
 
@@ -44,7 +48,6 @@ RULES = (
 )
 TEXT_FIELDS = ("event_id", "account_id", "currency", "direction", "transaction_type", "occurred_at", "source_system")
 NUMERIC_TYPES = ("TINYINT", "SMALLINT", "INT", "BIGINT", "FLOAT", "DOUBLE")
-BIGINT_MIN, BIGINT_MAX = -(2**63), 2**63 - 1
 EVENT_OUTPUT = (
     "event_id", "account_id", "amount_minor", "currency", "direction", "transaction_type", "occurred_at",
     "source_system",
@@ -53,6 +56,10 @@ EVENT_OUTPUT = (
 
 ZONE_SUFFIX = r"(Z|z|[+-]\d{2}(:?\d{2})?)$"
 ISO_SHAPE = r"^\d{4}-\d{2}-\d{2}[T ]\d{2}:\d{2}"
+DATE_SHAPE = r"^\d{4}-\d{2}-\d{2}$"
+NUMBER_SHAPE = r"^[+-]?\d+(\.\d+)?$"
+WHOLE_NUMBER = r"^\s*[+-]?\d+(_\d+)*(\.0+)?\s*$"
+MILLISECONDS_FROM = 20_000_000_000
 
 
 def iso_to_utc(text: Column) -> Column:
@@ -61,60 +68,70 @@ def iso_to_utc(text: Column) -> Column:
     No zone means UTC: a ``Z`` is appended, so the native zone-aware cast never falls back to the
     session zone; the instant is then re-expressed as a UTC wall clock.
     """
-    zoned = F.when(text.rlike(ZONE_SUFFIX), text).otherwise(F.concat(text, F.lit("Z")))
-    return F.when(text.rlike(ISO_SHAPE), utc_wall_clock(zoned.try_cast("timestamp")))
+    upper = F.regexp_replace(text, r"^(\d{4}-\d{2}-\d{2})t", "$1T")
+    whole = F.when(upper.rlike(DATE_SHAPE), F.concat(upper, F.lit("T00:00:00Z"))).otherwise(upper)
+    zoned = F.when(whole.rlike(ZONE_SUFFIX), whole).otherwise(F.concat(whole, F.lit("Z")))
+    return F.when(whole.rlike(ISO_SHAPE), utc_wall_clock(zoned.try_cast("timestamp")))
 
 
-def _event_schema() -> str:
-    fields = ", ".join(f"`{f}`: VARIANT" for f in (*TEXT_FIELDS, "amount_minor"))
-    return f"STRUCT<{fields}, `_corrupt`: STRING>"
+def epoch_to_utc(number: Column) -> Column:
+    """Seconds (or milliseconds) since 1970 as ``decimal(38,9)`` -> ``timestamp_ntz`` in UTC."""
+    seconds = F.when(F.abs(number) > MILLISECONDS_FROM, number / 1000).otherwise(number)
+    micros = F.round(seconds.cast("decimal(28,9)") * 1_000_000).try_cast("bigint")
+    in_range = F.when(F.abs(seconds) < 253_402_300_800, micros)  # up to the year 9999
+    return utc_wall_clock(F.timestamp_micros(in_range))
 
 
-def parse_event_lines(lines: DataFrame, raw: str = "raw") -> DataFrame:
-    """Adds the typed event fields and ``failed_rules`` (empty array = valid) to every line.
+def _sole_object(raw: Column) -> Column:
+    """The line as VARIANT ``{"line": ...}`` if it is exactly one JSON object, else NULL."""
+    member = F.try_parse_json(F.concat(F.lit('{"line":'), raw, F.lit("}")))
+    element = F.try_parse_json(F.concat(F.lit("["), raw, F.lit("]")))
+    begins = F.regexp_replace(raw, r"^[ \t\r\n]+", "").startswith("{")
+    return F.when(begins & element.isNotNull(), member)
 
-    One ``from_json`` parses the line into a struct of per-field VARIANTs (missing keys are NULL,
-    extra keys ignored); each field's JSON type is then read with ``schema_of_variant``. The rule list
-    is built with ``concat_ws`` (which skips NULLs), so every stage stays in whole-stage codegen.
-    """
-    opts = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt"}
-    p = lines.withColumn("_p", F.from_json(F.col(raw), _event_schema(), opts))
+
+def parse_event_lines(lines: DataFrame, raw: str = "raw") -> DataFrame:
+    """Adds the typed event fields and ``failed_rules`` (empty array = valid) to every line."""
+    p = lines.withColumn("_doc", _sole_object(F.col(raw)))
     p = p.select(
         "*",
-        (F.ltrim(F.col(raw)).startswith("{") & F.col("_p._corrupt").isNull()).alias("_is_object"),
-        *[F.schema_of_variant(f"_p.{f}").alias(f"_t_{f}") for f in (*TEXT_FIELDS, "amount_minor")],
-        *[F.try_variant_get(f"_p.{f}", "$", "string").alias(f"_s_{f}") for f in TEXT_FIELDS],
-        F.try_variant_get("_p.amount_minor", "$", "decimal(38,6)").alias("_amount"),
+        *[F.schema_of_variant(F.try_variant_get("_doc", f"$.line.{f}", "variant")).alias(f"_t_{f}")
+          for f in (*TEXT_FIELDS, "amount_minor")],
+        *[F.try_variant_get("_doc", f"$.line.{f}", "string").alias(f"_s_{f}") for f in (*TEXT_FIELDS, "amount_minor")],
+        F.try_variant_get("_doc", "$.line.amount_minor", "double").alias("_double"),
     )
 
     def text(f: str) -> Column:
         return F.when(F.col(f"_t_{f}") == F.lit("STRING"), F.col(f"_s_{f}"))
 
-    amount_type, amount = F.col("_t_amount_minor"), F.col("_amount")
-    amount_ok = (
-        (amount_type.isin(*NUMERIC_TYPES) | amount_type.startswith("DECIMAL") | (amount_type == F.lit("STRING")))
-        & amount.isNotNull()
-        & (amount == F.floor(amount))
-        & amount.between(BIGINT_MIN, BIGINT_MAX)
-        & (amount != 0)
+    kind, written = F.col("_t_amount_minor"), F.col("_s_amount_minor")
+    digits = F.regexp_replace(F.regexp_replace(written, r"(\.0+)?\s*$", ""), r"[\s_]", "")
+    amount = (
+        F.when(kind == "BOOLEAN", F.when(written == "true", F.lit(1)).otherwise(F.lit(0)).cast("bigint"))
+        .when(kind.isin("FLOAT", "DOUBLE"), F.when(F.col("_double") == F.floor("_double"), F.col("_double").try_cast("bigint")))
+        .when((kind == "STRING") | kind.isin(*NUMERIC_TYPES) | kind.startswith("DECIMAL"),
+              F.when(written.rlike(WHOLE_NUMBER), digits.try_cast("decimal(38,0)").try_cast("bigint")))
     )
+    when_kind, when_text = F.col("_t_occurred_at"), F.col("_s_occurred_at")
+    number = F.when(when_kind.isin("FLOAT", "DOUBLE"), when_text.try_cast("double").try_cast("decimal(38,9)")).when(
+        when_text.rlike(NUMBER_SHAPE), when_text.try_cast("decimal(38,9)"))
+    timed = when_kind.isin("STRING", *NUMERIC_TYPES) | when_kind.startswith("DECIMAL")
     p = p.select(
         *lines.columns,
-        "_is_object",
+        F.col("_doc").isNotNull().alias("_is_object"),
         text("event_id").alias("event_id"),
         text("account_id").alias("account_id"),
-        F.coalesce(amount_ok, F.lit(False)).alias("_amount_ok"),
         amount.alias("_amount"),
         normalised_currency(text("currency")).alias("currency"),
         text("direction").alias("direction"),
         text("transaction_type").alias("transaction_type"),
-        iso_to_utc(text("occurred_at")).alias("occurred_at"),
+        F.coalesce(iso_to_utc(text("occurred_at")), F.when(timed, epoch_to_utc(number))).alias("occurred_at"),
         text("source_system").alias("source_system"),
     )
     rules = {
         "event_id": min_length("event_id", 8),
         "account_id": min_length("account_id", 1),
-        "amount_minor": F.col("_amount_ok"),
+        "amount_minor": F.col("_amount") != 0,
         "currency": F.col("currency").rlike(THREE_LETTERS),
         "direction": is_direction("direction"),
         "transaction_type": is_transaction_type("transaction_type"),
@@ -124,7 +141,7 @@ def parse_event_lines(lines: DataFrame, raw: str = "raw") -> DataFrame:
     failed = F.when(F.col("_is_object"), failed_rule_list(rules)).otherwise(F.lit("json_object"))
     verdict = F.struct(
         *[c for c in EVENT_OUTPUT if c != "amount_minor"][:2],
-        F.when(F.col("_amount_ok"), F.col("_amount").cast("bigint")).alias("amount_minor"),
+        F.when(F.col("_amount") != 0, F.col("_amount")).alias("amount_minor"),
         *[c for c in EVENT_OUTPUT if c != "amount_minor"][2:],
         F.when(failed == F.lit(""), F.array().cast("array<string>"))
         .otherwise(F.split(failed, ","))
@@ -135,8 +152,6 @@ def parse_event_lines(lines: DataFrame, raw: str = "raw") -> DataFrame:
     return p.select(*lines.columns, F.inline(F.array(verdict)))
 
 
-
-
 def valid_events(parsed: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
     return parsed.filter(F.size("failed_rules") == 0).select(*keep, *EVENT_OUTPUT)
 

@@ -8,7 +8,8 @@ with the names of the failed rules instead of failing the query.
 
 Both outputs are written by ``foreachBatch`` as a dynamic overwrite of the partition
 ``stream_epoch=<batch id>``, so a micro-batch replayed after a failure replaces its own output instead
-of appending it twice. Stream output and batch landing live in different folders; readers union them.
+of appending it twice. Stream output and batch landing live in different folders; naming the former as the
+``stream`` layer makes the build and control jobs read both as bronze.
 """
 
 from __future__ import annotations
@@ -20,17 +21,18 @@ from pyspark.sql.streaming import StreamingQuery
 from ledgerproof.functions.time import utc_wall_clock
 from ledgerproof.schemas import BRONZE_COLUMNS
 from ledgerproof.sources.json_lines import parse_event_lines
+from ledgerproof.session import materialize_at, remove_path
 from ledgerproof.sources.landing import to_bronze
 
 STREAM_BATCH_ID = "autoloader"
-# Bounds each micro-batch (``availableNow`` splits a backlog into several batches with it), so the
-# persisted batch inside ``foreachBatch`` stays a bounded slice however much has landed.
-DEFAULT_MAX_FILES_PER_TRIGGER = 1000
+# Paces the stream: a backlog is split into micro-batches of about this many bytes of new files.
+DEFAULT_MAX_BYTES_PER_TRIGGER = 1 << 30
 
 
 def _epoch_writer(bronze_dir: str, dead_letter_dir: str, batch_id: str):
     def write_epoch(batch: DataFrame, epoch_id: int) -> None:
-        parsed = parse_event_lines(batch, raw="raw").persist()  # two outputs from one bounded micro-batch
+        # parsed once, into a table both outputs read; a lost executor costs a re-read, not a parse
+        parsed, scratch = materialize_at(parse_event_lines(batch, raw="raw"), "stream-epoch")
         try:
             valid = parsed.filter(F.size("failed_rules") == 0)
             bronze = to_bronze(
@@ -54,7 +56,7 @@ def _epoch_writer(bronze_dir: str, dead_letter_dir: str, batch_id: str):
                 .parquet(dead_letter_dir)
             )
         finally:
-            parsed.unpersist()
+            remove_path(batch.sparkSession, scratch)
 
     return write_epoch
 
@@ -67,13 +69,13 @@ def autoload_stream(
     checkpoint_dir: str,
     *,
     batch_id: str = STREAM_BATCH_ID,
-    max_files_per_trigger: int | None = DEFAULT_MAX_FILES_PER_TRIGGER,
+    max_bytes_per_trigger: int | None = DEFAULT_MAX_BYTES_PER_TRIGGER,
     available_now: bool = True,
 ) -> StreamingQuery:
     """Start the ingestion stream; with ``available_now`` it takes what has landed and stops."""
     reader = spark.readStream.format("text")
-    if max_files_per_trigger:
-        reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
+    if max_bytes_per_trigger:
+        reader = reader.option("maxBytesPerTrigger", max_bytes_per_trigger)
     raw = reader.load(landing_dir).select(
         F.col("value").alias("raw"), F.col("_metadata.file_path").alias("source_file")
     )

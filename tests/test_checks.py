@@ -8,6 +8,8 @@ from pyspark.errors import PySparkException
 from ledgerproof.operators import checks as C
 from ledgerproof.operators.report import ReconciliationFailure, run_all
 
+from ledgerproof.session import path_exists
+
 from .conftest import total, totals
 
 
@@ -129,24 +131,24 @@ def test_report_raises_on_error(spark):
     report = run_all([C.row_count_check(src, tgt)])
     with pytest.raises(ReconciliationFailure, match="reconciliation FAILED: 1 error"):
         report.raise_for_status()
-    text = report.summary_text()
-    assert "[ERROR] row_count @ d: bronze=10 vs silver=9 (delta -1)" in text
+    lines = [r["line"] for r in report.lines().orderBy("step", "partition_key").collect()]
+    assert lines == ["reconciliation FAILED: 1 error(s), 0 warning(s)", "  [ERROR] row_count @ d: bronze=10 vs silver=9 (delta -1)"]
 
 
 def test_report_passes_and_lists_checks(spark):
     src = totals(spark, [total("bronze", "d", 10, 1)])
     report = run_all([C.row_count_check(src, src), C.amount_sum_check(src, src)])
     report.raise_for_status()
-    assert report.summary_text() == "reconciliation PASSED (2 checks: row_count, amount_sum)"
-    d = report.to_dict()
-    assert d["passed"] and [c["step"] for c in d["checks"]] == [1, 2]
+    st = report.status()
+    assert st["text"] == "reconciliation PASSED (2 checks: row_count, amount_sum)"
+    assert st["passed"] and [c["step"] for c in st["checks"]] == [1, 2]
 
 
 def test_warnings_only_pass_with_warnings(spark):
     fact = spark.createDataFrame([("A",), ("B",)], "account_id string")
     dim = spark.createDataFrame([("A",)], "account_id string")
     report = run_all([C.referential_integrity_check(fact, dim, severity="warning")])
-    assert report.summary_text().startswith("reconciliation PASSED with warnings: 0 error(s), 1 warning(s)")
+    assert report.status()["text"] == "reconciliation PASSED with warnings: 0 error(s), 1 warning(s)"
 
 
 def test_reconcile_runs_several_checks_on_one_pair(spark):
@@ -170,14 +172,6 @@ def test_dedup_check_rejects_duplicate_partition_keys(spark):
         C.dedup_check(dup).breaks.collect()
 
 
-def test_orphan_keys_null_safe(spark):
-    fact = spark.createDataFrame([("A",), ("B",), (None,)], "k string")
-    assert sorted(r["key"] or "-" for r in C.orphan_keys(fact, spark.createDataFrame([("A",)], "k string"), key="k")
-                  .collect()) == ["-", "B"]
-    with_null = spark.createDataFrame([("A",), (None,)], "k string")
-    assert [r["key"] for r in C.orphan_keys(fact, with_null, key="k").collect()] == ["B"]
-
-
 def test_report_write_and_run_verdict(spark, tmp_path):
     from ledgerproof.operators.report import run_summary
 
@@ -185,8 +179,34 @@ def test_report_write_and_run_verdict(spark, tmp_path):
     tgt = totals(spark, [total("silver", "d", 9, 1), total("silver", "e", 5, 1)])
     report = run_all([C.row_count_check(src, tgt), C.amount_sum_check(src, tgt)])
     report.write(str(tmp_path / "report"))
-    written = spark.read.json(str(tmp_path / "report" / "breaks")).collect()
+    written = spark.read.json(str(tmp_path / "report" / "records")).filter("record = 'break'").collect()
     assert [(r["check"], r["partition_key"], r["delta"]) for r in written] == [("row_count", "d", -1)]
     verdict = run_summary(report.summary).first()
     assert (verdict["passed"], verdict["checks"], verdict["breaks"]) == (False, 2, 1)
-    assert report.materialize().summary_text() == report.summary_text()
+    kept = report.materialize()
+    assert kept.status() == report.status()
+    (folder,) = kept.scratch
+    assert path_exists(spark, folder)
+    kept.discard()
+    assert not path_exists(spark, folder)
+
+
+def test_thousands_of_breaks_come_out_whole(spark, tmp_path):
+    fact = spark.range(3000).selectExpr("cast(id as string) as account_id")
+    dim = spark.createDataFrame([("7",)], "account_id string")
+    report = run_all([C.referential_integrity_check(fact, dim)])
+    path = str(tmp_path / "report")
+    with pytest.raises(ReconciliationFailure, match="2999 error.*all breaks are in " + path):
+        report.raise_for_status(path)
+    assert spark.read.json(f"{path}/records").filter("record = 'break'").count() == 2999
+    assert spark.read.text(f"{path}/text").count() == 3000
+    keys = [r["partition_key"] for r in report.ordered_breaks().collect()]
+    assert keys == sorted(keys) and len(set(keys)) == 2999
+
+
+def test_integrity_reads_each_side_once(spark, tmp_path):
+    for name in ("fact", "dim"):
+        spark.range(20).selectExpr("cast(id as string) as account_id").write.parquet(str(tmp_path / name))
+    fact, dim = (spark.read.parquet(str(tmp_path / n)) for n in ("fact", "dim"))
+    plan = C.referential_integrity_check(fact, dim).breaks._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan parquet") == 2
