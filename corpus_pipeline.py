@@ -14,7 +14,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from ledgerproof.llm import langid, mixing, packing, pii, simhash
-from ledgerproof.llm.common import table, written
+from ledgerproof.llm.common import table
+from ledgerproof.session import materialize_at, remove_path
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -50,8 +51,14 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over the whole ``documents`` table, each written as Parquet and read again by the next."""
-    docs = table(spark, sf_dir, "documents")
+    """All stages over the whole ``documents`` table, each written as Parquet and read again by the next.
+
+    The last stage has read its input when it returns (it writes its pieces first), so the stages' tables can go."""
+    docs, made = table(spark, sf_dir, "documents"), []
     for name, stage in STAGES[:-1]:
-        docs = written(stage(spark, docs, sf_dir), f"stage-{name}")
-    return STAGES[-1][1](spark, docs, sf_dir)
+        docs, path = materialize_at(stage(spark, docs, sf_dir), f"llm-stage-{name}")
+        made.append(path)
+    packed = STAGES[-1][1](spark, docs, sf_dir)
+    for path in made:
+        remove_path(spark, path)
+    return packed

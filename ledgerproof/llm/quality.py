@@ -135,7 +135,7 @@ def estimates(docs: DataFrame, rules=RULES, *, text: str = "text", sample_rows:
     sample = _binary(docs.sample(fraction=min(1.0, sample_rows / n), seed=seed), text)
     rows = map_batches(sample, run, "rule string, n long, rejected long, cost double").groupBy("rule").agg(
         F.sum("n").alias("n"), F.sum("rejected").alias("rejected"), F.sum("cost").alias("cost")).collect()
-    return {r.rule: (r.rejected / r.n, r.cost / r.n) for r in rows}
+    return {r.rule: (r.rejected / r.n, r.cost / r.n) for r in rows if r.n}
 
 
 def ordered(rules, found) -> list[Rule]:
