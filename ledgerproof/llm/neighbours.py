@@ -11,8 +11,8 @@ Scale: K grows with the logarithm of the rows. Equal vectors collapse to one cla
 smallest ids (enough for every query, ties go to smaller ids), found with a group limit before the shuffle; so a
 vector that a third of the rows share costs one class. Buckets are dealt into groups of a bounded number of rows,
 larger buckets are cut into several groups; a task buffers one group's rows and streams the queries past them in
-blocks, and passes on ``best`` + 1 classes per query and group. Nothing is broadcast or collected but the
-projections and two numbers (rows, largest norm). Every row is indexed; no bucket is capped.
+blocks, and passes on ``best`` + 1 classes per query and group. The table of larger buckets is broadcast while its
+bound, rows x tables / room, is under ``BROADCAST_ROWS``; only two numbers are collected (rows, largest norm). Every row is indexed; no bucket is capped.
 
 Defined results: vectors that are NULL, zero, or hold NULL or non-finite components take no part; vectors of another
 dimension are compared among themselves; a NULL id is a candidate (after all other ids) and never a query; rows
@@ -37,6 +37,7 @@ TABLES = 8
 WIDTH = 2.0
 SEED = 11
 GROUP_FLOATS = 1 << 22  # vector components buffered per group
+BROADCAST_ROWS = 500_000  # most rows (24 bytes each) of the table of large buckets that is broadcast
 _BLOCK = 128  # queries scored at a time
 
 
@@ -255,6 +256,8 @@ def nearest_classes(of: DataFrame, *, best: int = BEST, tables: int = TABLES, pr
     rows = rows.select("*", d)
     large = rows.groupBy("bucket", "d").agg(F.count("*").alias("n")).where(F.col("n") > room).select(
         "bucket", "d", F.ceil(F.col("n") / room).cast("int").alias("cuts"))
+    if n * tables / room <= BROADCAST_ROWS:  # at most so many buckets can be that large
+        large = F.broadcast(large)
     # small buckets of one table and dimension share a group, so a class is at most once in a group
     shared = F.xxhash64("d", F.pmod(F.col("bucket"), F.lit(256)), F.pmod(F.xxhash64("bucket"), F.lit(parts)))
     def own(cut):
