@@ -286,9 +286,15 @@ def digest(docs: DataFrame) -> DataFrame:
         "doc_id", F.coalesce(fold() == HELD_OUT, F.lit(False)).alias("held_out"), "lang_pred", "score")
 
 
+def least_score(languages: int) -> float:
+    """Below this a text tells next to nothing apart: a little above the score of a text that fits all alike."""
+    return min(0.5, 1 / max(1, languages) + 0.05)
+
+
 def identified(docs: DataFrame) -> DataFrame:
-    """``docs`` whose language could be told: not ``und`` and more likely than all others together."""
+    """``docs`` whose language could be told: not ``und`` and likelier than ``least_score``."""
     names = docs.columns
     pred, score = "__lang_pred", "__lang_score"
-    return predict(docs, learned_from(docs), pred=pred, score=score).where(
-        (F.col(pred) != "und") & (F.col(score) > 0.5)).select(*names)
+    model = learned_from(docs)
+    return predict(docs, model, pred=pred, score=score).where(
+        (F.col(pred) != "und") & (F.col(score) > least_score(len(model[0])))).select(*names)

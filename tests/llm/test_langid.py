@@ -78,3 +78,12 @@ def test_held_out_accuracy(spark):
         "held_out and lang is not null and lang_pred <> 'und'").collect()
     assert len(got) > 20
     assert sum(r.lang == r.lang_pred for r in got) / len(got) > 0.95
+
+
+def test_only_texts_that_fit_all_alike_are_rejected(spark):
+    rows = [(k, t, g) for k, (t, g) in enumerate([("the cat and the dog", "en"), ("der hund und die katze", "de"),
+                                                  ("le chien et le chat", "fr")] * 9)] + [(100, "漢字假名", "en"), (101, "et", None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    kept = {r.doc_id for r in langid.identified(docs).collect()}
+    assert set(range(27)) | {101} <= kept
+    assert [langid.least_score(n) for n in (0, 1, 2, 4)] == [0.5, 0.5, 0.5, 0.3]
