@@ -783,6 +783,17 @@ def q_dead_letter(spark, sf_dir):
     return dead.select("line_id", "raw", F.array_join("failed_rules", ",").alias("failed_rules"))
 
 
+def q_typed_json_read(spark, sf_dir):
+    """Event files written as JSON lines and read with the declared schema."""
+    from ledgerproof.functions.time import utc_wall_clock
+    from ledgerproof.sources.json_lines import event_json, read_events_json
+
+    path = _fresh_dir(spark, "json")
+    records = event_records(table(spark, sf_dir, "events"))
+    records.select(event_json(records)).write.text(path)
+    return _settled(spark, read_events_json(spark, path).withColumn("occurred_at", utc_wall_clock("occurred_at")), path)
+
+
 def _sql_literal(text: str) -> str:
     return "'" + text.replace("'", "''") + "'"
 
@@ -866,6 +877,9 @@ ORACLE["validate_json"] = _with(LINES_CTE) + """SELECT line_id, event_id, accoun
     CAST(amount_dec AS BIGINT) AS amount_minor, currency, direction, transaction_type, occurred_at, source_system
   FROM parsed WHERE failed_rules = ''"""
 ORACLE["dead_letter"] = _with(LINES_CTE) + "SELECT line_id, raw, failed_rules FROM parsed WHERE failed_rules <> ''"
+QUERIES["typed_json_read"] = q_typed_json_read
+ORACLE["typed_json_read"] = _with(CLEAN) + """SELECT event_id, account_id, amount_minor, currency, direction, transaction_type,
+    occurred_at, source_system FROM c_base"""
 QUERIES["validate_json"] = q_validate_json
 QUERIES["dead_letter"] = q_dead_letter
 
