@@ -40,7 +40,7 @@ from .common import bounded_batches, map_batches, written
 LENGTH = 400
 GRAM = 128
 HOT = 4096
-CHUNK = 1 << 21  # bytes parsed at a time
+CHUNK = 1 << 20  # bytes parsed at a time
 _PLACE = 24  # low bits of a gram's key that hold its place
 
 _ROOT = np.uint64(0x9E3779B97F4A7C15)
@@ -67,7 +67,7 @@ class Hashes:
     """Hashes of any substring of ``data``: sums of spread bytes times powers, shifted back to the start."""
 
     def __init__(self, data: np.ndarray, root: int = int(_ROOT)):
-        size = 1 << max(12, int(len(data)).bit_length())
+        size = 4096 if len(data) < 4096 else max(2 * CHUNK, 1 << int(len(data)).bit_length())  # few sizes, kept
         power, self.inverse = _powers(size, root)
         with np.errstate(over="ignore"):
             self.upto = np.concatenate((np.zeros(1, np.uint64), np.cumsum(_SPREAD[data] * power[:len(data)], dtype=np.uint64)))
@@ -272,7 +272,8 @@ def anchors(docs: DataFrame) -> DataFrame:
 
     rows = written(map_batches(_keyed(docs), run, "doc_id long, mark int, gram long, name long, place long"), "suffix-anchors")
     # a gram that occurs once matches nothing; most are dropped here, before anything else is shuffled
-    often = rows.groupBy("gram").agg(F.count("*").alias("n")).where("n > 1").select("gram")
+    # (written, so that the join shuffles both sides itself and Spark may split a gram that many rows share)
+    often = written(rows.groupBy("gram").agg(F.count("*").alias("n")).where("n > 1").select("gram"), "suffix-often")
     kept = written(rows.join(often, "gram", "left_semi"), "suffix-shared")
     return kept.select("doc_id", "mark", *_CLASS, _part(20, 43).alias("anchor"), _part(10, 10).cast("int").alias("nearest"),
                        _part(0, 10).cast("int").alias("farthest"))
@@ -361,7 +362,7 @@ def removed(docs: DataFrame) -> DataFrame:
     rows = anchors(docs)
     named = written(rows.groupBy(*_CLASS).agg(F.count("*").alias("n"), F.min(F.struct(
         "doc_id", "mark", "anchor", "nearest", "farthest")).alias("one")), "suffix-names")
-    several = named.groupBy("gram").agg(F.count("*").alias("names")).where("names > 1")
+    several = written(named.groupBy("gram").agg(F.count("*").alias("names")).where("names > 1"), "suffix-several")
     wanted = named.join(several, "gram", "left_semi").select(*_CLASS, "one.*")
     partly = _partly(docs, wanted, several.where(F.col("names") > HOT))
     whole = named.where("n > 1").select(*_CLASS, F.lit(None).cast("array<struct<near:int,far:int>>").alias("ranges"))
