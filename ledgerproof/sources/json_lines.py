@@ -6,7 +6,8 @@ collected into ``array<string>``. Everything stays JVM-side (no UDF).
 
 A line must be one JSON object and nothing else. Spark's parser stops after the first value, so the line is parsed
 twice, as the only element of an array and as the only member of an object: what could follow the value in the one
-(``]`` or another element) is an error in the other, and both parse only if nothing follows.
+(``]`` or another element) is an error in the other, and both parse only if nothing follows. Lines with one pair
+of braces around them, which is what events look like, need the second parse only.
 
 Typing follows lax model validation:
 
@@ -86,8 +87,10 @@ def _sole_object(raw: Column) -> Column:
     """The line as VARIANT ``{"line": ...}`` if it is exactly one JSON object, else NULL."""
     member = F.try_parse_json(F.concat(F.lit('{"line":'), raw, F.lit("}")))
     element = F.try_parse_json(F.concat(F.lit("["), raw, F.lit("]")))
-    begins = F.regexp_replace(raw, r"^[ \t\r\n]+", "").startswith("{")
-    return F.when(begins & element.isNotNull(), member)
+    # one pair of braces that encloses the line leaves no room for anything after the object: no second parse
+    plain = raw.rlike(r"^[ \t\r\n]*\{[^{}]*\}[ \t\r\n]*$")
+    begins = raw.rlike(r"^[ \t\r\n]*\{")
+    return F.when(plain, member).when(begins & element.isNotNull(), member)
 
 
 def parse_event_lines(lines: DataFrame, raw: str = "raw") -> DataFrame:
