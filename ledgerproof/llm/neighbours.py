@@ -1,18 +1,21 @@
 """Approximate nearest neighbours by multiprobe p-stable hashing, with exact reranking.
 
-Vectors are scaled by the largest norm and lifted to the unit sphere, so the largest inner product is the smallest
-distance. Each of ``TABLES`` tables cuts K random projections (Gaussian, 2-stable) into cells of ``WIDTH`` standard
+Vectors are dealt into ranges of norm, each a factor of at most 2**RANGE wide; each range is scaled by its own largest
+norm and lifted to the unit sphere, so the largest inner product is the smallest distance. A range of at most
+``WHOLE`` classes is one bucket that every query visits; others are hashed by their own number of projections. Each of ``TABLES`` tables cuts K random projections (Gaussian, 2-stable) into cells of ``WIDTH`` standard
 deviations; K cells name a bucket. A query visits its own bucket and those reached by moving some projections one
 cell up or down, in the order of estimated success: the smaller the sum of squared distances from the query to the
 crossed cell borders, the earlier, up to ``probes_for(K)`` per table. What the visited buckets hold, from all tables,
-is ranked by the exact inner product in double precision.
+is ranked by the exact inner product in double precision. A query with fewer than ``best`` + 1 classes ranked asks
+again with ``MORE`` times the probes, and is then scored against every row, in blocks.
 
-Scale: K grows with the logarithm of the rows. Equal vectors collapse to one class that keeps its ``best`` + 1
+Scale: K grows with the logarithm of a range's rows. Equal vectors collapse to one class that keeps its ``best`` + 1
 smallest ids (enough for every query, ties go to smaller ids), found with a group limit before the shuffle; so a
 vector that a third of the rows share costs one class. Buckets are dealt into groups of a bounded number of rows,
 larger buckets are cut into several groups; a task buffers one group's rows and streams the queries past them in
 blocks, and passes on ``best`` + 1 classes per query and group. The table of larger buckets is broadcast while its
-bound, rows x tables / room, is under ``BROADCAST_ROWS``; only two numbers are collected (rows, largest norm). Every row is indexed; no bucket is capped.
+bound, rows x tables / room, is under ``BROADCAST_ROWS``; only counts
+and largest norms by sixteenths of a power of two are collected. Every row is indexed; no bucket is capped.
 
 Defined results: vectors that are NULL, zero, or hold NULL or non-finite components take no part; vectors of another
 dimension are compared among themselves; a NULL id is a candidate (after all other ids) and never a query; rows
@@ -37,8 +40,13 @@ TABLES = 8
 WIDTH = 2.0
 SEED = 11
 GROUP_FLOATS = 1 << 22  # vector components buffered per group
+RANGE = 0.5  # powers of two a range of norms spans
+STEPS = 16  # norms are counted by this part of a power of two
+WHOLE = 1024
+MORE = 8
 BROADCAST_ROWS = 500_000  # most rows (24 bytes each) of the table of large buckets that is broadcast
 _BLOCK = 128  # queries scored at a time
+_BAND = np.int64(0x5851F42D4C957F2D)
 
 
 def projections_for(n: int) -> int:
@@ -83,13 +91,14 @@ class Tables:
     def places(self, lifted: np.ndarray) -> np.ndarray:
         return ((lifted @ self.a + self.b) / WIDTH).reshape(len(lifted), *self.shape)
 
-    def names(self, cells: np.ndarray) -> np.ndarray:
-        """(rows, tables): a bucket's name, 56 bits of wrapping sums of cells times odd weights, then the table's number."""
-        mixed = (cells * self.weights).sum(-1)
+    def names(self, cells: np.ndarray, band: int = 0) -> np.ndarray:
+        """(rows, tables): a bucket's name, 56 bits of wrapping sums of cells and norm range times odd weights, then
+        the table's number."""
+        mixed = (cells * self.weights).sum(-1) + np.array([band], np.int64) * _BAND
         mixed ^= mixed >> 31
         return (mixed << 8) | np.arange(self.shape[0])
 
-    def probed(self, place: np.ndarray, most: int) -> np.ndarray:
+    def probed(self, place: np.ndarray, most: int, band: int = 0) -> np.ndarray:
         """Names of the buckets one query visits, all tables."""
         cells = np.floor(place).astype(np.int64)
         out = []
@@ -99,7 +108,7 @@ class Tables:
             for i, moved in enumerate(sets):
                 for p, way in moved:
                     step[i, t, p] = way
-            out.append(self.names(cells + step)[:, t])
+            out.append(self.names(cells + step, band)[:, t])
         return np.concatenate(out)
 
 
@@ -134,42 +143,90 @@ def classes(points: DataFrame, is_query, *, best: int = BEST) -> DataFrame:
     return written(both.withColumn("class", F.monotonically_increasing_id()), "ann-classes")  # fixed by the write
 
 
-def filed(of: DataFrame, largest: float, *, tables: int, projections: int, probes: int) -> tuple[DataFrame, DataFrame]:
-    """(rows: bucket, class, first, v) and (queries: class, v, buckets) of the classes; first is the smallest id."""
-    def lifted(v: np.ndarray) -> np.ndarray:
-        scaled = v / largest
-        return np.concatenate([scaled, np.sqrt(np.maximum(0.0, 1 - (scaled**2).sum(1, keepdims=True)))], 1)
+def log_norm(v: np.ndarray) -> float:
+    """Binary logarithm of the norm, finite wherever the components are."""
+    most = np.abs(v).max()
+    return float(np.log2(most) + 0.5 * np.log2(((v / most) ** 2).sum()))
 
-    def by_dimension(batch: pa.RecordBatch):
-        vs = _vectors(batch.column("v"))
-        size = np.array([len(v) for v in vs])
-        for d in np.unique(size).tolist():
-            at = np.flatnonzero(size == d)
-            yield at, np.stack([vs[i] for i in at]), Tables(d, tables, projections)
 
+def ranges(steps: list[tuple[int, int, float]]) -> tuple[dict[int, int], list[tuple[int, float]]]:
+    """(step, rows, largest logarithm) per step of the norm -> the range of every step, and (rows, largest logarithm)
+    per range; a range begins at the largest norm left."""
+    of, out = {}, []
+    for step, n, top in sorted(steps, reverse=True):
+        if not out or out[-1][1] - step / STEPS > RANGE:
+            out.append((0, top))
+        out[-1] = (out[-1][0] + n, out[-1][1])
+        of[step] = len(out) - 1
+    return of, out
+
+
+def _step(log: float) -> int:
+    return math.floor(log * STEPS)
+
+
+def filed(of: DataFrame, step_range: dict[int, int], bands: list[tuple[int, float]], *, tables: int) -> DataFrame:
+    """rows: bucket, class, first, v of the classes; first is the smallest id. ``bands``: (projections or 0 for a range
+    that is one bucket, largest logarithm) of each range of norms."""
     def index(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for at, v, table in by_dimension(batch):
-                names = table.names(np.floor(table.places(lifted(v))).astype(np.int64))
-                part = batch.take(pa.array(np.repeat(at, tables)))
+            vs = _vectors(batch.column("v"))
+            logs = [log_norm(v) for v in vs]
+            kinds: dict[tuple[int, int], list[int]] = {}
+            for i, v in enumerate(vs):
+                kinds.setdefault((len(v), step_range[_step(logs[i])]), []).append(i)
+            for (d, band), at in kinds.items():
+                projections, top = bands[band]
+                if projections:
+                    most = np.array([[np.abs(vs[i]).max()] for i in at])
+                    scaled = np.stack([vs[i] for i in at]) / most * np.exp2(np.log2(most) - top)
+                    lifted = np.concatenate([scaled, np.sqrt(np.maximum(0.0, 1 - (scaled**2).sum(1, keepdims=True)))], 1)
+                    table = Tables(d, tables, projections)
+                    names = table.names(np.floor(table.places(lifted)).astype(np.int64), band)
+                else:
+                    names = np.full((len(at), 1), _whole(band))
+                part = batch.take(pa.array(np.repeat(at, names.shape[1])))
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(names.ravel()), part.column("class"), part.column("first"), part.column("v")],
                     names=["bucket", "class", "first", "v"])
 
+    return map_batches(_slim(of), index, "bucket long, class long, first long, v binary")
+
+
+def _whole(band: int) -> int:
+    """The name of the bucket that holds a whole range (its table's number is one that no table has)."""
+    return band << 8 | 255
+
+
+def _slim(of: DataFrame) -> DataFrame:
+    return of.select("class", F.coalesce(F.get("ids", F.lit(0)), F.lit(2**63 - 1)).alias("first"), "v")
+
+
+def asking(queries: DataFrame, bands: list[tuple[int, float]], *, tables: int, probes: int | None, times: int) -> DataFrame:
+    """class, v, buckets: what the queries (class, v) visit, all ranges of norms."""
     def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        whole = np.array([_whole(b) for b, (projections, _) in enumerate(bands) if not projections], np.int64)
         for batch in batches:
-            for at, v, table in by_dimension(batch):
-                unit = v / np.sqrt((v**2).sum(1, keepdims=True))
-                places = table.places(np.concatenate([unit, np.zeros((len(v), 1))], 1))
+            vs = _vectors(batch.column("v"))
+            size = np.array([len(v) for v in vs])
+            for d in np.unique(size).tolist():
+                at = np.flatnonzero(size == d)
+                v = np.stack([vs[i] for i in at])
+                v = v / np.abs(v).max(1, keepdims=True)
+                unit = np.concatenate([v / np.sqrt((v**2).sum(1, keepdims=True)), np.zeros((len(v), 1))], 1)
+                visits = [[whole] for _ in at]
+                for band, (projections, _) in enumerate(bands):
+                    if projections:
+                        table = Tables(d, tables, projections)
+                        for visit, place in zip(visits, table.places(unit)):
+                            visit.append(table.probed(place, times * (probes or probes_for(projections)), band))
                 part = batch.take(pa.array(at))
                 yield pa.RecordBatch.from_arrays(
                     [part.column("class"), part.column("v"),
-                     pa.array([table.probed(p, probes) for p in places], pa.list_(pa.int64()))],
+                     pa.array([np.concatenate(visit) for visit in visits], pa.list_(pa.int64()))],
                     names=["class", "v", "buckets"])
 
-    slim = of.select("class", F.coalesce(F.get("ids", F.lit(0)), F.lit(2**63 - 1)).alias("first"), "v")
-    return (map_batches(slim, index, "bucket long, class long, first long, v binary"),
-            map_batches(of.where("asked").select("class", "v"), ask, "class long, v binary, buckets array<long>"))
+    return map_batches(queries, ask, "class long, v binary, buckets array<long>")
 
 
 def _score(batches: Iterator[pa.RecordBatch], best: int) -> Iterator[pa.RecordBatch]:
@@ -235,21 +292,8 @@ def _score(batches: Iterator[pa.RecordBatch], best: int) -> Iterator[pa.RecordBa
         yield out
 
 
-def nearest_classes(of: DataFrame, *, best: int = BEST, tables: int = TABLES, projections: int | None = None,
-                    probes: int | None = None) -> DataFrame:
-    """query, class, score: per asked class its ``best`` + 1 nearest classes among those visited."""
-    def norms(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            vs = _vectors(b.column(0))
-            yield pa.RecordBatch.from_arrays([pa.array([float(np.sqrt((v**2).sum())) for v in vs], pa.float64()),
-                                              pa.array([len(v) for v in vs], pa.int32())], names=["norm", "d"])
-
-    n, largest, widest = map_batches(of.select("v"), norms, "norm double, d int").agg(
-        F.count("*"), F.max("norm"), F.max("d")).first()
-    projections = projections or projections_for(n)
-    rows, queries = filed(of, largest or 1.0, tables=tables, projections=projections,
-                          probes=probes or probes_for(projections))
-    rows, queries = written(rows, "ann-index"), written(queries, "ann-probes")
+def visited(rows: DataFrame, queries: DataFrame, *, n: int, widest: int, tables: int, best: int) -> DataFrame:
+    """query, class, score: each query's ``best`` + 1 nearest classes in the buckets it visits."""
     room = max(256, GROUP_FLOATS // (widest or 1))
     parts = max(1, math.ceil(n / room))
     d = F.octet_length("v").alias("d")
@@ -275,13 +319,48 @@ def nearest_classes(of: DataFrame, *, best: int = BEST, tables: int = TABLES, pr
     both = rows.select("g", F.lit(False).alias("is_query"), "bucket", "class", "first", "v",
                        F.lit(None).cast("array<long>").alias("buckets")).union(
         asked.select("g", F.lit(True), F.lit(None).cast("long"), "class", F.lit(None).cast("long"), "v", "buckets"))
-    bounded_batches(of.sparkSession)
+    bounded_batches(rows.sparkSession)
     near = both.repartition("g").sortWithinPartitions("g", "is_query").mapInArrow(
         lambda batches: _score(batches, best), "query long, class long, first long, score double").distinct()
     order = Window.partitionBy("query").orderBy(F.col("score").desc(), "first", "class")
     return near.withColumn("_n", F.row_number().over(order)).where(F.col("_n") <= best + 1).select("query", "class", "score")
 
 
+def nearest_classes(of: DataFrame, *, best: int = BEST, tables: int = TABLES, projections: int | None = None,
+                    probes: int | None = None) -> DataFrame:
+    """query, class, score: per asked class its ``best`` + 1 nearest classes among those visited, all if fewer exist."""
+    def norms(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            vs = _vectors(b.column(0))
+            logs = [log_norm(v) for v in vs]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([_step(x) for x in logs], pa.int32()), pa.array(logs, pa.float64()),
+                 pa.array([len(v) for v in vs], pa.int32())], names=["step", "log", "d"])
+
+    steps = map_batches(of.select("v"), norms, "step int, log double, d int").groupBy("step").agg(
+        F.count("*").alias("n"), F.max("log").alias("top"), F.max("d").alias("d")).collect()  # bounded by the exponents
+    n, widest = sum(r.n for r in steps), max((r.d for r in steps), default=1)
+    step_range, sizes = ranges([(r.step, r.n, r.top) for r in steps])
+    bands = [(projections or (projections_for(m) if m > WHOLE else 0), top) for m, top in sizes]
+    rows = written(filed(of, step_range, bands, tables=tables), "ann-index")
+    queries, done = of.where("asked").select("class", "v"), None
+    how = {"n": n, "widest": widest, "tables": tables, "best": best}
+    for times in (1, MORE, None):  # None: every row
+        if times:
+            asked = written(asking(queries, bands, tables=tables, probes=probes, times=times), "ann-probes")
+        else:
+            rows = _slim(of).select(F.lit(0).cast("long").alias("bucket"), "class", "first", "v")
+            asked = queries.withColumn("buckets", F.array(F.lit(0).cast("long")))
+        near = written(visited(rows, asked, **how), "ann-near")
+        full = near.groupBy("query").agg(F.count("*").alias("n")).where(F.col("n") > best).select("query")
+        short = queries.join(full, queries["class"] == full["query"], "left_anti")
+        if times is None or short.isEmpty():
+            return near if done is None else done.union(near)
+        kept = near.join(full, "query", "left_semi")
+        done = kept if done is None else done.union(kept)
+        queries = written(short, "ann-short")
+
+
 def search(vectors: DataFrame, is_query, *, id: str = "vec_id", vector: str = "embedding", best: int = BEST,
            **how) -> DataFrame:
     """query_id, rank (from 1), the neighbour's id, score: for every row that ``is_query`` (a condition on ``id``)."""

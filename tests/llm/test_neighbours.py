@@ -77,3 +77,46 @@ def test_recall_on_the_table(spark):
             hits, total = hits + len(want & got[i]), total + len(want)
     assert hits / total >= 0.9
     assert neighbours.digest(vectors.limit(0)).count() == 0
+
+
+def found_by(spark, rows, **how):
+    vectors = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    got = {}
+    for r in neighbours.search(vectors, F.col("id") % 20 == 0, **how).collect():
+        got.setdefault(r.query_id, set()).add(r.vec_id)
+    return got
+
+
+@pytest.mark.parametrize("odd", ["one long", "lognormal"])
+def test_recall_on_mixed_norms(spark, odd, monkeypatch):
+    monkeypatch.setattr(neighbours, "WHOLE", 64)
+    rng = np.random.default_rng(7)
+    x = rng.normal(size=(4000, 32))
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    x *= np.where(np.arange(4000) == 1, 100.0, 1.0)[:, None] if odd == "one long" else rng.lognormal(size=(4000, 1))
+    got = found_by(spark, [(k, v.tolist()) for k, v in enumerate(x)])
+    hits = total = 0
+    for k in range(0, 4000, 20):
+        scores = x @ x[k]
+        scores[k] = -np.inf
+        hits, total = hits + len(set(np.argsort(-scores)[:20].tolist()) & got.get(k, set())), total + 20
+    assert hits / total >= 0.998 and min(map(len, got.values())) == 20
+
+
+def test_short_queries_are_filled_up_exactly(spark):
+    rng = np.random.default_rng(9)
+    x = rng.normal(size=(400, 24))
+    got = found_by(spark, [(k, v.tolist()) for k, v in enumerate(x)] + [(1000, [1.0, 2.0]), (1001, [2.0, 1.0])],
+                   projections=30, probes=1, tables=1)
+    for k in range(0, 400, 20):
+        scores = x @ x[k]
+        scores[k] = -np.inf
+        assert got[k] == set(np.argsort(-scores)[:20].tolist())
+    assert got[1000] == {1001}
+
+
+def test_ranges_begin_at_the_largest_norm_left():
+    of, bands = neighbours.ranges([(-1, 500, -1e-9), (0, 499, 1e-9), (106, 1, 6.64), (-7, 3, -0.4), (-9, 2, -0.55)])
+    assert bands == [(1, 6.64), (1002, 1e-9), (2, -0.55)]
+    assert of == {106: 0, 0: 1, -1: 1, -7: 1, -9: 2}
+    assert np.isfinite([neighbours.log_norm(np.array(v)) for v in ([1e308, 1e308], [5e-324, 0.0])]).all()
