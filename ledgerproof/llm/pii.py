@@ -4,16 +4,16 @@ Base kinds (email, ip, card, phone) are found leftmost and non-overlapping per k
 most 255, Luhn, digit counts). Information-theoretic sanitisation follows: each found identifier is a protected
 entity and the ``WINDOW`` words on either side are its terms. Over the whole corpus
 
-    n(t, e) = distinct windows of e that hold t,  n(t) = documents that hold t,  n(e) = documents that hold e,
+    n(t, e) = texts with a window of e that holds t,  n(t) = texts that hold t,  n(e) = texts that hold e,
 
-and a term discloses an entity if it was seen with it in at least ``SUPPORT`` distinct windows,
+all over distinct texts, and a term discloses an entity if it was seen with it in at least ``SUPPORT`` distinct windows,
 P(e | t) = n(t, e) / n(t) reaches ``SHARE`` and the pointwise information log2(P(e | t) / P(e)) reaches ``BITS``.
 Such a term's places beside that entity become spans of kind ``term``; ``sanitised`` generalises base spans to
-their kind and removes disclosing terms behind a neutral mark. Copies of a passage are one window, so a text
-copied a thousand times is no evidence.
+their kind and removes disclosing terms behind a neutral mark. Copies of a passage are one window and copies of a
+text count once, so a text copied a thousand times is neither evidence nor weighs against it.
 
-Scale: one pass finds identifiers and windows (slim rows), one pass counts the words of each task's documents
-before the shuffle sums them; everything else is joins and sums of slim rows, none broadcast by hand. A frequent
+Scale: one pass finds identifiers and windows (slim rows), one pass counts the words of each task's distinct texts
+(brought together by hash, each task passes a text on once) before the shuffle sums them; everything else is joins and sums of slim rows, none broadcast by hand. A frequent
 entity or term is a sum that partial aggregation shrinks first. Matching is linear in the text's length.
 
 Defined results: NULL text is empty text without spans; repeated rows get the same spans; an empty table gives no
@@ -116,8 +116,12 @@ def _key() -> Column:
                           F.coalesce(F.col("text"), F.lit(""))).cast("binary"))
 
 
+def _text_key(text: str) -> Column:
+    return F.md5(F.coalesce(F.col(text).cast("string"), F.lit("")).cast("binary"))
+
+
 def found(docs: DataFrame) -> DataFrame:
-    """One slim row per document, written: key, doc_id, counts, base spans and the entities' windows."""
+    """One slim row per document, written: key, text_key (equal for copies), doc_id, counts, base spans and the entities' windows."""
     slim = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     near = pa.list_(pa.struct([("entity", pa.int64()), ("term", pa.int64()), ("window", pa.int64()),
                                ("start", pa.int64()), ("end", pa.int64())]))
@@ -131,19 +135,19 @@ def found(docs: DataFrame) -> DataFrame:
                 around.append(windows(text, spans[-1]))
             listed = [",".join([f"{k}:{a}:{b}" for k, a, b in s]) for s in spans]
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), batch.column(2),
+                [batch.column(0), batch.column(2), batch.column(3),
                  *[pa.array([sum(k == kind for k, _, _ in s) for s in spans], pa.int64()) for kind in KINDS],
                  pa.array([hashlib.sha256(x.encode()).hexdigest() for x in listed]), pa.array(listed),
                  pa.array(around, near)],
-                names=["doc_id", "key", *[f"n_{k}" for k in KINDS], "base_sha256", "base", "near"])
+                names=["doc_id", "key", "text_key", *[f"n_{k}" for k in KINDS], "base_sha256", "base", "near"])
 
-    schema = ("doc_id long, key string, n_email long, n_ip long, n_card long, n_phone long, base_sha256 string, "
+    schema = ("doc_id long, key string, text_key string, n_email long, n_ip long, n_card long, n_phone long, base_sha256 string, "
               "base string, near array<struct<entity:long,term:long,window:long,start:long,end:long>>")
-    return written(map_batches(slim.withColumn("key", _key()), run, schema), "pii-found")
+    return written(map_batches(slim.withColumn("key", _key()).withColumn("text_key", _text_key("text")), run, schema), "pii-found")
 
 
 def term_counts(docs: DataFrame) -> DataFrame:
-    """term (hash), documents: in how many documents each word occurs; every word of every text counts."""
+    """term (hash), documents: in how many distinct texts each word occurs; every word of every text counts."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import xxhash
 
@@ -165,17 +169,20 @@ def term_counts(docs: DataFrame) -> DataFrame:
         yield passed_on()
 
     texts = docs.select(F.col("text").cast("string").alias("text")).where("text is not null")
+    texts = texts.withColumn("text_key", _text_key("text")).groupBy("text_key").agg(F.first("text").alias("text")).select("text")
     return map_batches(texts, run, "term long, n long").groupBy("term").agg(F.sum("n").alias("documents"))
 
 
 def disclosing(rows: DataFrame, docs: DataFrame, *, support: int = SUPPORT, share: float = SHARE,
                bits: float = BITS) -> DataFrame:
     """(entity, term) pairs in which the term gives the entity away."""
-    seen = rows.select("key", F.explode("near").alias("w")).select("key", "w.entity", "w.term", "w.window")
-    pairs = seen.select("entity", "term", "window").distinct().groupBy("entity", "term").agg(
-        F.count("*").alias("n")).where(F.col("n") >= support)
-    entities = seen.select("entity", "key").distinct().groupBy("entity").agg(F.count("*").alias("n_e"))
-    total = max(1, rows.count())
+    seen = rows.select("text_key", F.explode("near").alias("w")).select("text_key", "w.entity", "w.term", "w.window")
+    backed = seen.select("entity", "term", "window").distinct().groupBy("entity", "term").agg(
+        F.count("*").alias("_windows")).where(F.col("_windows") >= support).select("entity", "term")
+    pairs = seen.select("entity", "term", "text_key").distinct().groupBy("entity", "term").agg(
+        F.count("*").alias("n")).join(backed, ["entity", "term"])
+    entities = seen.select("entity", "text_key").distinct().groupBy("entity").agg(F.count("*").alias("n_e"))
+    total = max(1, rows.select("text_key").distinct().count())
     rated = pairs.join(term_counts(docs), "term").join(entities, "entity")
     p = F.col("n") / F.greatest("documents", "n")
     return rated.where((p >= share) & (F.log2(p / (F.col("n_e") / F.lit(total))) >= bits)).select("entity", "term")

@@ -90,3 +90,12 @@ def test_sanitised_rows(spark):
     assert rows[0].n_chars == len(rows[0].text) and rows[None].text == "[EMAIL]"
     assert rows[64].text is None and rows[66].text == "Zorblatt alone" and rows[10].text == corpus()[10]
     assert pii.digest(docs.limit(0)).count() == 0 == pii.sanitised(docs.limit(0)).count()
+
+
+def test_copies_do_not_weigh_against_a_pair(spark):
+    texts = corpus()
+    copied = texts[:3] + [texts[0]] * 100 + texts[4:]
+    docs = spark.createDataFrame(list(enumerate(copied)), "doc_id long, text string")
+    pairs = {r.term for r in pii.disclosing(pii.found(docs), docs).collect()}
+    assert pii._hash("zorblatt") in pairs and pii._hash("reached") in pairs
+    assert {r.term: r.documents for r in pii.term_counts(docs).collect()}[pii._hash("zorblatt")] == 4
