@@ -8,13 +8,15 @@ entity and the ``WINDOW`` words on either side are its terms. Over the whole cor
 
 all over distinct texts, and a term discloses an entity if it was seen with it in at least ``SUPPORT`` distinct windows,
 P(e | t) = n(t, e) / n(t) reaches ``SHARE`` and the pointwise information log2(P(e | t) / P(e)) reaches ``BITS``.
-Such a term's places beside that entity become spans of kind ``term``; ``sanitised`` generalises base spans to
+Such a term's places beside that entity become spans of kind ``term``, or with ``everywhere`` (as the registered query
+and the pipeline ask) all its places in all texts, with or without the entity; ``sanitised`` generalises base spans to
 their kind and removes disclosing terms behind a neutral mark. Copies of a passage are one window and copies of a
 text count once, so a text copied a thousand times is neither evidence nor weighs against it.
 
 Scale: one pass finds identifiers and windows (slim rows), one pass counts the words of each task's distinct texts
-(brought together by hash, each task passes a text on once) before the shuffle sums them; everything else is joins and sums of slim rows, none broadcast by hand. A frequent
-entity or term is a sum that partial aggregation shrinks first. Matching is linear in the text's length.
+(only copied texts are brought together, by hash) before the shuffle sums them; everything else is joins and sums of slim rows, none broadcast by hand. A frequent
+entity or term is a sum that partial aggregation shrinks first. ``everywhere`` reads the texts once more: words whose
+hash meets a bitmap of the disclosing terms, of ``_SLOTS`` bits whatever their number, are joined to them exactly. Matching is linear in the text's length.
 
 Defined results: NULL text is empty text without spans; repeated rows get the same spans; an empty table gives no
 rows; other columns are ignored (``digest``) or passed on (``sanitised``).
@@ -39,6 +41,7 @@ REACH = 240  # code points searched for the window's words; a word that reaches
 SUPPORT = 3
 SHARE = 0.5
 BITS = 3.0
+_SLOTS = 1 << 20
 _FLUSH = 400_000  # distinct words a task counts before it passes them on
 
 _LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
@@ -169,7 +172,10 @@ def term_counts(docs: DataFrame) -> DataFrame:
         yield passed_on()
 
     texts = docs.select(F.col("text").cast("string").alias("text")).where("text is not null")
-    texts = texts.withColumn("text_key", _text_key("text")).groupBy("text_key").agg(F.first("text").alias("text")).select("text")
+    texts = texts.withColumn("text_key", _text_key("text"))
+    copied = written(texts.groupBy("text_key").agg(F.count("*").alias("n")).where("n > 1").select("text_key"), "pii-copied")
+    one_each = texts.join(copied, "text_key", "left_semi").groupBy("text_key").agg(F.first("text").alias("text"))
+    texts = texts.join(copied, "text_key", "left_anti").select("text").union(one_each.select("text"))
     return map_batches(texts, run, "term long, n long").groupBy("term").agg(F.sum("n").alias("documents"))
 
 
@@ -196,9 +202,65 @@ def term_spans(rows: DataFrame, pairs: DataFrame) -> DataFrame:
     return places.groupBy("key").agg(F.array_sort(F.collect_list(F.struct("start", "end"))).alias("terms"))
 
 
-def digest(docs: DataFrame) -> DataFrame:
+def all_places(docs: DataFrame, pairs: DataFrame) -> DataFrame:
+    """key, terms: every place of a disclosing term in any text, but for places inside base spans, sorted; only for
+    documents that have any."""
+    terms = written(pairs.select("term").distinct(), "pii-terms")
+    slots = np.zeros(_SLOTS, bool)
+    taken = terms.select(F.pmod("term", F.lit(_SLOTS)).alias("slot")).distinct().toArrow().column(0)  # _SLOTS at most
+    slots[taken.to_numpy()] = True
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known: dict[str, int | None] = {}
+
+        def term_of(word: str) -> int | None:
+            if word not in known:
+                if len(known) > _FLUSH:
+                    known.clear()
+                term = _hash(word.lower())
+                known[word] = term if slots[term % _SLOTS] else None
+            return known[word]
+
+        for batch in batches:
+            out: list[tuple[str, int, int, int]] = []
+            for key, text in zip(batch.column(0).to_pylist(), batch.column(1)):
+                text = text.as_py()
+                hits = {w: t for w in set(_TERM.findall(text)) if (t := term_of(w)) is not None}
+                if not hits:
+                    continue
+                # one pass over both, sorted
+                spans, at, end = sorted((a, b) for _, a, b in base_spans(text)), 0, 0
+                for m in _TERM.finditer(text):
+                    if m.group() in hits:
+                        while at < len(spans) and spans[at][0] < m.end():
+                            end, at = max(end, spans[at][1]), at + 1
+                        if end <= m.start():
+                            out.append((key, hits[m.group()], *m.span()))
+                if len(out) > _FLUSH:
+                    yield placed(out)
+                    out = []
+            yield placed(out)
+
+    def placed(out: list) -> pa.RecordBatch:
+        columns = list(zip(*out)) or [[], [], [], []]
+        return pa.RecordBatch.from_arrays([pa.array(columns[0], pa.string()), *[pa.array(c, pa.int64()) for c in columns[1:]]],
+                                          names=["key", "term", "start", "end"])
+
+    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    places = map_batches(texts.where("text is not null").select(_key().alias("key"), "text"), run,
+                         "key string, term long, start long, end long")
+    places = places.join(terms, "term", "left_semi").select("key", "start", "end").distinct()
+    return places.groupBy("key").agg(F.array_sort(F.collect_list(F.struct("start", "end"))).alias("terms"))
+
+
+def _marked(docs: DataFrame, rows: DataFrame, everywhere: bool) -> DataFrame:
+    pairs = written(disclosing(rows, docs), "pii-pairs")
+    return all_places(docs, pairs) if everywhere else term_spans(rows, pairs)
+
+
+def digest(docs: DataFrame, *, everywhere: bool = False) -> DataFrame:
     rows = found(docs)
-    terms = term_spans(rows, written(disclosing(rows, docs), "pii-pairs")).withColumnRenamed("key", "_k")
+    terms = _marked(docs, rows, everywhere).withColumnRenamed("key", "_k")
     extra = F.transform("terms", lambda t: F.concat(F.lit("term:"), t["start"], F.lit(":"), t["end"]))
     spans = F.array_join(F.filter(F.concat(F.array("base"), F.coalesce(extra, F.array().cast("array<string>"))),
                                   lambda x: x != ""), ",")
@@ -216,11 +278,11 @@ def redact(text: str, spans: list[tuple[str, int, int]]) -> str:
     return "".join([*out, text[at:]])
 
 
-def sanitised(docs: DataFrame) -> DataFrame:
+def sanitised(docs: DataFrame, *, everywhere: bool = False) -> DataFrame:
     """``docs`` with identifiers and disclosing terms replaced in ``text`` (and ``n_chars``, where there is one, renewed)."""
     names = docs.columns
     rows = found(docs)
-    terms = term_spans(rows, written(disclosing(rows, docs), "pii-pairs")).select(
+    terms = _marked(docs, rows, everywhere).select(
         F.col("key").alias("__pii_key"), F.col("terms").alias("__pii_terms"))
     keyed = docs.withColumn("__pii_key", _key()).join(terms, "__pii_key", "left").select(*names, "__pii_terms")
     at, chars = names.index("text"), names.index("n_chars") if "n_chars" in names else None

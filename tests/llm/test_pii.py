@@ -99,3 +99,25 @@ def test_copies_do_not_weigh_against_a_pair(spark):
     pairs = {r.term for r in pii.disclosing(pii.found(docs), docs).collect()}
     assert pii._hash("zorblatt") in pairs and pii._hash("reached") in pairs
     assert {r.term: r.documents for r in pii.term_counts(docs).collect()}[pii._hash("zorblatt")] == 4
+
+
+def test_disclosing_terms_go_everywhere(spark):
+    far = "Zorblatt " + "and so on " * 60 + "ann@x.example.com"
+    texts = corpus() + [far, "ZORBLATT@y.zz is no place, Zorblatt is"]
+    texts += [f"filler {'abcdefghij'[k % 10]}{'klmnopqrst'[k // 10]}word" for k in range(100)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    out = {r.doc_id: r.text for r in pii.sanitised(docs, everywhere=True).collect()}
+    assert not [t for t in out.values() if "Zorblatt" in (t or "")]
+    assert out[66] == "[TERM] alone" and out[68].startswith("[TERM] and so on") and out[69] == "[EMAIL] is no place, [TERM] is"
+    spans = {r.doc_id: r.spans for r in pii.digest(docs, everywhere=True).collect()}
+    assert spans[66] == "term:0:8" and spans[69].count("term") == 1 and len(spans) == len(texts)
+
+
+def test_query_and_pipeline_mark_everywhere(spark, tmp_path):
+    import corpus_pipeline
+    from ledgerproof.llm.registry import QUERIES
+
+    docs = spark.createDataFrame([(k, t, len(t or "")) for k, t in enumerate(corpus())], "doc_id long, text string, n_chars long")
+    docs.write.parquet(f"{tmp_path}/documents.parquet")
+    assert {r.doc_id: r.spans for r in QUERIES["op5_pii_disclosure"](spark, str(tmp_path)).collect()}[66] == "term:0:8"
+    assert {r.doc_id: r.text for r in corpus_pipeline.personal_data(spark, docs, "").collect()}[66] == "[TERM] alone"
