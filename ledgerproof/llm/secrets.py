@@ -54,10 +54,21 @@ def candidates(docs: DataFrame, *, path: str = "source") -> DataFrame:
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"),
                        F.col(path).cast("string").alias("path"), F.monotonically_increasing_id().alias("row"))
     found = rows.select("row", "doc_id", "path", pieces.alias("p"), values.alias("v")).where(F.size("v") > 0)
+    reach = CONTEXT // SHORTEST  # so many neighbouring runs fill the context
+
+    def part(column: str, i: Column, first: bool) -> Column:
+        return F.coalesce(F.substring(F.get(column, i), 1 if first else -CONTEXT, CONTEXT), F.lit(""))
+
+    def left(i: Column) -> Column:
+        runs = [x for k in range(reach, 0, -1) for x in (part("v", i - k, False), part("p", i - k + 1, False))]
+        return F.substring(F.concat(part("p", i - reach, False), *runs), -CONTEXT, CONTEXT)
+
+    def right(i: Column) -> Column:
+        runs = [x for k in range(1, reach + 1) for x in (part("v", i + k, True), part("p", i + k + 1, True))]
+        return F.substring(F.concat(part("p", i + 1, True), *runs), 1, CONTEXT)
+
     slim = F.transform("v", lambda value, i: F.struct(
-        value.alias("value"), F.length(F.get("p", i)).alias("gap"),
-        F.substring(F.get("p", i), -CONTEXT, CONTEXT).alias("left"),
-        F.substring(F.get("p", i + 1), 1, CONTEXT).alias("right")))
+        value.alias("value"), F.length(F.get("p", i)).alias("gap"), left(i).alias("left"), right(i).alias("right")))
     each = found.select("row", "doc_id", "path", F.posexplode(slim).alias("k", "c")).select(
         "row", "doc_id", "path", "k", "c.value", "c.gap", "c.left", "c.right")
     upto = Window.partitionBy("row").orderBy("k").rowsBetween(Window.unboundedPreceding, 0)

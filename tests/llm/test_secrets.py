@@ -84,3 +84,17 @@ def test_odd_rows(spark):
     assert secrets.digest(none).count() == 0 == secrets.digest(none.limit(0)).count()
     one = spark.createDataFrame([(1, "number 123456789012345", None)] * 2, "doc_id long, text string, source string")
     assert [r.score for r in secrets.digest(one).collect()] == [0.0, 0.0]
+
+
+def test_context_holds_neighbouring_runs(spark):
+    texts = ['aws_secret_access_key = "abcd1234EFGH5678" internationalization', "database_password: s3cr3tValue99",
+             "GITHUB_TOKEN=abcdef123456 /usr/local/lib/python3 x", "é 1234567890123 " * 30]
+    docs = spark.createDataFrame([(k, t, "p") for k, t in enumerate(texts)], "doc_id long, text string, source string")
+    got = {(r.doc_id, r.value): r for r in secrets.candidates(docs).collect()}
+    first = got[0, "abcd1234EFGH5678"]
+    assert (first.before, first.after, first.assigned, first.quoted) == ("aws_secret_access_key", "internationalization", True, True)
+    assert got[1, "s3cr3tValue99"].before == "database_password" and got[1, "s3cr3tValue99"].assigned
+    assert got[2, "abcdef123456"].before == "github_token" and got[2, "abcdef123456"].after == "usr"
+    measured = secrets.measured(secrets.candidates(docs), secrets.dictionary(docs))
+    assert {r.value for r in secrets.presumed(measured).where("label = 1").collect()} == {
+        "abcd1234EFGH5678", "s3cr3tValue99", "abcdef123456"}
