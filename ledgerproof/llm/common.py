@@ -7,7 +7,7 @@ from collections.abc import Callable, Iterator
 from pathlib import Path
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -58,6 +58,39 @@ def word_count(text: Column) -> Column:
     return F.coalesce(F.regexp_count(text, F.lit(WORD)), F.lit(0)).cast("long")
 
 
+def free_names(taken: list[str], *wanted: str) -> list[str]:
+    """Column names that no name in ``taken`` equals (Spark compares without case): the wanted ones, underscored."""
+    used, out = {n.lower() for n in taken}, []
+    for name in wanted:
+        while name.lower() in used:
+            name = f"_{name}"
+        used.add(name.lower())
+        out.append(name)
+    return out
+
+
+def positions(df: DataFrame, group: list[str], order: list[str], label: str) -> DataFrame:
+    """``df`` with ``pos``: a row's place from 0 among its ``group``'s rows by ``order`` (ascending, NULLs first).
+
+    Rows are range-partitioned and sorted by group and order, so a group of any size is spread over many tasks;
+    a place is the place in its partition plus the group's rows in earlier ones, one slim row per partition and
+    group. ``order`` should end in a column that tells equal rows apart, or they all meet in one range. Written."""
+    keys = [F.col(c).asc_nulls_first() for c in (*group, *order)]
+    placed = written(df.repartitionByRange(*keys).sortWithinPartitions(*keys).withColumn(
+        "_at", F.monotonically_increasing_id()), label)
+    part = F.shiftright("_at", 33)
+    firsts = placed.groupBy(*[F.col(c).alias(f"_g{i}") for i, c in enumerate(group)], part.alias("_part")).agg(
+        F.min("_at").alias("_first"), F.count("*").alias("_n"))
+    earlier = Window.partitionBy(*[f"_g{i}" for i in range(len(group))] or [F.lit(1)]).orderBy("_part").rowsBetween(
+        Window.unboundedPreceding, -1)
+    firsts = firsts.withColumn("_before", F.coalesce(F.sum("_n").over(earlier), F.lit(0)))
+    same = part == F.col("_part")
+    for i, c in enumerate(group):
+        same = same & F.col(c).eqNullSafe(F.col(f"_g{i}"))
+    return placed.join(firsts, same).select(
+        *df.columns, (F.col("_at") - F.col("_first") + F.col("_before")).alias("pos"))
+
+
 _HELD: dict[str, Callable[[], None]] = {}
 
 
