@@ -7,8 +7,9 @@ from pyspark.sql import functions as F
 
 from ledgerproof.schemas import DIRECTIONS, TRANSACTION_TYPES
 
-# Whitespace as Python's str.strip() sees it (Spark's trim() strips spaces only, so a tab would stay).
-_EDGE_SPACE = r"^\s+|\s+$"
+# Whitespace as Python's str.strip() sees it, beyond ASCII too (Spark's trim() strips spaces only).
+_SPACE = r"[\t-\r\x1c-\x20\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]"
+_EDGE_SPACE = rf"^{_SPACE}+|{_SPACE}+\z"
 
 
 def _col(c: str | Column) -> Column:

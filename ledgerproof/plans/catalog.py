@@ -755,6 +755,15 @@ HAND_LINES = (
     ("hand-29", _variant(31, amount_minor="1_000")),
     ("hand-30", _variant(32, occurred_at=1788264000123)),
     ("hand-31", _variant(33, amount_minor=2**63)),
+    ("hand-32", _variant(34, occurred_at="2026-09-01T12:00Z")),
+    ("hand-33", _variant(35, occurred_at="2026-09-01_12:00:00Z")),
+    ("hand-34", _variant(36, occurred_at="2026-09-01 12:00:00,25+05:30")),
+    ("hand-35", _variant(37, occurred_at="2026-09-01T12:00:00+02")),
+    ("hand-36", _variant(38, occurred_at="2026-09-01T24:00:00Z")),
+    ("hand-37", _variant(39, currency="\u00a0gbp\u00a0")),
+    ("hand-38", _variant(40, extra={"nested": [1, {"deep": "}"}]})),
+    ("hand-39", _variant(41, extra={}) + "}"),
+    ("hand-40", _variant(42, occurred_at="2026-02-30")),
 )
 
 
@@ -798,7 +807,7 @@ def _sql_literal(text: str) -> str:
     return "'" + text.replace("'", "''") + "'"
 
 
-_ISO = r"^(\d{4}-\d{2}-\d{2})[Tt ](\d{2}:\d{2}(?::\d{2}(?:\.\d{1,6})?)?)(Z|z|[+-]\d{2}:?\d{2})?$"
+_ISO = r"^(\d{4}-\d{2}-\d{2})[Tt _]((?:[01]\d|2[0-3]):\d{2}(?::\d{2}(?:[.,]\d{1,6})?)?)(Z|z|[+-]\d{2}:?\d{2})?$"
 LINES_CTE = (
     CLEAN
     + """,
@@ -829,7 +838,7 @@ f AS (
       ELSE CASE WHEN json_type(doc, '$.amount_minor') IN ('BIGINT', 'UBIGINT')
                 THEN TRY_CAST(json_extract_string(doc, '$.amount_minor') AS BIGINT) END END AS amount_dec,
     CASE WHEN json_type(doc, '$.currency') = 'VARCHAR'
-         THEN upper(regexp_replace(json_extract_string(doc, '$.currency'), '^\\s+|\\s+$', '', 'g')) END AS currency,
+         THEN upper(regexp_replace(json_extract_string(doc, '$.currency'), '^[\\s\\x{{00a0}}]+|[\\s\\x{{00a0}}]+$', '', 'g')) END AS currency,
     CASE WHEN json_type(doc, '$.direction') = 'VARCHAR' THEN json_extract_string(doc, '$.direction') END AS direction,
     CASE WHEN json_type(doc, '$.transaction_type') = 'VARCHAR' THEN json_extract_string(doc, '$.transaction_type') END
       AS transaction_type,
@@ -844,7 +853,8 @@ f AS (
 g AS (
   SELECT *,
     CASE WHEN regexp_matches(ts_text, '{_ISO}') THEN
-      TRY_CAST(concat(regexp_extract(ts_text, '{_ISO}', 1), ' ', regexp_extract(ts_text, '{_ISO}', 2)) AS TIMESTAMP)
+      TRY_CAST(concat(regexp_extract(ts_text, '{_ISO}', 1), ' ', replace(regexp_extract(ts_text, '{_ISO}', 2), ',', '.'),
+        CASE WHEN length(regexp_extract(ts_text, '{_ISO}', 2)) = 5 THEN ':00' ELSE '' END) AS TIMESTAMP)
       - to_seconds(CASE WHEN regexp_extract(ts_text, '{_ISO}', 3) IN ('', 'Z', 'z') THEN 0
           ELSE (CASE WHEN left(regexp_extract(ts_text, '{_ISO}', 3), 1) = '-' THEN -1 ELSE 1 END)
              * (CAST(substr(regexp_replace(regexp_extract(ts_text, '{_ISO}', 3), '[^0-9]', '', 'g'), 1, 2) AS INTEGER) * 3600

@@ -1,23 +1,25 @@
 """Raw JSON event lines -> typed valid rows + a dead letter with the names of the failed rules.
 
-A malformed or wrongly typed message is data to inspect, not an exception: each line is parsed with
-``try_parse_json`` into a VARIANT, each field is checked by one column expression, and the failed rule names are
+A malformed or wrongly typed message is data to inspect, not an exception: ``from_json`` takes the eight fields of a
+line out as VARIANTs in one pass, each field is checked by one column expression, and the failed rule names are
 collected into ``array<string>``. Everything stays JVM-side (no UDF).
 
-A line must be one JSON object and nothing else. Spark's parser stops after the first value, so the line is parsed
-twice, as the only element of an array and as the only member of an object: what could follow the value in the one
-(``]`` or another element) is an error in the other, and both parse only if nothing follows. Lines with one pair
-of braces around them, which is what events look like, need the second parse only.
+A line must be one JSON object and nothing else. Spark's parser stops after the first value; a line with one pair of
+braces, which is what events look like, has no room for anything after it. Any other line is parsed twice, as the only
+element of an array and as the only member of an object: what could follow the value in the one (``]`` or another
+element) is an error in the other, and both parse only if nothing follows.
 
 Typing follows lax model validation:
 
-* text fields (ids, codes, enums) must be JSON strings; a number is not an id;
+* text fields (ids, codes, enums) must be JSON strings; a number is not an id, and half of a surrogate pair is no text;
 * ``amount_minor`` may be a JSON number, a numeric string or ``true`` (1), and must be integral, exactly, and
   non-zero (``"100"``, ``"1_000"`` and ``100.0`` pass, ``100.5``, ``100.0000001`` and ``"1e2"`` fail), within BIGINT;
-* ``currency`` is stripped of edge whitespace (tabs included) and upper-cased, then must be 3 letters;
-* ``occurred_at`` is ISO-8601 text (no zone means UTC, an offset is converted to UTC, a date alone is its midnight),
-  or a number, as text or not, of seconds since 1970 (milliseconds beyond 2e10);
-* extra keys are ignored; a missing or NULL field fails its rule.
+* ``currency`` is stripped of edge whitespace (tabs and no-break spaces too) and upper-cased, then must be 3 letters;
+* ``occurred_at`` is ISO-8601 text: a date, or a date, one of ``T``, ``t``, ``_`` and space, hours and minutes, and
+  optionally seconds, a fraction after a point or a comma, and a zone (none means UTC; an offset needs its minutes and
+  is converted). Or it is a number, as text or not, of seconds since 1970 (milliseconds beyond 2e10);
+* a key given twice counts as given last; extra keys are ignored, whatever they hold (``NaN`` too); a missing or NULL
+  field fails its rule.
 """
 
 from __future__ import annotations
@@ -32,6 +34,7 @@ from ledgerproof.functions.rules import (
     is_transaction_type,
     min_length,
     normalised_currency,
+    strip,
 )
 from ledgerproof.functions.time import utc_wall_clock
 
@@ -55,24 +58,35 @@ EVENT_OUTPUT = (
 )
 
 
-ZONE_SUFFIX = r"(Z|z|[+-]\d{2}(:?\d{2})?)$"
-ISO_SHAPE = r"^\d{4}-\d{2}-\d{2}[T ]\d{2}:\d{2}"
-DATE_SHAPE = r"^\d{4}-\d{2}-\d{2}$"
 NUMBER_SHAPE = r"^[+-]?\d+(\.\d+)?$"
-WHOLE_NUMBER = r"^\s*[+-]?\d+(_\d+)*(\.0+)?\s*$"
+WHOLE_NUMBER = r"^[+-]?\d+(_\d+)*(\.0+)?$"
 MILLISECONDS_FROM = 20_000_000_000
 
+_OFFSET = r"[+\-\u2212]([01]\d|2[0-3]):?[0-5]\d"
+ISO_SHAPE = (r"^(?!0000)\d{4}-\d{2}-\d{2}([Tt _]([01]\d|2[0-3]):[0-5]\d(:[0-5]\d([.,]\d+)?)?(Z|z|" + _OFFSET + r")?)?\z")
+
+#: Escapes of half a surrogate pair, which no text can hold.
+_UNESCAPED = r"(?<!\\)((?:\\\\)*)"
+_HIGH, _LOW = r"\\u[dD][89abAB][0-9a-fA-F]{2}", r"\\u[dD][c-fC-F][0-9a-fA-F]{2}"
+LONE_HALF = f"{_UNESCAPED}{_HIGH}(?!{_LOW})|{_UNESCAPED}(?<!{_HIGH}){_LOW}"
+_MARK = "\ufdd0"  # a code point that is never a character stands for it
+
 
 def iso_to_utc(text: Column) -> Column:
     """ISO-8601 text -> ``timestamp_ntz`` holding the UTC wall clock; NULL when it does not parse.
 
-    No zone means UTC: a ``Z`` is appended, so the native zone-aware cast never falls back to the
-    session zone; the instant is then re-expressed as a UTC wall clock.
-    """
-    upper = F.regexp_replace(text, r"^(\d{4}-\d{2}-\d{2})t", "$1T")
-    whole = F.when(upper.rlike(DATE_SHAPE), F.concat(upper, F.lit("T00:00:00Z"))).otherwise(upper)
-    zoned = F.when(whole.rlike(ZONE_SUFFIX), whole).otherwise(F.concat(whole, F.lit("Z")))
-    return F.when(whole.rlike(ISO_SHAPE), utc_wall_clock(zoned.try_cast("timestamp")))
+    The pieces go into one zone-less literal and the offset is subtracted, so no session zone is involved."""
+    rest = F.substring(text, 17, 1 << 20)
+    timed = F.length(text) > 10
+    clock = F.when(timed, F.substring(text, 12, 5)).otherwise("00:00")
+    seconds = F.when(rest.startswith(":"), F.substring(rest, 2, 2)).otherwise("00")
+    fraction = F.rpad(F.regexp_extract(rest, r"[.,](\d{1,6})", 1), 6, "0")
+    local = F.concat(F.substring(text, 1, 10), F.lit(" "), clock, F.lit(":"), seconds, F.lit("."), fraction)
+    zone = F.regexp_extract(rest, f"({_OFFSET})$", 1)
+    minutes = F.substring(zone, 2, 2).try_cast("int") * 60 + F.right(zone, F.lit(2)).try_cast("int")
+    ahead = F.when(zone == "", 0).when(zone.startswith("+"), minutes).otherwise(-minutes)
+    stamp = F.when(text.rlike(ISO_SHAPE), local).try_cast("timestamp_ntz")
+    return F.when(ahead == 0, stamp).otherwise(F.timestamp_add("MINUTE", -ahead, stamp))
 
 
 def epoch_to_utc(number: Column) -> Column:
@@ -83,32 +97,44 @@ def epoch_to_utc(number: Column) -> Column:
     return utc_wall_clock(F.timestamp_micros(in_range))
 
 
+#: Strict JSON but for NaN, as the producers' parser has it; a field is whatever value it holds.
+_STRICT = {"allowSingleQuotes": "false", "columnNameOfCorruptRecord": "_corrupt"}
+_FIELDS = ", ".join(f"{f}: variant" for f in (*TEXT_FIELDS, "amount_minor"))
+_RECORD = f"struct<{_FIELDS}>"
+
+
 def _sole_object(raw: Column) -> Column:
-    """The line as VARIANT ``{"line": ...}`` if it is exactly one JSON object, else NULL."""
-    member = F.try_parse_json(F.concat(F.lit('{"line":'), raw, F.lit("}")))
-    element = F.try_parse_json(F.concat(F.lit("["), raw, F.lit("]")))
-    # one pair of braces that encloses the line leaves no room for anything after the object: no second parse
-    plain = raw.rlike(r"^[ \t\r\n]*\{[^{}]*\}[ \t\r\n]*$")
-    begins = raw.rlike(r"^[ \t\r\n]*\{")
-    return F.when(plain, member).when(begins & element.isNotNull(), member)
+    """The line's fields as a struct of VARIANTs if the line is exactly one JSON object, else NULL."""
+    plain = raw.rlike(r"^[ \t\r\n]*\{[^{}]*\}[ \t\r\n]*\z")
+    alone = F.from_json(F.when(plain, raw), f"struct<{_FIELDS}, _corrupt: string>", _STRICT)
+    # braces inside: nothing may follow the object, in either frame
+    nested = F.when(~plain & raw.rlike(r"^[ \t\r\n]*\{"), raw)
+    member = F.from_json(F.concat(F.lit('{"line":'), nested, F.lit("}")), f"struct<line: {_RECORD}, _corrupt: string>", _STRICT)
+    element = F.from_json(F.concat(F.lit("["), nested, F.lit("]")), f"array<{_RECORD}>", _STRICT)
+    fields = [*TEXT_FIELDS, "amount_minor"]
+    return F.when(plain & alone["_corrupt"].isNull(), F.struct(*[alone[f].alias(f) for f in fields])).when(
+        member["_corrupt"].isNull() & (F.size(element) == 1), member["line"])
 
 
 def parse_event_lines(lines: DataFrame, raw: str = "raw") -> DataFrame:
     """Adds the typed event fields and ``failed_rules`` (empty array = valid) to every line."""
-    p = lines.withColumn("_doc", _sole_object(F.col(raw)))
+    line, broken = F.col(raw), F.col(raw).rlike(LONE_HALF)
+    whole = F.when(broken, F.regexp_replace(line, LONE_HALF, "$1$2" + r"\\ufdd0")).otherwise(line)
+    p = lines.select("*", broken.alias("_broken"), _sole_object(whole).alias("_doc"))
+    fields = (*TEXT_FIELDS, "amount_minor")
     p = p.select(
         "*",
-        *[F.schema_of_variant(F.try_variant_get("_doc", f"$.line.{f}", "variant")).alias(f"_t_{f}")
-          for f in (*TEXT_FIELDS, "amount_minor")],
-        *[F.try_variant_get("_doc", f"$.line.{f}", "string").alias(f"_s_{f}") for f in (*TEXT_FIELDS, "amount_minor")],
-        F.try_variant_get("_doc", "$.line.amount_minor", "double").alias("_double"),
+        *[F.schema_of_variant(F.col(f"_doc.{f}")).alias(f"_t_{f}") for f in fields],
+        *[F.try_variant_get(F.col(f"_doc.{f}"), "$", "string").alias(f"_s_{f}") for f in fields],
+        F.try_variant_get(F.col("_doc.amount_minor"), "$", "double").alias("_double"),
     )
 
     def text(f: str) -> Column:
-        return F.when(F.col(f"_t_{f}") == F.lit("STRING"), F.col(f"_s_{f}"))
+        told = F.when(F.col(f"_t_{f}") == F.lit("STRING"), F.col(f"_s_{f}"))
+        return F.when(F.col("_broken") & told.contains(_MARK), F.lit(None)).otherwise(told)
 
-    kind, written = F.col("_t_amount_minor"), F.col("_s_amount_minor")
-    digits = F.regexp_replace(F.regexp_replace(written, r"(\.0+)?\s*$", ""), r"[\s_]", "")
+    kind, written = F.col("_t_amount_minor"), strip(F.col("_s_amount_minor"))
+    digits = F.regexp_replace(F.regexp_replace(written, r"(\.0+)?$", ""), "_", "")
     amount = (
         F.when(kind == "BOOLEAN", F.when(written == "true", F.lit(1)).otherwise(F.lit(0)).cast("bigint"))
         .when(kind.isin("FLOAT", "DOUBLE"), F.when(F.col("_double") == F.floor("_double"), F.col("_double").try_cast("bigint")))
