@@ -128,3 +128,33 @@ def assert_valid_totals(totals: DataFrame) -> DataFrame:
         .cast("boolean")
     )
     return guarded.drop("_n")
+
+
+# ---- totals that merge
+
+
+def key_partials(df: DataFrame, *, partition_col: str = "business_date", key_column: str = "event_id",
+                 amount_column: str = "signed_amount_minor", sign: int = 1) -> DataFrame:
+    """partition_key, key, rows, amount: a layer's totals kept per partition and key, so they can be added up.
+
+    With ``sign=-1`` the rows count as taken away. Write them partitioned by ``partition_key``: a correction then adds its
+    own few rows, and a control run sums partials of the partitions it checks instead of reading the layer again."""
+    frame = with_business_date(df, partition_col)
+    amount = F.coalesce(F.sum(F.col(amount_column).cast("bigint")), F.lit(0))
+    return frame.groupBy(partition_key(partition_col).alias("partition_key"), F.col(key_column).cast("string").alias("key")).agg(
+        (F.count(F.lit(1)) * sign).alias("rows"), (amount * sign).cast("bigint").alias("amount"))
+
+
+def merged_partials(*partials: DataFrame) -> DataFrame:
+    """Partials added up; a key without rows left is gone."""
+    whole = partials[0]
+    for more in partials[1:]:
+        whole = whole.unionByName(more)
+    return whole.groupBy("partition_key", "key").agg(F.sum("rows").alias("rows"), F.sum("amount").alias("amount")).where("rows <> 0")
+
+
+def totals_of_partials(partials: DataFrame, layer: str) -> DataFrame:
+    """``control_totals`` from merged partials: a key is one row here, so its distinct count is a plain count."""
+    return partials.groupBy("partition_key").agg(
+        F.sum("rows").alias("row_count"), F.sum("amount").alias("amount_minor_sum"), F.count("key").alias("distinct_event_ids")
+    ).select(F.lit(layer).alias("layer"), *[c for c in _TOTAL_COLUMNS if c != "layer"])

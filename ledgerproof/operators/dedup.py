@@ -5,8 +5,8 @@ Plan shape: ``row_number() = 1`` over the key, which Catalyst turns into a *part
 sends at most one row per map task across the network: the hot-key case is pre-aggregated before it
 is shuffled.
 
-Rows with a NULL key are never merged (they are distinct events whose id is missing). They go round the
-window: a filter on NULL keys, which file statistics answer almost for free, is united with the ranked rows.
+Rows with a NULL key are never merged (they are distinct events whose id is missing). Each gets a number of its own
+as one more key of the same window, so the input is read (or computed) once and NULL keys, however many, are spread.
 """
 
 from __future__ import annotations
@@ -18,6 +18,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 _RN = "_rn"
+_LONE = "_lone"
 
 
 def _cols(names: str | Column | Sequence[str | Column]) -> list[Column]:
@@ -43,15 +44,12 @@ def first_arrival(
         raise ValueError("null_keys must be 'keep' or 'collapse'")
     keys = _cols(key)
     order = [c.asc_nulls_last() for c in _cols(order_by)]
+    if null_keys == "keep":
+        any_null = reduce(lambda a, b: a | b, [k.isNull() for k in keys])
+        df = df.withColumn(_LONE, F.when(any_null, F.monotonically_increasing_id()))
+        keys.append(F.col(_LONE))
     window = Window.partitionBy(*keys).orderBy(*order)
-
-    def ranked(rows: DataFrame) -> DataFrame:
-        return rows.withColumn(_RN, F.row_number().over(window)).filter(F.col(_RN) == 1).drop(_RN)
-
-    if null_keys == "collapse":
-        return ranked(df)
-    any_null = reduce(lambda a, b: a | b, [k.isNull() for k in keys])
-    return ranked(df.filter(~any_null)).unionByName(df.filter(any_null))
+    return df.withColumn(_RN, F.row_number().over(window)).filter(F.col(_RN) == 1).drop(_RN, _LONE)
 
 
 TIE_BREAKS = ("batch_id", "_src")

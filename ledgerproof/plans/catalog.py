@@ -332,7 +332,7 @@ def q_check_ref_integrity_orphans(spark, sf_dir):
 
 
 def q_check_ref_integrity_warning(spark, sf_dir):
-    return _orphans(spark, sf_dir, "orders", "o_custkey", severity="warning")
+    return _orphans(spark, sf_dir, "events", "user_id", severity="warning")
 
 
 def q_check_ref_integrity_null_key(spark, sf_dir):
@@ -658,7 +658,7 @@ SELECT * FROM lineitem WHERE l_orderkey IS NULL OR l_linenumber IS NULL""",
     + O.integrity_sql("(SELECT account_id AS k FROM gold)", f"(SELECT account_id AS k FROM dim WHERE NOT ({LOST_ACCOUNT}))",
                       dimension="dim_account"),
     "check_ref_integrity_orphans": _orphans_sql("events", "user_id"),
-    "check_ref_integrity_warning": _orphans_sql("orders", "o_custkey", "warning"),
+    "check_ref_integrity_warning": _orphans_sql("events", "user_id", "warning"),
     "check_ref_integrity_null_key": _orphans_sql("events", "user_id", with_null=True),
     "check_dedup_silver_copies": _with(FAULTY, f"copies AS (SELECT * FROM silver UNION ALL SELECT * FROM silver WHERE {COPIED_ROW})",
                                        f"st AS ({O.totals_sql('copies', 'silver')})") + O.dedup_check_sql("st"),
@@ -896,18 +896,27 @@ QUERIES["dead_letter"] = q_dead_letter
 
 # ---------------------------------------------------------------- streaming
 
-def stream_run(spark: SparkSession, lines: DataFrame) -> str:
-    """Land ``lines`` (line_id, raw) in two drops and ingest each with an ``availableNow`` run of one stream (same
-    checkpoint), so the second run takes only the new files. Returns the folder that holds it all."""
+def stream_drops(spark: SparkSession, drops: list[DataFrame]) -> str:
+    """Land every drop (line_id, raw) and ingest it with an ``availableNow`` run of one stream (same checkpoint), so each
+    run takes only the new files. Returns the folder that holds it all."""
     root = _fresh_dir(spark, "stream")
-    landing = f"{root}/landing"
-    even = F.col("line_id").startswith("evt-") & (F.substring_index("line_id", "-", -1).cast("bigint") % 2 == 0)
-    for drop in (lines.filter(even), lines.filter(~even)):
-        drop.select("raw").write.mode("append").text(landing)
-        autoload_stream(spark, landing, f"{root}/bronze", f"{root}/dead_letter", f"{root}/_checkpoint").awaitTermination()
+    for drop in drops:
+        drop.select("raw").write.mode("append").text(f"{root}/landing")
+        autoload_stream(spark, f"{root}/landing", f"{root}/bronze", f"{root}/dead_letter", f"{root}/_checkpoint",
+                        manifest_dir=f"{root}/manifest").awaitTermination()
     return root
 
 
+#: Lines of the first drop; all others come with the second.
+FIRST_DROP = "line_id LIKE 'evt-%' AND CAST(substr(line_id, 5) AS BIGINT) % 2 = 0"
+
+
+def stream_run(spark: SparkSession, lines: DataFrame) -> str:
+    """``lines`` in two drops."""
+    even = F.expr("line_id LIKE 'evt-%' AND try_cast(substr(line_id, 5) AS BIGINT) % 2 = 0")
+    return stream_drops(spark, [lines.filter(even), lines.filter(~even)])
+
+
 def q_stream_ingest(spark, sf_dir):
     root = stream_run(spark, event_lines(spark, sf_dir))
     return _settled(spark, read_stream_bronze(spark, f"{root}/bronze").drop("ingested_at", "stream_epoch"), root)

@@ -125,16 +125,27 @@ def replace_table(df: DataFrame, target: str, *, partition_by: tuple[str, ...] =
 def replace_dates(df: DataFrame, target: str, column: str, dates: Sequence[date]) -> None:
     """Replace the partitions of ``dates`` with what ``df`` holds for them: a date without rows loses its partition.
 
-    ``df`` must not read ``target``. Works per partition, so other dates and the session's settings stay untouched."""
-    spark = df.sparkSession
-    if is_path(target):
-        for d in dates:
-            remove_path(spark, f"{target}/{column}={d.isoformat()}")
-        df.write.mode("append").partitionBy(column).parquet(target)
-        return
+    The write is one dynamic partition overwrite: Spark swaps a date's files when the job commits, so a job that fails
+    leaves every old partition. Dates that ``df`` holds nothing for (the write reports which it saw) are dropped after
+    it. ``df`` must not read ``target``. Other dates and the session's settings stay untouched."""
+    spark, folder = df.sparkSession, target
+    if not is_path(target):
+        df = df.select(*spark.read.table(target).columns)
+        folder = spark.sql(f"DESCRIBE TABLE EXTENDED {target}").where("col_name = 'Location'").first()["data_type"]
+    seen = Observation("dates")
+    observed = df.observe(seen, F.collect_set(F.col(column).cast("string")).alias("dates"))
+    observed.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(column).parquet(folder)
+    filled = set(seen.get.get("dates") or ())
     for d in dates:
-        spark.sql(f"ALTER TABLE {target} DROP IF EXISTS PARTITION ({column} = DATE'{d.isoformat()}')")
-    df.select(*spark.read.table(target).columns).write.insertInto(target)
+        day = d.isoformat()
+        if is_path(target):
+            if day not in filled:
+                remove_path(spark, f"{target}/{column}={day}")
+        else:  # the catalog learns of new dates; an emptied one goes there and on disk
+            change = "ADD IF NOT EXISTS" if day in filled else "DROP IF EXISTS"
+            spark.sql(f"ALTER TABLE {target} {change} PARTITION ({column} = DATE'{day}')")
+    if not is_path(target):
+        spark.catalog.refreshTable(target)
 
 
 def bronze_ddl(table: str) -> str:
