@@ -120,8 +120,8 @@ def manifest(docs: DataFrame, tampered: Column | None = None) -> DataFrame:
     placed = written(positions(leaves, ["source"], ["doc_id", "leaf", "_row"], "merkle-order"), "merkle-places")
     per = trees(placed.select(F.col("source").alias("tree"), "pos", F.col("leaf").alias("node")))
     subroots = per.where("block = 0").select(F.col("tree").alias("source"), F.col("root").alias("node"))
-    ranked = written(positions(subroots, [], ["source"], "merkle-sources"), "merkle-subroots")
-    whole = trees(ranked.select(F.lit(0).alias("tree"), "pos", "node"))
+    ranked = written(positions(subroots, [], ["source"], "merkle-sources").withColumn("tree", F.lit(0)), "merkle-subroots")
+    whole = trees(ranked.select("tree", "pos", "node"))
     top = ranked.join(whole.drop("tree"), F.floor(F.col("pos") / BLOCK) == F.col("block")).select(
         F.col("source").alias("_s"), F.col("root").alias("root"),
         F.concat(_flanks(F.col("levels"), F.col("pos") % BLOCK), F.col("top")).alias("_above"))
