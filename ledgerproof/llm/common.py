@@ -69,6 +69,27 @@ def free_names(taken: list[str], *wanted: str) -> list[str]:
     return out
 
 
+#: Bits of ``maybe_in``'s filter: 1 MB broadcast. Where it fills up, more rows are flagged and results stay the same.
+FILTER_BITS = 1 << 23
+
+
+def maybe_in(df: DataFrame, key: Column, wanted: DataFrame, flag: str) -> DataFrame:
+    """``df`` with ``flag``, false only where ``key`` is certainly none of ``wanted``'s one column.
+
+    A bitmap of the wanted keys' hashes is broadcast, FILTER_BITS at most, so the rows that cannot meet stay out of the
+    shuffle of an exact join that follows."""
+    b, at, bucket, bits = free_names([*df.columns, flag], "_bit", "_place", "_bucket", "_bits")
+    slot = F.pmod(F.xxhash64(wanted.columns[0]), F.lit(FILTER_BITS)) + 1
+    table = wanted.select(slot.alias(b)).groupBy(F.bitmap_bucket_number(b).alias(bucket)).agg(
+        F.bitmap_construct_agg(F.bitmap_bit_position(b)).alias(bits))
+    own = df.withColumn(b, F.pmod(F.xxhash64(key), F.lit(FILTER_BITS)) + 1).withColumn(at, F.bitmap_bit_position(b))
+    own = own.join(F.broadcast(table.withColumnRenamed(bucket, f"{bucket}_")),
+                   F.bitmap_bucket_number(b) == F.col(f"{bucket}_"), "left")
+    byte = F.conv(F.hex(F.expr(f"substring({bits}, cast({at} div 8 + 1 as int), 1)")), 16, 10).cast("int")
+    found = F.coalesce(F.getbit(byte, F.pmod(at, F.lit(8)).cast("int")) == 1, F.lit(False))
+    return own.select(*df.columns, found.alias(flag))
+
+
 def positions(df: DataFrame, group: list[str], order: list[str], label: str) -> DataFrame:
     """``df`` with ``pos``: a row's place from 0 among its ``group``'s rows by ``order`` (ascending, NULLs first).
 

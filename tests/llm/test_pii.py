@@ -121,3 +121,60 @@ def test_query_and_pipeline_mark_everywhere(spark, tmp_path):
     docs.write.parquet(f"{tmp_path}/documents.parquet")
     assert {r.doc_id: r.spans for r in QUERIES["op5_pii_disclosure"](spark, str(tmp_path)).collect()}[66] == "term:0:8"
     assert {r.doc_id: r.text for r in corpus_pipeline.personal_data(spark, docs, "").collect()}[66] == "[TERM] alone"
+
+
+def test_words_beside_an_identifier_have_no_reach():
+    long = "é" * 5000
+    text = f"{long} one two three four five six seven 10.0.0.1 a b7 {long} cd"
+    near = pii.windows(text, pii.base_spans(text))
+    assert [text[w["start"]:w["end"]] for w in near] == [long, "one", "two", "three", "four", "five", "six", "seven", "b7", long, "cd"]
+
+
+def rare_corpus():
+    """An address in two texts beside a handle, one in one text beside its owner's name, one that shares a common word."""
+    filler = [f"plain {'abcdefghij'[k % 10]}{'klmnopqrst'[k // 10 % 10]}{'uvwxyz'[k // 100]}q text goes by here" for k in range(600)]
+    return filler + ["early note by staff77x to quill@rare.example.com about it", "late memo from staff77x and quill@rare.example.com again",
+                     "Ms Vandermeer wrote: vandermeer.12@one.example.com thanks", "see plain.5@two.example.com for plain facts"]
+
+
+def test_rare_entities_are_served(spark):
+    texts = rare_corpus()
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    rows = pii.found(docs)
+    significant = {r.term for r in pii.significant(rows, docs).collect()}
+    assert significant == {pii._hash("staff77x")} and not pii.disclosing(rows, docs).count()
+    assert {r.term for r in pii.named(rows, docs).collect()} == {pii._hash("vandermeer")}  # "plain" is everybody's
+    out = {r.doc_id: r for r in pii.digest(docs, everywhere=True).collect()}
+    marked = {k for k, r in out.items() if "term:" in r.spans}
+    assert marked == {600, 601, 602}
+    assert out[602].spans.endswith("term:3:13") and out[600].spans.count("term") == 1
+    texts += ["VANDERMEER and staff77x were seen"]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    assert {r.doc_id: r.text for r in pii.sanitised(docs, everywhere=True).collect()}[604] == "[TERM] and [TERM] were seen"
+
+
+def plain_named(texts):
+    """(entity, term) pairs by counting over distinct texts, identifiers blanked out."""
+    texts = {t for t in texts if t}
+    held, own, having = defaultdict(int), defaultdict(int), defaultdict(int)
+    for text in texts:
+        spans, bare = pii.base_spans(text), text
+        for _, a, b in spans:
+            bare = bare[:a] + " " * (b - a) + bare[b:]
+        words = {w.lower() for w in re.findall(r"[^\W_]{2,}", bare)}
+        for w in {w.lower() for w in re.findall(r"[^\W_]{2,}", text)}:
+            held[w] += 1
+        for mail in {text[a:b].lower() for k, a, b in spans if k == "email"}:
+            having[mail] += 1
+            for part in set(re.findall(r"[^\W\d_]{3,}", mail.split("@")[0])) & words:
+                own[mail, part] += 1
+    return {(pii._hash(f"email:{e}"), pii._hash(t)) for (e, t), n in own.items()
+            if (n + 1) / (max(held[t], n) + 2) >= 0.5 and math.log2((n + 1) / (max(held[t], n) + 2) / (having[e] / (len(texts) + 1))) >= 3}
+
+
+def test_names_on_the_given_table_equal_plain_counting(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.1/documents.parquet")
+    rows = pii.found(docs)
+    got = {(r.entity, r.term) for r in pii.named(rows, docs).collect()}
+    assert got == plain_named([r.text for r in docs.select("text").collect()])
+    print(len(got))
