@@ -69,6 +69,14 @@ def free_names(taken: list[str], *wanted: str) -> list[str]:
     return out
 
 
+def refuse_taken(taken: list[str], *names: str) -> None:
+    """Raises if a column that is to be added exists already (Spark compares names without case)."""
+    held = {n.lower() for n in taken}
+    clash = [n for n in names if n.lower() in held]
+    if clash:
+        raise ValueError(f"column exists already: {', '.join(clash)}; name the new one otherwise")
+
+
 #: Bits of ``maybe_in``'s filter: 1 MB broadcast. Where it fills up, more rows are flagged and results stay the same.
 FILTER_BITS = 1 << 23
 

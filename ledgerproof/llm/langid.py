@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import hold_cache, map_batches
+from .common import free_names, hold_cache, map_batches, refuse_taken
 
 FOLDS, HELD_OUT = 4, 2
 RUN = 40
@@ -232,7 +232,8 @@ _SCORED: dict[bytes, tuple[dict[str, int], np.ndarray]] = {}
 
 def predict(docs: DataFrame, model: tuple[list[str], np.ndarray], *, path: str | None = None, text: str = "text",
             pred: str = "lang_pred", score: str = "score") -> DataFrame:
-    """``docs`` with the likeliest language and its posterior under even priors."""
+    """``docs`` with the likeliest language and its posterior under even priors, in columns that ``docs`` must not have."""
+    refuse_taken(docs.columns, pred, score)
     path = path or vocabulary_path()
     langs, p = model
     at = docs.columns.index(text)
@@ -294,7 +295,7 @@ def least_score(languages: int) -> float:
 def identified(docs: DataFrame) -> DataFrame:
     """``docs`` whose language could be told: not ``und`` and likelier than ``least_score``."""
     names = docs.columns
-    pred, score = "__lang_pred", "__lang_score"
+    pred, score = free_names(names, "_lang_pred", "_lang_score")
     model = learned_from(docs)
     return predict(docs, model, pred=pred, score=score).where(
         (F.col(pred) != "und") & (F.col(score) > least_score(len(model[0])))).select(*names)

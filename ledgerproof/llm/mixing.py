@@ -10,11 +10,13 @@ budget goes to the documents in the order of a random key (an MD5 of seed, id an
 ranged into about sqrt(rows) buckets; word counts are summed per bucket, a prefix sum over buckets finds the
 bucket where the budget ends, and a prefix sum inside that one bucket finds the key. So only word counts are
 shuffled, partly summed first; no source, however hot, lands in a task beyond sqrt(its rows), and documents meet
-the cut, one row per source, without moving themselves. The one unpartitioned window ranks sources, one row each.
+the cut, one row per source, without moving themselves. Rows that share the key at a cut are numbered by ranges, so a
+third of all rows may be equal. The one unpartitioned window ranks sources, one row each.
 
 Defined results: NULL text has size 0 and NULL source is a source; the document at the cut gives its first words
-only; rows that are equal in id and text share a key and split what is left there evenly (rounded down); a source
-without words has target 0; an empty table gives no rows; other columns pass through ``mix`` untouched.
+only; rows that are equal in id and text share a key, and where the cut falls on it they give what is left one after
+the other, so the budget is met by them, too; a source without words has target 0; an empty table gives no rows; other
+columns pass through ``mix`` untouched, whatever their names.
 """
 
 from __future__ import annotations
@@ -22,7 +24,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import WORD, word_count, written
+from .common import WORD, positions, word_count, written
 
 WEIGHTS = (5, 2, 1)
 SHARE = 1.5
@@ -63,7 +65,7 @@ def targets(sized: DataFrame, *, weights=WEIGHTS, share: float = SHARE, epochs:
 
 
 def cuts(sized: DataFrame, per_source: DataFrame) -> DataFrame:
-    """``per_source`` with the key at which its rest ends, the words left there and the rows that share it.
+    """``per_source`` with the key at which its rest ends and the words left there, for all rows that share it.
 
     Keys below ``cut`` are taken once more. ``cut`` is NULL where nothing is left after whole epochs."""
     side = per_source.select(F.col("source").alias("_s"), "rows", "rest").where("rest > 0")
@@ -77,12 +79,12 @@ def cuts(sized: DataFrame, per_source: DataFrame) -> DataFrame:
         F.col("_s").alias("_e"), F.col("_bucket").alias("_eb"), (F.col("rest") - F.col("_upto") + F.col("words")).alias(
             "_left"))
     inside = placed.join(ends, placed["_s"].eqNullSafe(F.col("_e")) & (F.col("_bucket") == F.col("_eb")))
-    keys = inside.groupBy("_s", "_left", "key").agg(F.sum("size").alias("words"), F.count("*").alias("copies"))
+    keys = inside.groupBy("_s", "_left", "key").agg(F.sum("size").alias("words"))
     within = Window.partitionBy("_s").orderBy("key").rowsBetween(Window.unboundedPreceding, 0)
     keys = keys.withColumn("_upto", F.sum("words").over(within))
     found = keys.where("_upto >= _left and _upto - words < _left").select(
         F.col("_s").alias("_c"), F.col("key").alias("cut"),
-        F.floor((F.col("_left") - F.col("_upto") + F.col("words")) / F.col("copies")).alias("at_cut"))
+        (F.col("_left") - F.col("_upto") + F.col("words")).alias("at_cut"))
     return per_source.join(found, per_source["source"].eqNullSafe(F.col("_c")), "left").drop("_c", "rows", "rest")
 
 
@@ -94,36 +96,55 @@ def _plan(docs: DataFrame, **how) -> tuple[DataFrame, DataFrame]:
     return sized, plan.withColumnRenamed("source", "_source")
 
 
+def _at_cut() -> Column:
+    return F.coalesce(F.col("key") == F.col("cut"), F.lit(False))
+
+
+def _shared_out(rows: DataFrame) -> DataFrame:
+    """Rows at their source's cut (held, source, key, size, at_cut) with ``extra``: what each gives of the words left
+    there, the first ones all of theirs, one a part, the others nothing. The rows of one cut are alike."""
+    numbered = positions(rows.withColumn("row", F.monotonically_increasing_id()), ["source"], ["row"], "mix-at-cut")
+    left = F.col("at_cut") - F.col("pos") * F.col("size")
+    return numbered.withColumn("extra", F.greatest(F.lit(0), F.least(F.col("size"), left)).cast("long"))
+
+
 def mix_sizes(docs: DataFrame, **how) -> DataFrame:
     """doc_id, size, source_size, target, taken: the mix as word counts, from the written sizes alone."""
     sized, plan = _plan(docs, **how)
     both = sized.join(plan, sized["source"].eqNullSafe(F.col("_source")))
-    return both.select("doc_id", "size", "source_size", "target", F.expr(
-        "full * size + case when key < cut then size when key = cut then at_cut else 0 end").alias("taken"))
+    columns = ["doc_id", "size", "source_size", "target"]
+    plain = both.where(~_at_cut()).select(*columns, F.expr(
+        "full * size + case when key < cut then size else 0 end").alias("taken"))
+    ends = _shared_out(both.where(_at_cut()).select(F.struct(*columns, "full").alias("held"), "source", "size", "at_cut"))
+    return plain.union(ends.select("held.doc_id", "size", "held.source_size", "held.target", (
+        F.col("held.full") * F.col("size") + F.col("extra")).alias("taken")))
 
 
 def mix(docs: DataFrame, **how) -> DataFrame:
     """The mixed documents, all columns as they came: each row once per epoch that takes it.
 
-    The row at a source's cut is given with its first words, joined by single spaces."""
+    A row at its source's cut that is taken in part is given with its first words, joined by single spaces."""
     _, plan = _plan(docs, **how)
-    seed = how.get("seed", SEED)
-    names = docs.columns
-    plan = plan.select(F.col("_source"), F.col("full").alias("_full"), F.col("cut").alias("_cut"),
-                       F.col("at_cut").alias("_at_cut"))
-    keyed = docs.withColumn("_key", _key(seed))
-    both = keyed.join(plan, keyed["source"].cast("string").eqNullSafe(F.col("_source")))
-    part = (F.col("_key") == F.col("_cut")) & (F.col("_at_cut") > 0)
-    copies = F.col("_full") + F.when(F.col("_key") < F.col("_cut"), 1).otherwise(0)
-    copies = copies + F.when(part, 1).otherwise(0)
-    both = both.withColumn("_copy", F.explode(F.when(copies > 0, F.sequence(F.lit(1).cast("long"), copies))))
-    first = F.array_join(F.slice(F.regexp_extract_all("text", F.lit(WORD), F.lit(0)), F.lit(1),
-                                 F.greatest(F.col("_at_cut"), F.lit(1)).cast("int")), " ")
-    cut_here = part & (F.col("_copy") == copies)
-    both = both.withColumn("text", F.when(cut_here, first).otherwise(F.col("text")))
-    if "n_chars" in names:
-        both = both.withColumn("n_chars", F.when(cut_here, F.length("text").cast("long")).otherwise(F.col("n_chars")))
-    return both.select(*names)
+    # the caller's columns travel inside one struct, so none of their names can meet the ones used here
+    held = docs.select(_key(how.get("seed", SEED)).alias("key"), F.col("source").cast("string").alias("source"),
+                       F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("held"))
+    both = held.join(plan, held["source"].eqNullSafe(F.col("_source")))
+    size = word_count(F.col("held.text"))
+    plain = both.where(~_at_cut()).select("held", (F.col("full") + F.coalesce(
+        (F.col("key") < F.col("cut")).cast("long"), F.lit(0))).alias("copies"), F.lit(0).cast("long").alias("part"))
+    ends = _shared_out(both.where(_at_cut()).select("held", "source", size.alias("size"), "at_cut", "full"))
+    partly = F.when(F.col("extra") < F.col("size"), F.col("extra")).otherwise(0)
+    ends = ends.select("held", (F.col("full") + (F.col("extra") > 0).cast("long")).alias("copies"), partly.alias("part"))
+    each = plain.union(ends).select("held", "copies", "part", F.explode(F.when(
+        F.col("copies") > 0, F.sequence(F.lit(1).cast("long"), "copies"))).alias("copy"))
+    words = F.regexp_extract_all("held.text", F.lit(WORD), F.lit(0))
+    first = F.array_join(F.slice(words, F.lit(1), F.greatest(F.col("part"), F.lit(1)).cast("int")), " ")
+    cut_here = (F.col("part") > 0) & (F.col("copy") == F.col("copies"))
+    new = {"text": F.when(cut_here, first).otherwise(F.col("held.text"))}
+    if "n_chars" in docs.columns:
+        chars = F.length(first).cast(docs.schema["n_chars"].dataType)
+        new["n_chars"] = F.when(cut_here, chars).otherwise(F.col("held.n_chars"))
+    return each.select(*[new.get(c, F.col(f"held.`{c}`")).alias(c) for c in docs.columns])
 
 
 ORACLE = r"""
@@ -147,10 +168,11 @@ budgets as (
          cast(floor(target + 0.5) as bigint) % greatest(source_size, 1) as rest from goals),
 keyed as (
   select s.*, sum(size) over (partition by source order by key range unbounded preceding) as upto,
-         sum(size) over (partition by source, key) as here, count(*) over (partition by source, key) as copies
+         sum(size) over (partition by source, key) as here, row_number() over (partition by source, key) as rank_here
   from sized s)
 select k.doc_id, k.size, b.source_size, cast(b.target as double) as target,
        cast(b.full_epochs * k.size + case when k.upto <= b.rest then case when b.rest > 0 then k.size else 0 end
-            when k.upto - k.here < b.rest then floor((b.rest - k.upto + k.here) / k.copies) else 0 end as bigint) as taken
+            when k.upto - k.here < b.rest
+            then greatest(0, least(k.size, b.rest - k.upto + k.here - (k.rank_here - 1) * k.size)) else 0 end as bigint) as taken
 from keyed k join budgets b on k.source is not distinct from b.source
 """

@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import map_batches
+from .common import map_batches, refuse_taken
 
 #: Most texts on which costs and selectivities are estimated.
 SAMPLE_ROWS = 2_000
@@ -149,7 +149,9 @@ def ordered(rules, found) -> list[Rule]:
 
 def cascade(docs: DataFrame, rules=RULES, *, text: str = "text", kept: str = "kept", measures: tuple[str, ...] = (),
             **how) -> DataFrame:
-    """``docs`` with the verdict ``kept`` and, where asked for, ``measures`` (long) of every text."""
+    """``docs`` with the verdict ``kept`` and, where asked for, ``measures`` (long) of every text, in columns that ``docs``
+    must not have."""
+    refuse_taken(docs.columns, kept, *measures)
     order = ordered(rules, estimates(docs, rules, text=text, **how))
     schema = T.StructType([*docs.schema.fields, *[T.StructField(m, T.LongType()) for m in measures],
                            T.StructField(kept, T.BooleanType())])

@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import bounded_batches, map_batches, written
+from .common import bounded_batches, free_names, map_batches, maybe_in, refuse_taken, written
 from .components import stars
 
 SHINGLE = 4
@@ -62,7 +62,8 @@ def fingerprint(text: str | None, shingle: int = SHINGLE) -> int:
 
 
 def fingerprints(docs: DataFrame, *, text: str = "text", name: str = "fingerprint", shingle: int = SHINGLE) -> DataFrame:
-    """``docs`` and a column with the fingerprint's 64 bits as a long."""
+    """``docs`` and a new column with the fingerprint's 64 bits as a long."""
+    refuse_taken(docs.columns, name)
     at = docs.columns.index(text)
     schema = T.StructType([*docs.schema.fields, T.StructField(name, T.LongType())])
 
@@ -263,14 +264,15 @@ def digest(docs: DataFrame) -> DataFrame:
 def one_each(docs: DataFrame, *, shingle: int = SHINGLE, radius: int = RADIUS) -> DataFrame:
     """``docs`` with one row of each component: the one of smallest id (NULL last), then as first read."""
     names = docs.columns
-    bits, row = "__simhash_bits", "__simhash_row"
+    bits, row, flag = free_names(names, "_simhash_bits", "_simhash_row", "_simhash_flag")
     rows = written(fingerprints(docs, name=bits, shingle=shingle).withColumn(
         row, F.monotonically_increasing_id()), "fingerprinted")  # the row number is fixed by the write
-    slim = rows.select(F.col("doc_id").cast("long").alias("doc_id"), bits, row)
-    found = components(slim, bits=bits, radius=radius)
-    prints = slim.groupBy(bits).agg(F.min(F.struct(F.col("doc_id").isNull().alias("n"), "doc_id", row)).alias("first"))
-    firsts = prints.join(found, F.col(bits) == F.col("bits")).groupBy("root").agg(F.min("first").alias("first"))
-    kept = firsts.select(F.col(f"first.{row}").alias(row))
-    return rows.join(kept, row, "left_semi").select(*names)
-
-
+    slim = rows.select(F.col("doc_id").cast("long").alias("doc_id"), F.col(bits).alias("_b"), F.col(row).alias("_r"))
+    found = components(slim, bits="_b", radius=radius)
+    prints = slim.groupBy("_b").agg(F.min(F.struct(F.col("doc_id").isNull().alias("n"), "doc_id", "_r")).alias("first"))
+    firsts = prints.join(found, F.col("_b") == F.col("bits")).groupBy("root").agg(F.min("first").alias("first"))
+    gone = written(slim.select("_r").join(firsts.select(F.col("first._r").alias("_r")), "_r", "left_anti"), "simhash-gone")
+    gone = gone.withColumnRenamed("_r", f"{row}_")
+    told = maybe_in(rows, F.col(row), gone, flag)  # rows that certainly stay do not move
+    doubtful = told.where(F.col(flag)).join(gone, F.col(row) == F.col(f"{row}_"), "left_anti")
+    return told.where(~F.col(flag)).select(*names).union(doubtful.select(*names))

@@ -418,4 +418,5 @@ def deduplicated(docs: DataFrame, *, with_bytes: bool = True) -> DataFrame:
 
 
 def digest(docs: DataFrame) -> DataFrame:
-    return deduplicated(docs, with_bytes=False)
+    """The contract's columns and ``repeated``: whether anything was removed (``n_bytes`` is the input's length)."""
+    return deduplicated(docs, with_bytes=False).withColumn("repeated", F.col("n_removed") > 0)

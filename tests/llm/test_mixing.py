@@ -77,3 +77,25 @@ def test_empty_and_wordless(spark):
     docs = spark.createDataFrame([(1, None, None), (2, " ", "a")], "doc_id long, text string, source string")
     assert [(r.target, r.taken) for r in mixing.mix_sizes(docs).collect()] == [(0.0, 0)] * 2
     assert mixing.mix_sizes(docs.limit(0)).count() == 0 == mixing.mix(docs.limit(0)).count()
+
+
+def test_repeated_rows_meet_the_budget(spark):
+    for words, n in (("one", 1000), ("a b c", 333)):
+        docs = spark.createDataFrame([(1, words, "s", k) for k in range(n)], "doc_id long, text string, source string, n_chars long")
+        size = len(words.split())
+        taken = [r.taken for r in mixing.mix_sizes(docs).collect()]
+        assert abs(sum(taken) - 1.5 * n * size) <= 0.5 and len(taken) == n and max(taken) <= 2 * size
+        mixed = mixing.mix(docs).collect()
+        assert sum(len(r.text.split()) for r in mixed) == sum(taken)
+
+
+def test_names_inside_do_not_meet_the_callers(spark):
+    inner = ["_key", "_copy", "_full", "_cut", "_source", "key", "cut", "full", "held", "copies", "part", "extra", "pos", "size", "row", "_at",
+             "at_cut", "a.b"]
+    rows = [(k, f"w{k} x y", ["s", None][k % 2], 5, *[f"{n}{k}" for n in inner]) for k in range(40)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string, n_chars long, " + ", ".join(f"`{n}` string" for n in inner))
+    out = mixing.mix(docs)
+    assert out.columns == docs.columns
+    got = out.collect()
+    assert got and all(r[4:] == tuple(f"{n}{r.doc_id}" for n in inner) for r in got)
+    assert mixing.mix_sizes(docs).count() == 40

@@ -74,3 +74,34 @@ def test_empty_table(spark):
         assert out.count() == 0
         if name != "packing":
             assert out.columns == docs.columns
+
+
+def test_stages_with_odd_rows_and_every_inner_name(spark):
+    """NULLs, repeats, a very long text and columns named as the stages' own ones come through all stages."""
+    import pytest
+
+    from ledgerproof.llm import quality
+
+    inner = ["_lang_pred", "_LANG_SCORE", "_simhash_bits", "_simhash_row", "_simhash_flag", "_pii_key", "_pii_terms", "_pii_flag", "_key", "_copy",
+             "_cut", "key", "held", "copies", "fingerprint", "lang_pred", "score", "kept", "bits", "_bit", "_place", "_bucket", "_bits"]
+    base = spark.read.parquet(f"{SF_SMALL}/documents.parquet").where("doc_id < 60").collect()
+    long = " ".join(r.text or "" for r in base if r.lang == "en")[:150_000] * 8
+    rows = [(*r[:5], *[f"{n}{r.doc_id}" for n in inner]) for r in base]
+    rows += [rows[3]] * 5 + [(None, rows[4][1], None, None, None, *[None] * len(inner)), (901, None, "en", "src0", None, *[None] * len(inner)),
+             (902, "", None, None, 0, *[None] * len(inner)), (903, long, "en", None, len(long), *[n + "903" for n in inner])]
+    schema = "doc_id long, text string, lang string, source string, n_chars long, " + ", ".join(f"`{n}` string" for n in inner)
+    docs = spark.createDataFrame(rows, schema)
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        out = stage(spark, docs, "")
+        assert out.columns == docs.columns and out.count() > 0, name
+        for r in out.collect():
+            assert r[5:] in [(None,) * len(inner), tuple(f"{n}{r.doc_id}" for n in inner)], name
+        assert stage(spark, docs.limit(0), "").count() == 0, name
+        docs = spark.createDataFrame(out.collect(), schema)
+    assert corpus_pipeline.STAGES[-1][1](spark, docs, "").count() >= docs.count()
+    with pytest.raises(ValueError, match="exists already: score"):
+        langid.predict(docs.drop("lang_pred"), (["en"], None))
+    with pytest.raises(ValueError, match="kept"):
+        quality.cascade(docs)
+    with pytest.raises(ValueError, match="fingerprint"):
+        simhash.fingerprints(docs)
