@@ -150,7 +150,7 @@ def windows(text: str, spans: list[tuple[str, int, int]]) -> list[dict]:
 
 
 def own_names(text: str, spans: list[tuple[str, int, int]]) -> list[dict]:
-    """Name parts of the text's addresses that also stand as words outside of identifiers: entity and term."""
+    """Name parts of the text's addresses that also stand as words outside of identifiers: entity, term and place."""
     names = {}
     for kind, a, b in spans:
         if kind == "email":
@@ -158,8 +158,8 @@ def own_names(text: str, spans: list[tuple[str, int, int]]) -> list[dict]:
                 names.setdefault(part, set()).add(_entity(kind, text[a:b]))
     if not names:
         return []
-    told = {text[a:b].lower() for a, b in _free_words(text, spans) if text[a:b].lower() in names}
-    return [{"entity": e, "term": _hash(t)} for t in sorted(told) for e in sorted(names[t])]
+    told = [(text[a:b].lower(), a, b) for a, b in _free_words(text, spans) if text[a:b].lower() in names]
+    return [{"entity": e, "term": _hash(t), "start": a, "end": b} for t, a, b in told for e in sorted(names[t])]
 
 
 def _free_words(text: str, spans: list[tuple[str, int, int]]) -> Iterator[tuple[int, int]]:
@@ -188,7 +188,7 @@ def found(docs: DataFrame) -> DataFrame:
     slim = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     near = pa.list_(pa.struct([("entity", pa.int64()), ("term", pa.int64()), ("window", pa.int64()),
                                ("start", pa.int64()), ("end", pa.int64())]))
-    names = pa.list_(pa.struct([("entity", pa.int64()), ("term", pa.int64())]))
+    names = pa.list_(pa.struct([(c, pa.int64()) for c in ("entity", "term", "start", "end")]))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -208,7 +208,7 @@ def found(docs: DataFrame) -> DataFrame:
 
     schema = ("doc_id long, key string, text_key string, n_email long, n_ip long, n_card long, n_phone long, base_sha256 string, "
               "base string, near array<struct<entity:long,term:long,window:long,start:long,end:long>>, "
-              "names array<struct<entity:long,term:long>>")
+              "names array<struct<entity:long,term:long,start:long,end:long>>")
     return written(map_batches(slim.withColumn("key", _key()).withColumn("text_key", _text_key("text")), run, schema), "pii-found")
 
 
@@ -331,9 +331,10 @@ def all_disclosing(rows: DataFrame, docs: DataFrame) -> DataFrame:
 
 
 def term_spans(rows: DataFrame, pairs: DataFrame) -> DataFrame:
-    """key, terms: the places of disclosing terms beside their entity, sorted; only for documents that have any."""
-    near = rows.where(F.size("near") > 0).select("key", F.explode("near").alias("w")).select(
-        "key", "w.entity", "w.term", "w.start", "w.end")
+    """key, terms: the places of disclosing terms beside their entity, and of its names in its texts, sorted; only for
+    documents that have any."""
+    held = F.concat(F.transform("near", lambda w: F.struct(*[w[c].alias(c) for c in ("entity", "term", "start", "end")])), "names")
+    near = rows.where(F.size(held) > 0).select("key", F.explode(held).alias("w")).select("key", "w.*")
     places = near.join(pairs, ["entity", "term"], "left_semi").select("key", "start", "end").distinct()
     return places.groupBy("key").agg(F.array_sort(F.collect_list(F.struct("start", "end"))).alias("terms"))
 
