@@ -4,7 +4,8 @@ The features of a text are lexicon densities (a short fixed list, words learned
 word beginnings, for languages that inflect), lexicon words near a second-person word, capitals, punctuation and
 obfuscation (letters mixed with digits or symbols, and lexicon words that appear once these are read as letters).
 Spark ML's boosted trees learn on those, and an isotonic regression fitted on texts that the trees have not seen
-turns their output into a probability.
+turns their output into a probability. The trees never see a text through a lexicon that knows its label: each fold of
+the learning texts is measured with a lexicon learned on the other folds.
 
 Scale: one pass over the texts computes features and another the labelled texts' vocabulary; trees and calibration
 are fitted on at most ``FIT_ROWS`` labelled texts, exact copies once, chosen by a hash of the id (the bound is what
@@ -20,6 +21,7 @@ from __future__ import annotations
 import math
 import re
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -99,8 +101,8 @@ NAMES = ("log_words", "list_density", "log_list", "word_density", "log_word", "w
 class Features:
     """Dense features of a text under a lexicon; what a token contributes is remembered per task."""
 
-    def __init__(self, lexicon: dict[str, float]):
-        self.lexicon = lexicon
+    def __init__(self, lexicon: dict[str, float], listed: frozenset[str] = INSULTS):
+        self.lexicon, self.listed = lexicon, listed
         self.known: dict[str, tuple | None] = {}
 
     def _token(self, token: str) -> tuple | None:
@@ -112,8 +114,8 @@ class Features:
         if hidden or any(c in "013457@$!|" for c in word) and any(c.isalpha() for c in word):
             read = re.sub(r"[\W\d_]+", "", word.translate(_LETTERS))
             read = read if read != word else ""
-        got = (word in INSULTS, at(word, 0.0), stem, word in SECOND_PERSON, hidden,
-               bool(read) and (read in INSULTS or read in self.lexicon))
+        got = (word in self.listed, at(word, 0.0), stem, word in SECOND_PERSON, hidden,
+               bool(read) and (read in self.listed or read in self.lexicon))
         return got if any(got) else None
 
     def __call__(self, text: str | None) -> list[float]:
@@ -160,12 +162,12 @@ class Features:
                 data.count(b"!") / n, data.count(b"?") / n, len(_RUNS.findall(data)) / n, hidden / n, read / n]
 
 
-def features(rows: DataFrame, lexicon: dict[str, float], *carry: str) -> DataFrame:
+def features(rows: DataFrame, lexicon: dict[str, float], *carry: str, listed: frozenset[str] = INSULTS) -> DataFrame:
     """``carry`` columns and the vector ``features`` of ``text``."""
     kept = rows.select(*carry, F.col("text").cast("string").alias("text"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        of = Features(lexicon)
+        of = Features(lexicon, listed)
         for batch in batches:
             dense = pa.array([of(x.as_py()) for x in batch.column(len(carry))], pa.list_(pa.float64()))
             yield pa.RecordBatch.from_arrays([*batch.columns[:-1], dense], names=[*carry, "dense"])
@@ -192,7 +194,8 @@ def fit_rows(docs: DataFrame, labels: DataFrame, most: int = FIT_ROWS) -> DataFr
 class Model:
     """Lexicon, trees and calibration; ``trees`` is None where the labels leave nothing to learn."""
 
-    def __init__(self, docs: DataFrame, labels: DataFrame, most: int = FIT_ROWS):
+    def __init__(self, docs: DataFrame, labels: DataFrame, most: int = FIT_ROWS, listed: frozenset[str] = INSULTS):
+        self.listed = listed
         fit = fit_rows(docs, labels, most)
         learn = fit.where(F.col("fold") != CALIBRATION)
         kinds = {r.toxic: r.n for r in learn.groupBy("toxic").agg(F.count("*").alias("n")).collect()}
@@ -203,7 +206,10 @@ class Model:
         if len(kinds) < 2:
             return
         self.lexicon = vocabulary(learn)
-        rows = written(features(fit, self.lexicon, "toxic", "fold"), "toxic-features")
+        seen = [features(learn.where(F.col("fold") == k), vocabulary(learn.where(F.col("fold") != k)), "toxic", "fold", listed=listed)
+                for k in range(FOLDS) if k not in (HELD_OUT, CALIBRATION)]
+        unseen = features(fit.where(F.col("fold") == CALIBRATION), self.lexicon, "toxic", "fold", listed=listed)
+        rows = written(reduce(DataFrame.union, seen, unseen), "toxic-features")
         self.trees = GBTClassifier(labelCol="toxic", maxIter=TREES, maxDepth=DEPTH, stepSize=0.2, seed=5).fit(
             rows.where(F.col("fold") != CALIBRATION).select("features", "toxic"))
         unseen = self._raw(rows.where(F.col("fold") == CALIBRATION)).select("raw", F.col("toxic").cast("double").alias("toxic"))
@@ -217,14 +223,14 @@ class Model:
         """``carry`` columns and ``score``, the calibrated probability of label 1."""
         if self.trees is None:
             return docs.select(*carry, F.lit(self.share).alias("score"))
-        raw = self._raw(features(docs, self.lexicon, *carry))
+        raw = self._raw(features(docs, self.lexicon, *carry, listed=self.listed))
         if self.calibration is None:
             return raw.select(*carry, F.col("raw").alias("score"))
         return self.calibration.transform(raw).select(*carry, F.least(F.greatest("score", F.lit(0.0)), F.lit(1.0)).alias("score"))
 
 
-def digest(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    model = Model(docs, labels)
+def digest(docs: DataFrame, labels: DataFrame, *, listed: frozenset[str] = INSULTS) -> DataFrame:
+    model = Model(docs, labels, listed=listed)
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     return model.score(rows, "doc_id").select(
         "doc_id", F.coalesce(fold() == HELD_OUT, F.lit(False)).alias("held_out"), "score",
