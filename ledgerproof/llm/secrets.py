@@ -1,10 +1,12 @@
 """Secret scan: a wide candidate pattern, then a random forest that removes false positives. DataFrame operations only.
 
-A candidate is a run of at least ``SHORTEST`` key-like characters that holds a digit. Its features are length,
+A candidate is any value assigned to a credential's name and, elsewhere, a run of at least ``SHORTEST`` key-like
+characters that holds a digit. Its features are length,
 changes between character classes, shares of digits and capitals, distinct characters, hexadecimal form, the share of
 its letters covered by dictionary words (letter runs that occur in at least ``KNOWN`` documents of the corpus), how
 it is set (assigned, quoted), and the log odds, among the labelled findings, of the word before, the word after and
-the path. Spark ML's random forest learns from labelled findings and scores every candidate.
+the path. Spark ML's random forest learns from labelled findings, whose own odds come from the other folds, and scores
+every candidate.
 
 Findings come labelled from the caller; ``presumed`` labels candidates by published key formats and credential
 names, for corpora without labels, and the registered query learns on three of four documents that way.
@@ -21,6 +23,8 @@ gives no rows; other columns are ignored.
 
 from __future__ import annotations
 
+import math
+
 from pyspark.ml.classification import RandomForestClassifier
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
@@ -40,21 +44,34 @@ FOLDS, HELD_OUT = 4, 0
 #: Published key formats and the names credentials are assigned to; fixed values.
 FORMATS = (r"^(?:AKIA|ASIA)[0-9A-Z]{16}$|^gh[pousr]_[A-Za-z0-9]{36,}$|^xox[abprs]-[A-Za-z0-9-]{10,}$|^AIza[0-9A-Za-z_-]{35}$"
            r"|^[sr]k_live_[0-9A-Za-z]{16,}$|^sk-[A-Za-z0-9_-]{20,}$|^glpat-[A-Za-z0-9_-]{20}$|^eyJ[A-Za-z0-9_-]+\.eyJ[A-Za-z0-9_.-]+$")
-NAMES = r"(?i)(?:password|passwd|pwd|secret|token|api_?key|access_?key|auth|credential)s?$"
+_CREDENTIAL = r"(?i:password|passwd|pwd|secret|token|api_?key|access_?key|auth|credential)s?"
+NAMES = _CREDENTIAL + "$"
 #: Forms that are something else: mail addresses, host names and versions, plain numbers, placeholders.
 OTHER = r"@|^[0-9.+/_-]+$|(?i)example|sample|xxxx|0123456789|\.(?:com|org|net|html?|jpg|png|js|css)"
 
+#: What stands behind a credential's name and a colon or equals sign, whatever its length or signs, up to a blank, quote,
+#: bracket, comma, semicolon or ampersand; the cheap look back comes first.
+_NAMED = _CREDENTIAL + r"[\"']?\s{0,3}[:=]"
+_ASSIGNED = (r"(?<=[:=\s\"'])(?<=[:=]\s{0,3}[\"']?)(?<=" + _NAMED + r"\s{0,3}[\"']?)[^\s\"'<>,;&]*[^\s\"'<>=:,;&.!?()\[\]{}]")
+_FEWEST = 5  # signs of the shortest assignment, ``pwd=x``
+
 FEATURES = ("chars", "changes", "digits", "capitals", "distinct", "hexadecimal", "coverage", "assigned", "quoted",
             "before_odds", "after_odds", "path_odds")
 
 
 def candidates(docs: DataFrame, *, path: str = "source") -> DataFrame:
-    """doc_id, start, end (code points), value, before and after (nearest words), assigned, quoted, path; written."""
-    pieces, values = F.split("text", CANDIDATE, -1), F.regexp_extract_all("text", F.lit(CANDIDATE), F.lit(0))
+    """doc_id, start, end (code points), value, before and after (nearest words), assigned, quoted, path; written.
+
+    Candidates are the values assigned to a credential's name and, elsewhere, runs of SHORTEST signs or more that hold a
+    digit."""
+    both, has = f"{_ASSIGNED}|{CANDIDATE}", F.col("text").rlike(_NAMED)
+    pieces = F.when(has, F.split("text", both, -1)).otherwise(F.split("text", CANDIDATE, -1))
+    values = F.when(has, F.regexp_extract_all("text", F.lit(both), F.lit(0))).otherwise(
+        F.regexp_extract_all("text", F.lit(CANDIDATE), F.lit(0)))
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"),
                        F.col(path).cast("string").alias("path"), F.monotonically_increasing_id().alias("row"))
     found = rows.select("row", "doc_id", "path", pieces.alias("p"), values.alias("v")).where(F.size("v") > 0)
-    reach = CONTEXT // SHORTEST  # so many neighbouring runs fill the context
+    reach = CONTEXT // _FEWEST  # so many neighbouring runs fill the context
 
     def part(column: str, i: Column, first: bool) -> Column:
         return F.coalesce(F.substring(F.get(column, i), 1 if first else -CONTEXT, CONTEXT), F.lit(""))
@@ -74,7 +91,8 @@ def candidates(docs: DataFrame, *, path: str = "source") -> DataFrame:
     upto = Window.partitionBy("row").orderBy("k").rowsBetween(Window.unboundedPreceding, 0)
     end = F.sum(F.col("gap") + F.length("value")).over(upto)
     word = r"([\p{L}\p{N}_-]+)[^\p{L}\p{N}]*$"
-    out = each.withColumn("end", end.cast("long")).where(F.col("value").rlike("[0-9]")).select(
+    named = F.col("left").rlike(_NAMED + r"\s*[\"']?$")
+    out = each.withColumn("end", end.cast("long")).where(F.col("value").rlike("[0-9]") | named).select(
         "doc_id", (F.col("end") - F.length("value")).cast("long").alias("start"), "end", "value",
         F.lower(F.regexp_extract("left", word, 1)).alias("before"),
         F.lower(F.regexp_extract("right", r"^[^\p{L}\p{N}]*([\p{L}\p{N}_-]+)", 1)).alias("after"),
@@ -118,6 +136,26 @@ def presumed(found: DataFrame) -> DataFrame:
     return found.withColumn("label", F.when(form | named & ~other, 1).when(other & ~named, 0)).where("label is not null")
 
 
+SIDES = ("before", "after", "path")
+ODDS_FOLDS = 4
+
+
+def out_of_fold(fit: DataFrame, prior: float) -> DataFrame:
+    """Labelled findings with the odds of their words and path as the findings of the other folds have them; folds are by
+    value, so neither a finding's own label nor a copy's is in its odds. What no other fold knows has the prior."""
+    rows = fit.withColumn("_fold", F.pmod(F.xxhash64("value"), F.lit(ODDS_FOLDS)))
+    for c in SIDES:
+        each = rows.groupBy(F.col(c).alias("_c"), F.col("_fold").alias("_f")).agg(
+            F.sum("label").alias("_own1"), F.sum(1 - F.col("label")).alias("_own0"))
+        whole = Window.partitionBy("_c")
+        each = each.select("_c", "_f", (F.sum("_own1").over(whole) - F.col("_own1")).alias("_o"),
+                           (F.sum("_own0").over(whole) - F.col("_own0")).alias("_z"))
+        odds = F.when(F.col("_o") + F.col("_z") > 0, F.log((F.col("_o") + 0.5) / (F.col("_z") + 0.5))).otherwise(prior)
+        rows = rows.join(each, (F.col(c) == F.col("_c")) & (F.col("_fold") == F.col("_f"))).withColumn(
+            f"{c}_odds", odds).drop("_c", "_f", "_o", "_z")
+    return rows.drop("_fold")
+
+
 class Model:
     """Log odds of neighbours and paths, and the forest, from labelled ``findings`` (measured candidates and label)."""
 
@@ -130,17 +168,20 @@ class Model:
         self.forest = None
         if len(kinds) < 2:
             return
-        self.prior = F.log(F.lit((kinds[1] + 0.5) / (kinds[0] + 0.5)))
+        self.prior = math.log((kinds[1] + 0.5) / (kinds[0] + 0.5))
         ones, zeros = F.sum("label"), F.sum(1 - F.col("label"))
         self.odds = {c: fit.groupBy(c).agg(F.log((ones + 0.5) / (zeros + 0.5)).alias(f"{c}_odds")).withColumnRenamed(c, f"_{c}")
-                     for c in ("before", "after", "path")}
+                     for c in SIDES}
         self.forest = RandomForestClassifier(featuresCol="features", labelCol="label", numTrees=TREES, maxDepth=DEPTH,
-                                             seed=3).fit(self._assembled(fit).select("features", "label"))
+                                             seed=3).fit(self._assembled(out_of_fold(fit, self.prior)).select("features", "label"))
 
-    def _assembled(self, rows: DataFrame) -> DataFrame:
+    def _with_odds(self, rows: DataFrame) -> DataFrame:
         for column, table in self.odds.items():
             rows = rows.join(table, F.col(column) == F.col(f"_{column}"), "left").drop(f"_{column}").withColumn(
-                f"{column}_odds", F.coalesce(f"{column}_odds", self.prior))
+                f"{column}_odds", F.coalesce(f"{column}_odds", F.lit(self.prior)))
+        return rows
+
+    def _assembled(self, rows: DataFrame) -> DataFrame:
         for flag in ("assigned", "quoted"):
             rows = rows.withColumn(flag, F.col(flag).cast("double"))
         return VectorAssembler(inputCols=list(FEATURES), outputCol="features").transform(rows)
@@ -149,7 +190,7 @@ class Model:
         """Measured candidates with ``score``, the forest's share for label 1."""
         if self.forest is None:
             return rows.withColumn("score", F.lit(self.share))
-        return self.forest.transform(self._assembled(rows)).withColumn("score", vector_to_array("probability")[1])
+        return self.forest.transform(self._assembled(self._with_odds(rows))).withColumn("score", vector_to_array("probability")[1])
 
 
 def scan(docs: DataFrame, findings=None, *, path: str = "source", threshold: float = 0.5) -> DataFrame:

@@ -98,3 +98,51 @@ def test_context_holds_neighbouring_runs(spark):
     measured = secrets.measured(secrets.candidates(docs), secrets.dictionary(docs))
     assert {r.value for r in secrets.presumed(measured).where("label = 1").collect()} == {
         "abcd1234EFGH5678", "s3cr3tValue99", "abcdef123456"}
+
+
+def test_assigned_values_of_any_form_are_candidates(spark):
+    values = ["hunter2x", "correct-horse-battery", "P@ssw0rd!2024#x", "abc", "ünïcode", "x"]
+    texts = [f"é config pwd: {v}, next" if k % 2 else f'DB_PASSWORD = "{v}" and so on' for k, v in enumerate(values)]
+    texts += ["the password is secret: no", "token of thanks = given", "apikey=k1 secret='two' pwd=3;" * 30, "passwords: ", "author: me"]
+    docs = spark.createDataFrame([(k, t, "p") for k, t in enumerate(texts)], "doc_id long, text string, source string")
+    got = {}
+    for r in secrets.candidates(docs).collect():
+        assert texts[r.doc_id][r.start:r.end] == r.value
+        got.setdefault(r.doc_id, []).append(r)
+    for k, v in enumerate(values):
+        assert [r.value for r in got[k]] == [v] and got[k][0].assigned and got[k][0].before in ("pwd", "db_password")
+    assert [r.value for r in got[6]] == ["no"] and 7 not in got and 9 not in got and 10 not in got
+    assert len(got[8]) == 90 and {r.value for r in got[8]} == {"k1", "two", "3"}
+    middle = sorted(got[8], key=lambda r: r.start)[45]
+    assert (middle.before, middle.after) == ("apikey", "secret")
+
+
+def test_short_and_digitless_secrets_are_found(spark):
+    rng = random.Random(5)
+    words = ["".join(rng.choice("abcdefgh") for _ in range(6)) for _ in range(400)]
+    rows = []
+    for k in range(400):
+        if k % 2:
+            rows.append((k, f"setup password = {'-'.join(rng.sample(words, 3)) if k % 4 == 1 else words[k][:5] + '!x'} done", "app"))
+        else:
+            rows.append((k, f"order number {rng.randrange(10**14, 10**15)} was sent", "shop"))
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    learn = spark.createDataFrame([(k, k % 2) for k in range(200)], "_d long, label int")
+    got = secrets.scan(docs, lambda found: found.join(learn, found["doc_id"] == learn["_d"]).drop("_d")).where("doc_id >= 200").collect()
+    assert len(got) == 200 and sum(r.is_secret == bool(r.doc_id % 2) for r in got) >= 196
+
+
+def test_odds_out_of_fold_equal_a_twin(spark):
+    import math
+
+    rng = random.Random(6)
+    rows = [(f"v{rng.randrange(40)}", rng.choice("abc"), rng.choice(["x", "y", f"only{k}"]), "p", rng.randrange(2)) for k in range(150)]
+    frame = spark.createDataFrame(rows, "value string, before string, after string, path string, label int")
+    folds = {r.value: r.f for r in frame.select("value", F.pmod(F.xxhash64("value"), F.lit(secrets.ODDS_FOLDS)).alias("f")).distinct().collect()}
+    got = secrets.out_of_fold(frame, -9.0).collect()
+    assert len(got) == len(rows)
+    for r in got:
+        for c in secrets.SIDES:
+            other = [x for x in rows if x[("value", "before", "after", "path").index(c)] == r[c] and folds[x[0]] != folds[r.value]]
+            ones = sum(x[4] for x in other)
+            assert r[f"{c}_odds"] == pytest.approx(math.log((ones + 0.5) / (len(other) - ones + 0.5)) if other else -9.0)
