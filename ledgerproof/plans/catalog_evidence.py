@@ -188,22 +188,23 @@ ORACLE["merged_totals"] = _with(FAULTY, f"""after_ AS (
 
 # ---------------------------------------------------------------- files: skipping, merging, lookups, schema changes
 
-RANGE = ("ACC-00020", "ACC-00024")
+RANGE = ("ACC-00003", "ACC-00006")
 
 
 def q_skipped_files(spark, sf_dir):
     """Bronze by account range, read from the listed files only: as landed, where no file can be skipped, and clustered."""
     bronze = bronze_fixture(table(spark, sf_dir, "events"), faulty=False, keep_src=False)
     out, roots = [], []
-    for layout, rows in (("landed", bronze.repartition(16)), ("clustered", zordered(bronze, ["account_id", "occurred_at"], 16))):
+    for layout, laid in (("landed", bronze.repartition(16)), ("clustered", zordered(bronze, ["account_id", "occurred_at"], 16))):
         path = _fresh_dir(spark, "files")
         roots.append(path)
-        rows.write.parquet(path)
+        laid.write.parquet(path)
         ranges, range_path = materialize_at(file_ranges(spark, path, ["account_id", "occurred_at"]), "file-ranges")
         roots.append(range_path)
         files = [r["file"] for r in files_to_read(ranges, bronze, "account_id", *RANGE).collect()]
         whole = ranges.select("file").distinct().count()
-        found = spark.read.parquet(*files).where(F.col("account_id").between(*RANGE))
+        rows = spark.read.parquet(*files) if files else spark.read.parquet(path).limit(0)
+        found = rows.where(F.col("account_id").between(*RANGE))
         out.append(found.groupBy("account_id").agg(F.count("*").alias("rows")).select(
             F.lit(layout).alias("layout"), F.lit(len(files) <= whole / 2).alias("skips"), "account_id", "rows"))
     return _settled(spark, out[0].unionByName(out[1]), *roots)
