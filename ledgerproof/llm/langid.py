@@ -5,14 +5,16 @@ the sum over all its segmentations into pieces, by the forward algorithm; a text
 words (maximal letter runs, lower-cased, opened by the vocabulary's word mark, which no piece crosses). Piece
 probabilities come from expected counts: the posterior of each piece over all segmentations of every word of the
 labelled texts, one forward-backward pass under even piece probabilities, smoothed toward the pool of languages.
+Runs beyond ``SHORT`` letters (text without spaces) are summed whole, too: ``PART`` letters at a time, the mass of
+the open places is carried over and scaled, so a run of any length neither leaves floating point nor is cut.
 
 Scale: both passes stream over the texts. The lattice of a word is solved once per worker and distinct word, for
 all words of a block at a time. Training gives one row per task, language and piece, summed by a shuffle; the
 model, languages x pieces, is the only thing gathered, bounded by the vocabulary, and covers all labelled texts.
 
 Defined results: NULL text and text without a letter are ``und`` with score 0; without any labelled text everything
-is ``und``; ties go to the first language by code point; letter runs beyond ``RUN`` letters are scored in pieces of
-``RUN``; letters outside the vocabulary cost the same in every language; other columns pass through untouched.
+is ``und``; ties go to the first language by code point; letter runs of any length count whole; letters outside the
+vocabulary cost the same in every language; other columns pass through untouched.
 """
 
 from __future__ import annotations
@@ -31,12 +33,15 @@ from pyspark.sql import types as T
 from .common import free_names, hold_cache, map_batches, refuse_taken
 
 FOLDS, HELD_OUT = 4, 2
-RUN = 40
+SHORT = 40  # letters of a word whose sums stay inside floating point
+PART = 8  # letters summed between two scalings of a long run
+TINY = 1e-290  # a short word's likelihood below this is summed again with scaling
 MARK = "▁"
 UNKNOWN = 1e-7  # probability of a letter no piece covers, alike in every language
 SMOOTHING = 1000.0  # expected pieces of the pool added to each language
 WORDS = 200_000  # distinct words counted before a training task solves them
 BLOCK = 40_000  # words whose lattices are solved at a time
+LONG_BLOCK = 1_000  # long runs summed side by side
 CACHE = 300_000  # distinct words kept per worker when scoring
 
 _RUNS = re.compile(r"[^\W\d_]+")
@@ -50,14 +55,13 @@ def vocabulary_path() -> str:
 
 
 def words_of(text: str | None) -> list[str]:
-    """Letter runs in lower case, at most ``RUN`` letters each."""
+    """Letter runs in lower case."""
     out = []
     for w in _RUNS.findall((text or "").lower()):
-        if len(w) <= RUN and w.isalpha():
+        if w.isalpha():
             out.append(w)
         else:  # numerals count as word characters for the pattern; combining marks do not reach it
-            for part in "".join(c if c.isalpha() else " " for c in w).split():
-                out += [part[i:i + RUN] for i in range(0, len(part), RUN)]
+            out += "".join(c if c.isalpha() else " " for c in w).split()
     return out
 
 
@@ -87,6 +91,25 @@ class Vocabulary:
     def step(h, c):
         return (h ^ (c + np.uint64(1))) * _BASE
 
+    def matches(self, code: np.ndarray, at: np.ndarray, end: np.ndarray) -> Iterator[tuple[np.ndarray, int, np.ndarray]]:
+        """Pieces from the places ``at`` of ``code`` that stop by ``end``: per length, (rows of ``at``, length, pieces)."""
+        row, h = np.arange(len(at)), np.zeros(len(at), np.uint64)
+        for n in range(1, self.longest + 1):
+            with np.errstate(over="ignore"):
+                h = self.step(h, code[at[row] + n - 1])
+            k = np.searchsorted(self.hashes, h)
+            k[k == len(self.hashes)] = 0
+            known = self.hashes[k] == h
+            number = np.where(known, self.numbers[k], -1)
+            if n == 1:
+                number[number < 0] = self.size  # a letter without a piece of its own
+            is_piece = number >= 0
+            yield row[is_piece], n, number[is_piece]
+            go = known & (at[row] + n < end[row])
+            row, h = row[go], h[go]
+            if not len(row):
+                break
+
     def lattice(self, words: list[str]) -> Lattice:
         return Lattice(self, words)
 
@@ -103,23 +126,7 @@ class Lattice:
         word = np.repeat(np.arange(len(words)), lengths)
         node = np.arange(len(code)) + word  # a word of n letters has n + 1 nodes
         end = (first + lengths)[word]
-        at, h = np.arange(len(code)), np.zeros(len(code), np.uint64)
-        found = []
-        with np.errstate(over="ignore"):
-            for n in range(1, vocabulary.longest + 1):
-                h = vocabulary.step(h, code[at + n - 1])
-                k = np.searchsorted(vocabulary.hashes, h)
-                k[k == len(vocabulary.hashes)] = 0
-                known = vocabulary.hashes[k] == h
-                number = np.where(known, vocabulary.numbers[k], -1)
-                if n == 1:
-                    number[number < 0] = vocabulary.size  # a letter without a piece of its own
-                is_piece = number >= 0
-                found.append((at[is_piece], np.full(int(is_piece.sum()), n), number[is_piece]))
-                go = known & (at + n < end[at])
-                at, h = at[go], h[go]
-                if not len(at):
-                    break
+        found = [(at, np.full(len(at), n), piece) for at, n, piece in vocabulary.matches(code, np.arange(len(code)), end)]
         at, n, self.piece = (np.concatenate(x) for x in zip(*found))
         inside = at + n - first[word[at]]
         order = np.argsort(inside * 64 + n, kind="stable")
@@ -157,6 +164,112 @@ class Lattice:
         return np.stack([np.bincount(self.piece, share * w[word], len(p)) for w in weights.T])
 
 
+class LongRuns:
+    """Sums over all segmentations of long words, side by side, ``PART`` letters at a time.
+
+    A piece spans at most ``reach`` letters, so the masses of the next ``reach`` places are all that one part hands to
+    the next. They are divided by their largest, whose logarithm is added up beside them."""
+
+    def __init__(self, vocabulary: Vocabulary, words: list[str]):
+        self.vocabulary, self.reach = vocabulary, vocabulary.longest
+        lengths = np.fromiter(map(len, words), np.int64, len(words)) + 1
+        self.order = np.argsort(-lengths, kind="stable")  # words that go on are the first ones
+        self.lengths = lengths[self.order]
+        self.code = np.frombuffer("".join(MARK + words[k] for k in self.order).encode("utf-32-le"), "<u4").astype(np.uint64)
+        self.first = np.cumsum(self.lengths) - self.lengths
+
+    def _live(self, a: int) -> int:
+        """Words with a place ``a``."""
+        return int(np.searchsorted(-self.lengths, -a, side="right"))
+
+    def _pieces(self, a: int, live: int) -> np.ndarray:
+        """(live, PART, reach): the piece of each length from each of the part's letters; size + 1 is none."""
+        none = self.vocabulary.size + 1
+        out = np.full((live * PART, self.reach), none)
+        inside = a + np.tile(np.arange(PART), live)
+        held = np.flatnonzero(inside < np.repeat(self.lengths[:live], PART))
+        word = held // PART
+        at = self.first[word] + inside[held]
+        for row, n, number in self.vocabulary.matches(self.code, at, (self.first + self.lengths)[word]):
+            out[held[row], n - 1] = number
+        return out.reshape(live, PART, self.reach)
+
+    def forward(self, p: np.ndarray, keep: bool = False) -> tuple[np.ndarray, list[np.ndarray]]:
+        """(log likelihood of each word and column of ``p``; with ``keep``, the log masses of each part's places)."""
+        columns, table = p.shape[1], np.concatenate([p, np.zeros((1, p.shape[1]))])
+        out, kept = np.zeros((len(self.lengths), columns)), []
+        live = len(self.lengths)
+        carry, scale = np.zeros((live, self.reach, columns)), np.zeros((live, columns))
+        carry[:, 0] = 1.0
+        for a in range(0, int(self.lengths.max(initial=-1)) + 1, PART):
+            mass = np.concatenate([carry, np.zeros((live, PART, columns))], 1)
+            piece = self._pieces(a, live)
+            for j in range(PART):
+                mass[:, j + 1:j + 1 + self.reach] += (mass[:, j, None] * table[piece[:, j]])[:, :mass.shape[1] - j - 1]
+            with np.errstate(divide="ignore"):
+                if keep:
+                    kept.append(np.log(mass[:, :PART]) + scale[:, None])
+                on = self._live(a + PART)
+                ends = np.arange(on, live)
+                out[ends] = np.log(mass[ends, self.lengths[ends] - a]) + scale[ends]
+            live = on
+            carry = mass[:live, PART:]
+            top = carry.max(1)
+            carry, scale = carry / top[:, None], scale[:live] + np.log(top)
+        return out, kept
+
+    def likelihood(self, p: np.ndarray) -> np.ndarray:
+        """Log likelihoods in the words' own order."""
+        out = np.empty((len(self.lengths), p.shape[1]))
+        out[self.order] = self.forward(p)[0]
+        return out
+
+    def expected(self, p: np.ndarray) -> np.ndarray:
+        """(pieces + 1): expected uses of each piece in all the words."""
+        total, front = self.forward(p.reshape(-1, 1), keep=True)
+        out = np.zeros(len(p) + 1)
+        carry = np.zeros((0, self.reach))
+        with np.errstate(divide="ignore"):
+            table = np.log(np.append(p, 0.0))
+        for k in range(len(front) - 1, -1, -1):  # the way back is in logarithms
+            a, live = k * PART, len(front[k])
+            back = np.full((live, PART + self.reach), -np.inf)
+            back[:len(carry), PART:] = carry
+            ends = np.arange(len(carry), live)
+            back[ends, self.lengths[ends] - a] = 0.0
+            piece = self._pieces(a, live)
+            for j in range(PART - 1, -1, -1):
+                step = back[:, j + 1:j + 1 + self.reach] + table[piece[:, j]]
+                back[:, j] = np.logaddexp(back[:, j], np.logaddexp.reduce(step, axis=1))
+                out += np.bincount(piece[:, j].ravel(), np.exp(front[k][:, j] + step - total[:live]).ravel(), len(out))
+            carry = back[:, :self.reach]
+        return out[:-1]
+
+
+def by_length(words: list[str]) -> Iterator[list[int]]:
+    """Places of the words in blocks of like length."""
+    order = sorted(range(len(words)), key=lambda k: len(words[k]))
+    for i in range(0, len(order), LONG_BLOCK):
+        yield order[i:i + LONG_BLOCK]
+
+
+def log_likelihoods(v: Vocabulary, words: list[str], p: np.ndarray, block: int) -> np.ndarray:
+    """(words, columns of ``p``): logarithms of the sums over all segmentations, for words of any length."""
+    out = np.empty((len(words), p.shape[1]))
+    scaled = [k for k, w in enumerate(words) if len(w) > SHORT]
+    short = [k for k, w in enumerate(words) if len(w) <= SHORT]
+    for i in range(0, len(short), block):
+        at = short[i:i + block]
+        mass = v.lattice([words[k] for k in at]).likelihood(p)
+        small = (mass < TINY).any(1)
+        scaled += [k for k, low in zip(at, small) if low]
+        out[at] = np.log(np.maximum(mass, TINY))
+    for at in by_length([words[k] for k in scaled]):
+        rows = [scaled[k] for k in at]
+        out[rows] = LongRuns(v, [words[k] for k in rows]).likelihood(p)
+    return out
+
+
 @lru_cache(maxsize=2)
 def vocabulary(path: str) -> Vocabulary:
     return Vocabulary(path)
@@ -189,8 +302,12 @@ def learn(docs: DataFrame, *, path: str | None = None, text: str = "text", lang:
 
         for batch in batches:
             numbers: dict[str, list[int]] = {}
+            long: dict[str, list[str]] = {}
             for text, label in zip(batch.column(0), batch.column(1).to_pylist()):
-                found = words_of(text.as_py())
+                words = words_of(text.as_py())
+                found = [w for w in words if len(w) <= SHORT]
+                if len(found) < len(words):
+                    long.setdefault(label, []).extend(w for w in words if len(w) > SHORT)
                 for w in found:
                     if w not in index:
                         index[w] = len(index)
@@ -201,6 +318,9 @@ def learn(docs: DataFrame, *, path: str | None = None, text: str = "text", lang:
                 if old is not None:
                     now[:len(old)] += old
                 counts[label] = now
+            for label, words in long.items():
+                for block in by_length(words):
+                    totals[label] = totals.get(label, 0) + LongRuns(v, [words[k] for k in block]).expected(even)
             if len(index) > WORDS:
                 solve()
         solve()
@@ -249,20 +369,26 @@ def predict(docs: DataFrame, model: tuple[list[str], np.ndarray], *, path: str |
             found = [words_of(x.as_py()) for x in batch.column(at)]
             if len(known) > CACHE:
                 known, table = {}, np.zeros((0, len(langs)))
+            long = [[w for w in words if len(w) > SHORT] for words in found]  # scored as they come, not kept
+            found = [[w for w in words if len(w) <= SHORT] if n else words for words, n in zip(found, long)]
             new = list(dict.fromkeys([w for words in found for w in words if w not in known])) if langs else []
             if new:
                 known.update(zip(new, range(len(known), len(known) + len(new))))
-                table = np.concatenate([table, *[np.log(v.lattice(new[i:i + block]).likelihood(by_piece))
-                                                 for i in range(0, len(new), block)]])
+                table = np.concatenate([table, log_likelihoods(v, new, by_piece, block)])
                 _SCORED.clear()
                 _SCORED[mark] = known, table
+            runs = list(dict.fromkeys(w for words in long for w in words)) if langs else []
+            place = dict(zip(runs, range(len(runs))))
+            own = log_likelihoods(v, runs, by_piece, block)
             best, sure = [], []
-            for words in found:
-                if not words or not langs:
+            for words, more in zip(found, long):
+                if not (words or more) or not langs:
                     best.append("und")
                     sure.append(0.0)
                     continue
                 total = table[np.fromiter(map(known.__getitem__, words), np.int64, len(words))].sum(0)
+                if more:
+                    total = total + own[[place[w] for w in more]].sum(0)
                 k = int(total.argmax())
                 best.append(langs[k])
                 sure.append(float(1.0 / np.exp(np.maximum(total - total[k], -700)).sum()))

@@ -50,8 +50,53 @@ def test_likelihood_and_expectation_sum_all_segmentations():
     assert np.allclose(both[0], expected) and np.allclose(both[1], 2 * expected)
 
 
+def slow_sums(word, p, number, size):
+    """(log likelihood, expected uses) of one word by plain loops in logarithms."""
+    marked = "▁" + word
+    longest = max(map(len, number))
+    edges = []
+    for i in range(len(marked)):
+        for n in range(1, min(longest, len(marked) - i) + 1):
+            k = number.get(marked[i:i + n], size if n == 1 else None)
+            if k is not None:
+                edges.append((i, i + n, k))
+    front, back = np.full(len(marked) + 1, -np.inf), np.full(len(marked) + 1, -np.inf)
+    front[0] = back[-1] = 0.0
+    for a, b, k in sorted(edges, key=lambda e: e[0]):
+        front[b] = np.logaddexp(front[b], front[a] + np.log(p[k]))
+    for a, b, k in sorted(edges, key=lambda e: -e[1]):
+        back[a] = np.logaddexp(back[a], back[b] + np.log(p[k]))
+    uses = np.zeros(len(p))
+    for a, b, k in edges:
+        uses[k] += np.exp(front[a] + np.log(p[k]) + back[b] - front[-1])
+    return front[-1], uses
+
+
+def test_runs_of_any_length_are_summed_whole():
+    v, number = langid.vocabulary(PATH), numbers()
+    p = np.random.default_rng(2).random((v.size + 1, 3)) / v.size * [1, 1e-3, 1e-12]
+    words = ["theories" * 9, "漢字假名" * 30, "e" * 41, "straßenbahnhaltestelle" * 7, "ab", "x" * 47, "être" * 12, "q" * 39]
+    want = [[slow_sums(w, p[:, c], number, v.size) for c in range(3)] for w in words]
+    got = langid.log_likelihoods(v, words, p, 3)
+    assert np.allclose(got, [[x[0] for x in row] for row in want], rtol=1e-9)
+    assert np.allclose(langid.LongRuns(v, words).likelihood(p), got, rtol=1e-9)
+    for c in (0, 2):
+        uses = langid.LongRuns(v, words).expected(p[:, c])
+        assert np.allclose(uses, sum(row[c][1] for row in want), rtol=1e-8, atol=1e-12)
+    assert langid.log_likelihoods(v, [], p, 3).shape == (0, 3)
+
+
+def test_text_without_spaces(spark):
+    rows = [(k, t * 30, g) for k, (t, g) in enumerate([("thecatandthedog", "en"), ("derhundunddiekatze", "de")] * 12)]
+    rows += [(100, "thedogandthecat" * 4000, None), (101, "diekatzeundderhund" * 3000, None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    got = {r.doc_id: r for r in langid.digest(docs).collect()}
+    assert got[100].lang_pred == "en" and got[101].lang_pred == "de"
+    assert all(got[k].lang_pred == g for k, _, g in rows if g) and all(r.score > 0.99 for r in got.values())
+
+
 def test_words():
-    assert langid.words_of("Ab-c1d ²½ Ⅷ x_y" + " " + "q" * 90) == ["ab", "c", "d", "x", "y", "q" * 40, "q" * 40, "q" * 10]
+    assert langid.words_of("Ab-c1d ²½ Ⅷ x_y" + " " + "q" * 90) == ["ab", "c", "d", "x", "y", "q" * 90]
     assert langid.words_of(None) == [] == langid.words_of("12 !")
 
 
