@@ -11,7 +11,8 @@ ranged into about sqrt(rows) buckets; word counts are summed per bucket, a prefi
 bucket where the budget ends, and a prefix sum inside that one bucket finds the key. So only word counts are
 shuffled, partly summed first; no source, however hot, lands in a task beyond sqrt(its rows), and documents meet
 the cut, one row per source, without moving themselves. Rows that share the key at a cut are numbered by ranges, so a
-third of all rows may be equal. The one unpartitioned window ranks sources, one row each.
+third of all rows may be equal. Sources are ranked and their caps summed by ranges as well, so there may be as many
+as web hosts; the driver sees three numbers: all words, all weights, the level.
 
 Defined results: NULL text has size 0 and NULL source is a source; the document at the cut gives its first words
 only; rows that are equal in id and text share a key, and where the cut falls on it they give what is left one after
@@ -42,24 +43,39 @@ def _range(key: str) -> Column:
     return F.conv(F.substring(F.col(key), 1, 8), 16, 10).cast("long")
 
 
+def _before(df: DataFrame, order: list[Column], sums: tuple[str, ...] = ()) -> DataFrame:
+    """``df`` with ``pos``, a row's place from 0 by ``order``, and per column of ``sums`` its sum over all earlier rows.
+
+    Rows are sorted by ranges: sums inside a range, plus a prefix sum of one row per range. Written. ``order`` should
+    tell all rows apart."""
+    placed = written(df.repartitionByRange(*order).sortWithinPartitions(*order).withColumn(
+        "_at", F.monotonically_increasing_id()), "mix-order").withColumn("_part", F.shiftright("_at", 33))
+    counted = {"pos": F.lit(1).cast("long"), **{f"{c}_before": F.col(c) for c in sums}}
+    ranges = placed.groupBy("_part").agg(*[F.sum(x).alias(f"_{name}") for name, x in counted.items()])
+    earlier = Window.partitionBy(F.lit(1)).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    ranges = ranges.select("_part", *[F.coalesce(F.sum(f"_{name}").over(earlier), F.lit(0)).alias(f"_{name}")
+                                      for name in counted])
+    inside = Window.partitionBy("_part").orderBy("_at").rowsBetween(Window.unboundedPreceding, -1)
+    return placed.join(ranges, "_part").select(*df.columns, *[
+        (F.coalesce(F.sum(x).over(inside), F.lit(0)) + F.col(f"_{name}")).alias(name) for name, x in counted.items()])
+
+
 def targets(sized: DataFrame, *, weights=WEIGHTS, share: float = SHARE, epochs: int = EPOCHS) -> DataFrame:
     """One row per source: source, rows, source_size, target, full (whole epochs), rest (words of the last)."""
     per = sized.groupBy("source").agg(F.count("*").alias("rows"), F.sum("size").alias("source_size"))
-    rank = F.row_number().over(Window.orderBy(F.col("source").asc_nulls_last()))
     weight = F.element_at(F.array(*[F.lit(w).cast("long") for w in weights]),
-                          (F.pmod(rank - 1, F.lit(len(weights))) + 1).cast("int"))
-    per = per.withColumn("weight", weight).withColumn("cap", F.col("source_size") * epochs)
-    everything = Window.partitionBy(F.lit(1))
-    before = everything.orderBy(F.col("cap") / F.col("weight"), F.col("source").asc_nulls_last()).rowsBetween(
-        Window.unboundedPreceding, -1)
-    levels = per.withColumn("_level", (F.sum("source_size").over(everything) * F.lit(share)
-                                       - F.coalesce(F.sum("cap").over(before), F.lit(0)))
-                            / (F.sum("weight").over(everything)
-                               - F.coalesce(F.sum("weight").over(before), F.lit(0))))
-    target = F.least(F.col("cap").cast("double"), F.max("_level").over(everything) * F.col("weight"))
+                          (F.pmod(F.col("pos"), F.lit(len(weights))) + 1).cast("int"))
+    ranked = _before(per, [F.col("source").asc_nulls_last()]).withColumn("weight", weight).drop("pos")
+    ranked = ranked.withColumn("cap", F.col("source_size") * epochs)
+    ordered = written(_before(ranked, [(F.col("cap") / F.col("weight")).asc(), F.col("source").asc_nulls_last()],
+                              ("cap", "weight")), "mix-levels")
+    words, weighed = ordered.agg(F.sum("source_size"), F.sum("weight")).first()  # one row of two numbers
+    level = ordered.agg(F.max((F.lit(float((words or 0) * share)) - F.col("cap_before"))
+                              / (F.lit(weighed or 0) - F.col("weight_before")))).first()[0]
+    target = F.least(F.col("cap").cast("double"), F.lit(level or 0.0) * F.col("weight"))
     budget = F.floor(F.col("target") + 0.5)
     size = F.greatest(F.col("source_size"), F.lit(1))
-    return levels.withColumn("target", target).select(
+    return ordered.withColumn("target", target).select(
         "source", "rows", "source_size", "target",
         F.floor(budget / size).alias("full"), F.pmod(budget, size).alias("rest"))
 
@@ -92,7 +108,7 @@ def _plan(docs: DataFrame, **how) -> tuple[DataFrame, DataFrame]:
     seed = how.pop("seed", SEED)
     sized = written(docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("source").cast("string").alias(
         "source"), word_count(F.col("text")).alias("size"), _key(seed).alias("key")), "mix-sizes")
-    plan = written(cuts(sized, targets(sized, **how)).coalesce(1), "mix-cuts")
+    plan = written(cuts(sized, targets(sized, **how)), "mix-cuts")
     return sized, plan.withColumnRenamed("source", "_source")
 
 

@@ -60,6 +60,22 @@ def test_budgets(spark):
     assert sorted(map(repr, got)) == sorted(map(repr, again))
 
 
+def test_many_sources(spark):
+    rows = [(k, "w " * (k * 7919 % 61), f"host{k * 31 % 3000:05d}" if k % 11 else None) for k in range(6000)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string").repartition(9)
+    size = Counter()
+    for _, t, s in rows:
+        size[s] += len(t.split())
+    want = plain_targets(dict(size))
+    got = mixing.mix_sizes(docs).collect()
+    of, taken = {d: s for d, _, s in rows}, Counter()
+    for r in got:
+        s = of[r.doc_id]
+        assert r.source_size == size[s] and r.target == pytest.approx(want[s])
+        taken[s] += r.taken
+    assert len(got) == len(rows) and all(abs(taken[s] - t) <= 0.5 + 1e-6 for s, t in want.items())
+
+
 def test_mixed_rows_hold_the_taken_words(spark):
     rows = rows_of({"a": [30] * 40, "b": [7, 9, 200], None: [5] * 11})
     docs = spark.createDataFrame([(*r[:3], len(r[1])) for r in rows], "doc_id long, text string, source string, n_chars long")
