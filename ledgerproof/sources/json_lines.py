@@ -103,25 +103,39 @@ _FIELDS = ", ".join(f"{f}: variant" for f in (*TEXT_FIELDS, "amount_minor"))
 _RECORD = f"struct<{_FIELDS}>"
 
 
-def _sole_object(raw: Column) -> Column:
-    """The line's fields as a struct of VARIANTs if the line is exactly one JSON object, else NULL."""
-    plain = raw.rlike(r"^[ \t\r\n]*\{[^{}]*\}[ \t\r\n]*\z")
-    alone = F.from_json(F.when(plain, raw), f"struct<{_FIELDS}, _corrupt: string>", _STRICT)
+def _sole_objects(lines: DataFrame, raw: str) -> DataFrame:
+    """Adds ``_broken`` (half a surrogate pair is escaped) and ``_doc``: the line's fields as a struct of VARIANTs if the
+    line is exactly one JSON object, else NULL.
+
+    Every step is a column of its own, which the next ones read: nothing is matched or parsed twice for a line."""
+    line = F.col(raw)
+    # the search for halves costs more than the parse, so it is only made where there are escapes
+    p = lines.select("*", F.when(line.contains("\\u"), line.rlike(LONE_HALF)).otherwise(False).alias("_broken"))
+    whole = F.when(F.col("_broken"), F.regexp_replace(line, LONE_HALF, "$1$2" + r"\\ufdd0")).otherwise(line)
+    p = p.select("*", whole.alias("_json_line"))
+    p = p.select("*", F.col("_json_line").rlike(r"^[ \t\r\n]*\{[^{}]*\}[ \t\r\n]*\z").alias("_json_plain"))
     # braces inside: nothing may follow the object, in either frame
-    nested = F.when(~plain & raw.rlike(r"^[ \t\r\n]*\{"), raw)
-    member = F.from_json(F.concat(F.lit('{"line":'), nested, F.lit("}")), f"struct<line: {_RECORD}, _corrupt: string>", _STRICT)
-    element = F.from_json(F.concat(F.lit("["), nested, F.lit("]")), f"array<{_RECORD}>", _STRICT)
-    fields = [*TEXT_FIELDS, "amount_minor"]
-    return F.when(plain & alone["_corrupt"].isNull(), F.struct(*[alone[f].alias(f) for f in fields])).when(
-        member["_corrupt"].isNull() & (F.size(element) == 1), member["line"])
+    nested = F.when(~F.col("_json_plain") & F.col("_json_line").rlike(r"^[ \t\r\n]*\{"), F.col("_json_line"))
+    p = p.select(
+        *lines.columns,
+        "_broken",
+        "_json_plain",
+        F.from_json(F.when(F.col("_json_plain"), F.col("_json_line")), f"struct<{_FIELDS}, _corrupt: string>", _STRICT).alias("_json_alone"),
+        F.from_json(F.concat(F.lit('{"line":'), nested, F.lit("}")), f"struct<line: {_RECORD}, _corrupt: string>", _STRICT).alias(
+            "_json_member"),
+        F.from_json(F.concat(F.lit("["), nested, F.lit("]")), f"array<{_RECORD}>", _STRICT).alias("_json_element"),
+    )
+    fields = F.struct(*[F.col(f"_json_alone.{f}").alias(f) for f in (*TEXT_FIELDS, "amount_minor")])
+    doc = F.when(F.col("_json_plain") & F.col("_json_alone._corrupt").isNull(), fields).when(
+        F.col("_json_member._corrupt").isNull() & (F.size("_json_element") == 1), F.col("_json_member.line"))
+    return p.select(*lines.columns, "_broken", doc.alias("_doc"))
 
 
 def parse_event_lines(lines: DataFrame, raw: str = "raw") -> DataFrame:
     """Adds the typed event fields and ``failed_rules`` (empty array = valid) to every line."""
-    line, broken = F.col(raw), F.col(raw).rlike(LONE_HALF)
-    whole = F.when(broken, F.regexp_replace(line, LONE_HALF, "$1$2" + r"\\ufdd0")).otherwise(line)
-    p = lines.select("*", broken.alias("_broken"), _sole_object(whole).alias("_doc"))
+    p = _sole_objects(lines, raw)
     fields = (*TEXT_FIELDS, "amount_minor")
+
     p = p.select(
         "*",
         *[F.schema_of_variant(F.col(f"_doc.{f}")).alias(f"_t_{f}") for f in fields],
@@ -133,7 +147,18 @@ def parse_event_lines(lines: DataFrame, raw: str = "raw") -> DataFrame:
         told = F.when(F.col(f"_t_{f}") == F.lit("STRING"), F.col(f"_s_{f}"))
         return F.when(F.col("_broken") & told.contains(_MARK), F.lit(None)).otherwise(told)
 
-    kind, written = F.col("_t_amount_minor"), strip(F.col("_s_amount_minor"))
+    p = p.select(
+        *lines.columns,
+        F.col("_doc").isNotNull().alias("_is_object"),
+        "_double",
+        F.col("_t_amount_minor").alias("_json_kind"),
+        strip(F.col("_s_amount_minor")).alias("_json_written"),
+        F.col("_t_occurred_at").alias("_json_when_kind"),
+        F.col("_s_occurred_at").alias("_json_when_text"),
+        text("occurred_at").alias("_json_when"),
+        *[text(f).alias(f) for f in TEXT_FIELDS if f != "occurred_at"],
+    )
+    kind, written = F.col("_json_kind"), F.col("_json_written")
     digits = F.regexp_replace(F.regexp_replace(written, r"(\.0+)?$", ""), "_", "")
     amount = (
         F.when(kind == "BOOLEAN", F.when(written == "true", F.lit(1)).otherwise(F.lit(0)).cast("bigint"))
@@ -141,21 +166,21 @@ def parse_event_lines(lines: DataFrame, raw: str = "raw") -> DataFrame:
         .when((kind == "STRING") | kind.isin(*NUMERIC_TYPES) | kind.startswith("DECIMAL"),
               F.when(written.rlike(WHOLE_NUMBER), digits.try_cast("decimal(38,0)").try_cast("bigint")))
     )
-    when_kind, when_text = F.col("_t_occurred_at"), F.col("_s_occurred_at")
+    when_kind, when_text = F.col("_json_when_kind"), F.col("_json_when_text")
     number = F.when(when_kind.isin("FLOAT", "DOUBLE"), when_text.try_cast("double").try_cast("decimal(38,9)")).when(
         when_text.rlike(NUMBER_SHAPE), when_text.try_cast("decimal(38,9)"))
     timed = when_kind.isin("STRING", *NUMERIC_TYPES) | when_kind.startswith("DECIMAL")
     p = p.select(
         *lines.columns,
-        F.col("_doc").isNotNull().alias("_is_object"),
-        text("event_id").alias("event_id"),
-        text("account_id").alias("account_id"),
+        "_is_object",
+        "event_id",
+        "account_id",
         amount.alias("_amount"),
-        normalised_currency(text("currency")).alias("currency"),
-        text("direction").alias("direction"),
-        text("transaction_type").alias("transaction_type"),
-        F.coalesce(iso_to_utc(text("occurred_at")), F.when(timed, epoch_to_utc(number))).alias("occurred_at"),
-        text("source_system").alias("source_system"),
+        normalised_currency("currency").alias("currency"),
+        "direction",
+        "transaction_type",
+        F.coalesce(iso_to_utc(F.col("_json_when")), F.when(timed, epoch_to_utc(number))).alias("occurred_at"),
+        "source_system",
     )
     rules = {
         "event_id": min_length("event_id", 8),

@@ -8,7 +8,7 @@ from datetime import datetime, timedelta
 from pyspark.sql import functions as F
 
 from ledgerproof.schemas import BRONZE_COLUMNS
-from ledgerproof.sources.json_lines import parse_event_lines, split_event_lines
+from ledgerproof.sources.json_lines import LONE_HALF, parse_event_lines, split_event_lines
 from ledgerproof.streaming.autoload import autoload_stream, read_dead_letter, read_stream_bronze
 
 GOOD = {
@@ -145,6 +145,27 @@ def test_lines_are_read_as_a_strict_json_reader_reads_them(spark):
             assert doc.get("amount_minor") is None, raw
 
 
+def test_a_line_is_searched_and_parsed_once(spark):
+    lines = spark.createDataFrame([("0", json.dumps(GOOD))], "line_id string, raw string")
+    plan = parse_event_lines(lines)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count(LONE_HALF) == 2  # found, and replaced where found
+    assert plan.count("from_json(") == 3  # a line as it is, and a line with braces inside in either frame
+
+
+def test_lines_with_and_without_escapes_are_read_alike(spark):
+    events = [{**GOOD, "source_system": s, "amount_minor": a} for s in ("till", "tïll", "\U0001f600", "a\\ud800", "\ud800", "x\udc00") for a in (5, 0)]
+    plain = [json.dumps(e, ensure_ascii="\ud800" <= e["source_system"] < "\ue000" or "\udc00" in e["source_system"]) for e in events]
+    escaped = [json.dumps(e) for e in events]
+    nested = [json.dumps({**e, "more": {"deep": [1]}}) for e in events]
+    out = _parse(spark, *plain, *escaped, *nested)
+    for i, e in enumerate(events):
+        sound = not any("\ud800" <= c <= "\udfff" for c in e["source_system"])
+        for k in (i, i + len(events), i + 2 * len(events)):
+            r = out[str(k)]
+            assert r["source_system"] == (e["source_system"] if sound else None)
+            assert r["failed_rules"] == ["amount_minor"] * (not e["amount_minor"]) + ["source_system"] * (not sound)
+
+
 def test_several_failures_are_all_reported(spark):
     r = _parse(spark, {**GOOD, "amount_minor": 0, "currency": None, "direction": "up"})["0"]
     assert r["failed_rules"] == ["amount_minor", "currency", "direction"]
