@@ -15,7 +15,8 @@ SF_SMALL = "/root/testdata/sf0.001"
 def spark():
     from ledgerproof.session import local_session
 
-    session = local_session("*", app_name="ledgerproof-tests", **{"spark.sql.shuffle.partitions": "8"})
+    # the whole suite runs in one JVM, for which the default heap of 1 GB is little
+    session = local_session("*", app_name="ledgerproof-tests", **{"spark.sql.shuffle.partitions": "8", "spark.driver.memory": "4g"})
     yield session
     session.stop()
 
